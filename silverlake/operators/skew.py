@@ -1,0 +1,53 @@
+"""Equi-joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key below MIN_ROWS is never worth special treatment. At most MOST_KEYS keys are treated:
+# whatever comes after them holds less than 1/MOST_KEYS of the rows, so it cannot be hot.
+MIN_ROWS = 100_000
+MOST_KEYS = 1_000
+
+
+def hot_keys(
+    rows: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS, most: int = MOST_KEYS
+) -> DataFrame:
+    """The most frequent key values of ``rows``; at most ``most`` rows by construction.
+
+    The count is combined before the shuffle, so a hot key costs one row per map task.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return (
+        counts.where(F.col("__rows") >= min_rows)
+        .orderBy(F.desc("__rows"), *keys)
+        .limit(most)
+        .select(*keys)
+    )
+
+
+def join_to_unique(
+    many: DataFrame,
+    one: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    min_rows: int = MIN_ROWS,
+) -> DataFrame:
+    """``many.join(one, keys, how)`` where ``one`` has at most one row per key.
+
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. Rows of ``many`` with a
+    hot key never enter the shuffle: they meet the few matching rows of ``one`` by broadcast
+    (no more than ``MOST_KEYS`` rows, as ``one`` is unique). All other rows use an ordinary
+    join, whose strategy is left to Spark.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
+    keys = list(keys)
+    hot = F.broadcast(hot_keys(many, keys, min_rows))
+    few = F.broadcast(one.join(hot, keys, "left_semi"))
+    by_broadcast = many.join(hot, keys, "left_semi").join(few, keys, how)
+    by_shuffle = many.join(hot, keys, "left_anti").join(one, keys, how)
+    return by_shuffle.unionByName(by_broadcast)
