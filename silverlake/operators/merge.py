@@ -26,16 +26,20 @@ def keys_missing(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
-def dedupe_latest(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def dedupe_latest(
+    rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), keys_complete: bool = False
+) -> DataFrame:
     """One row per key: the greatest by ``order_by``, ties settled by the other columns.
 
     An aggregate rather than a window: a key with very many rows is reduced inside each map
-    task and only one candidate per task is shuffled. Rows with a null key are all kept.
+    task and only one candidate per task is shuffled. Rows with a null key are all kept, by a
+    second pass that ``keys_complete=True`` (no key is null) leaves out.
     """
     _check_columns(rows, [*keys, *order_by])
-    picked = _latest_by_key(rows.where(keys_present(keys)), keys, order_by)
+    keyed = rows if keys_complete else rows.where(keys_present(keys))
+    picked = _latest_by_key(keyed, keys, order_by)
     unpacked = picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}") for c in rows.columns])
-    return unpacked.unionByName(rows.where(keys_missing(keys)))
+    return unpacked if keys_complete else unpacked.unionByName(rows.where(keys_missing(keys)))
 
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlake.functions import convert, element_rows, fill_key, was_lost
+from silverlake.operators.merge import keys_missing
 from silverlake.plans.specs import TableSpec
 
 
@@ -26,6 +27,15 @@ def transform(bronze: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> D
     return rows.select(*filled, *keep)
 
 
+def keys_complete(bronze: DataFrame, spec: TableSpec) -> bool:
+    """True if no row of ``transform(bronze, spec)`` can have a null key.
+
+    A filter on the raw columns, which Parquet statistics answer without reading data.
+    """
+    sources = spec.key_sources
+    return sources is not None and (not sources or bronze.where(keys_missing(sources)).count() == 0)
+
+
 def lost_values(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """``(column, present, lost)``: values per cast column, and how many become NULL."""
     casts = [(out, source, kind) for out, source, kind in spec.columns if kind != "string"]

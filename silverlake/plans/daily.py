@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlake.operators.transform import lost_values, transform
+from silverlake.operators.transform import keys_complete, lost_values, transform
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec, prefixes
 from silverlake.sources.bronze import OBJECT_KEY, scan_day
 from silverlake.sources.silver import upsert_table
@@ -106,7 +106,13 @@ def _load_table(
         return {"status": TRANSFORM_FAILED, "error": _text(error)}
     try:
         written = upsert_table(
-            source, silver, spec, on_duplicate=on_duplicate, order_by=[OBJECT_KEY], buckets=buckets
+            source,
+            silver,
+            spec,
+            on_duplicate=on_duplicate,
+            order_by=[OBJECT_KEY],
+            keys_complete=keys_complete(rows, spec),
+            buckets=buckets,
         )
         lost = None if spec.nested else lost_values(rows, spec).agg(F.sum("lost")).first()[0]
     except Exception as error:

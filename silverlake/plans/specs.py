@@ -51,6 +51,17 @@ class TableSpec:
             fields += [f"`{f.split()[0]}` {f.split()[1]}" for f in self.element.split(",")]
         return StructType.fromDDL(", ".join(fields))
 
+    @property
+    def key_sources(self) -> list[str] | None:
+        """The bronze columns that decide whether a key is null, or None if others do too.
+
+        A cast to string loses nothing and a sentinel fills its key, so only they qualify.
+        """
+        kinds = {out: (source, kind) for out, source, kind in self.columns}
+        filled = {self.sentinel[0]} if self.sentinel else set()
+        plain = [kinds.get(key, (None, None)) for key in self.keys if key not in filled]
+        return [source for source, _ in plain] if all(kind == "string" for _, kind in plain) else None
+
     @property
     def bronze_columns(self) -> list[str]:
         return [source for _, source, _ in self.columns] + ([self.list_column] if self.nested else [])

@@ -88,13 +88,14 @@ def upsert_table(
     *,
     on_duplicate: str = "latest",
     order_by: Sequence[str] = (),
+    keys_complete: bool = False,
     buckets: int | None = None,
     txn: tuple[str, int] | None = None,
 ) -> int:
     """Merge ``source`` into the table, or create it; returns the number of rows written.
 
     ``order_by`` may name source columns beyond the table's: they rank duplicates and are not
-    stored. ``buckets`` counts only on creation and defaults to the session's shuffle
+    stored. ``keys_complete`` says that no source key is null. ``buckets`` counts only on creation and defaults to the session's shuffle
     partitions, which are sized for the data. ``txn`` is ``(writer, number)``: a number that
     this writer has already committed is skipped, so a repeated micro-batch does nothing.
     """
@@ -106,7 +107,7 @@ def upsert_table(
     state = table_state(spark, root, spec.name)
     unique = on_duplicate == "latest"
     if unique:
-        source = dedupe_latest(source, spec.keys, order_by)
+        source = dedupe_latest(source, spec.keys, order_by, keys_complete)
     source = source.select(*spec.schema.fieldNames())
 
     if state is None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from silverlake.operators.transform import transform
+from silverlake.operators.transform import keys_complete, transform
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec
 from silverlake.sources.bronze import OBJECT_KEY, object_key
 from silverlake.sources.silver import upsert_table
@@ -51,6 +51,7 @@ def ingest_available(
                 spec,
                 on_duplicate=on_duplicate,
                 order_by=[OBJECT_KEY],
+                keys_complete=keys_complete(batch, spec),
                 buckets=buckets,
                 txn=(f"{prefix}@{checkpoint}", number),
             )

@@ -17,15 +17,15 @@ from silverlake.plans.specs import MOVIE_TABLES, TableSpec, find
 from silverlake.sources.bronze import readiness as check_readiness
 from silverlake.sources.bronze import inventory, scan_day
 from silverlake.sources.scratch import scratch_path
-from silverlake.sources.silver import read_silver, register_views, upsert_table
+from silverlake.sources.silver import read_silver, register_views, table_exists, upsert_table
 from silverlake.streaming.ingest import ingest_available
 from workloads.standins import (
-    CREDITS_OBJECT,
-    MOVIES_OBJECT,
+    DAY,
     SILVER_SQL,
-    credits_bronze,
+    bronze_root,
     element,
     json_list,
+    land,
     movies_bronze,
     table,
 )
@@ -47,11 +47,26 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 
 def silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The rows of one silver table, straight from bronze."""
+    """The rows of one silver table, straight from the day's bronze objects."""
     spec = find(name)
-    if spec.prefix == "credits":
-        return transform(credits_bronze(table(spark, sf_dir, "lineitem")), spec)
-    return transform(movies_bronze(table(spark, sf_dir, "orders")), spec)
+    return transform(bronze(spark, sf_dir, spec.prefix), spec)
+
+
+def bronze(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+    return scan_day(spark, bronze_root(spark, sf_dir), prefix, DAY)
+
+
+_stored: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """Silver tables as analysts read them: loaded once per application, then queried."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    root = _stored.setdefault(key, scratch_path(spark, "silver"))
+    missing = {name: find(name) for name in names if not table_exists(spark, root, name)}
+    if missing:
+        run_day(spark, bronze_root(spark, sf_dir), root, DAY, tables=missing)
+    return [read_silver(spark, root, find(name)) for name in names]
 
 
 def day_text(column: str) -> F.Column:
@@ -213,8 +228,7 @@ def explode_string_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def explode_wide_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole record by ``col.*``, with the position field parsed and then dropped."""
     entry = "cast_id int, character string, credit_id string, gender int, id int, name string, order int"
-    bronze = credits_bronze(table(spark, sf_dir, "lineitem"))
-    exploded = bronze.select(
+    exploded = bronze(spark, sf_dir, "credits").select(
         F.col("movie_id").cast("string").alias("movie_id"), "title", F.explode_outer(parse_list("cast", entry))
     )
     return exploded.select("movie_id", "title", "col.*").drop("order").na.fill("0000000000", ["credit_id"])
@@ -222,7 +236,7 @@ def explode_wide_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SILVER_SQL["genres"])
 def explode_via_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    movies_bronze(table(spark, sf_dir, "orders")).createOrReplaceTempView("bronze_movies")
+    bronze(spark, sf_dir, "movies").createOrReplaceTempView("bronze_movies")
     return spark.sql(
         """SELECT movie_id, coalesce(id, -9999) AS id, name
            FROM (SELECT CAST(id AS STRING) AS movie_id,
@@ -377,16 +391,10 @@ def merge_stale_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, root, genres)
 
 
-def land_movies_and_credits(spark: SparkSession, sf_dir: str, root: str, day: str) -> None:
-    movies_bronze(table(spark, sf_dir, "orders")).write.parquet(f"{root}/{MOVIES_OBJECT.format(day=day)}")
-    credits_bronze(table(spark, sf_dir, "lineitem")).write.parquet(f"{root}/{CREDITS_OBJECT.format(day=day)}")
-
-
 def load_all(spark: SparkSession, sf_dir: str) -> str:
-    """Land a day of movies and credits and run the daily batch; returns the silver root."""
-    bronze, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    land_movies_and_credits(spark, sf_dir, bronze, "20221104")
-    run_day(spark, bronze, silver_root, 20221104)
+    """The daily batch over the landed day; returns the silver root."""
+    silver_root = scratch_path(spark, "silver")
+    run_day(spark, bronze_root(spark, sf_dir), silver_root, DAY)
     return silver_root
 
 
@@ -433,7 +441,7 @@ SQL["run_summary"] = SQL.pop("run_log_summary")
 )
 def two_day_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping days through the daily batch: the later day's movies win."""
-    bronze, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    bronze_dir, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     orders = table(spark, sf_dir, "orders")
     first = movies_bronze(orders.where("o_orderdate < DATE '1996-01-01'"))
     second = movies_bronze(
@@ -441,8 +449,8 @@ def two_day_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("status", F.lit("second"))
     tables = {"movies": find("movies")}
     for day, rows in (("20221104", first), ("20221105", second)):
-        rows.write.parquet(f"{bronze}/{MOVIES_OBJECT.format(day=day)}")
-        run_day(spark, bronze, silver_root, day, tables=tables)
+        land(rows, bronze_dir, "movies", day)
+        run_day(spark, bronze_dir, silver_root, day, tables=tables)
     return read_silver(spark, silver_root, find("movies")).select("movie_id", "revenue", "status")
 
 
@@ -453,11 +461,9 @@ def two_day_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain SQL over the stored tables."""
-    root = scratch_path(spark, "silver")
-    specs = [find("genres"), find("movies")]
-    for spec in specs:
-        upsert_table(silver(spark, sf_dir, spec.name), root, spec)
-    register_views(spark, root, specs)
+    stored(spark, sf_dir, "genres", "movies")
+    root = _stored[spark.sparkContext.applicationId, sf_dir]
+    register_views(spark, root, [find("genres"), find("movies")])
     return spark.sql(
         """SELECT name, count(*) AS movies, max(revenue) AS top_revenue
            FROM genres JOIN movies USING (movie_id) WHERE id <> -9999 GROUP BY name"""
@@ -485,11 +491,11 @@ EVENTS = TableSpec(
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed events through the stream, ten objects at a time; a second call finds nothing."""
-    bronze, silver_root = land_events(spark, sf_dir), scratch_path(spark, "silver")
+    bronze_dir, silver_root = land_events(spark, sf_dir), scratch_path(spark, "silver")
     checkpoint = scratch_path(spark, "checkpoint")
     for _ in range(2):
         ingest_available(
-            spark, bronze, silver_root, "events", checkpoint, tables={"events": EVENTS}, files_per_batch=10
+            spark, bronze_dir, silver_root, "events", checkpoint, tables={"events": EVENTS}, files_per_batch=10
         )
     return read_silver(spark, silver_root, EVENTS)
 
@@ -499,10 +505,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 PERSON = "Supplier 7"
 
 
-def silver_set(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [silver(spark, sf_dir, name) for name in names]
-
-
 @query(
     f"""SELECT '{PERSON}' AS name, movie_id, title, revenue
         FROM ({SILVER_SQL["movies"]})
@@ -510,7 +512,7 @@ def silver_set(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]
         ORDER BY revenue DESC, movie_id LIMIT 1"""
 )
 def q1_top_movie_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.top_movie_of(*silver_set(spark, sf_dir, "cast", "movies"), PERSON)
+    return analyst.top_movie_of(*stored(spark, sf_dir, "cast", "movies"), PERSON)
 
 
 @query(
@@ -521,7 +523,7 @@ def q1_top_movie_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         QUALIFY row_number() OVER (PARTITION BY id, name ORDER BY revenue DESC, movie_id) = 1"""
 )
 def q1_top_by_member(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.top_movies(*silver_set(spark, sf_dir, "cast", "movies"))
+    return analyst.top_movies(*stored(spark, sf_dir, "cast", "movies"))
 
 
 @query(
@@ -532,7 +534,7 @@ def q1_top_by_member(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE id <> -9999 GROUP BY name"""
 )
 def q2_group_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.revenue_by_genre(*silver_set(spark, sf_dir, "genres", "movies"))
+    return analyst.revenue_by_genre(*stored(spark, sf_dir, "genres", "movies"))
 
 
 @query(
@@ -542,7 +544,7 @@ def q2_group_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({SILVER_SQL["movies"]}) WHERE release_date IS NOT NULL GROUP BY 1, 2"""
 )
 def q3_month_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.revenue_by_month(silver(spark, sf_dir, "movies"))
+    return analyst.revenue_by_month(*stored(spark, sf_dir, "movies"))
 
 
 @query(
@@ -551,7 +553,7 @@ def q3_month_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({SILVER_SQL["movies"]})"""
 )
 def q3_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.release_revenue_correlation(silver(spark, sf_dir, "movies"))
+    return analyst.release_revenue_correlation(*stored(spark, sf_dir, "movies"))
 
 
 @query(
@@ -566,7 +568,7 @@ def q3_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM times GROUP BY id"""
 )
 def q4_crew_loyalty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.crew_loyalty(silver(spark, sf_dir, "crew"))
+    return analyst.crew_loyalty(*stored(spark, sf_dir, "crew"))
 
 
 @query(
@@ -581,10 +583,10 @@ def q4_crew_loyalty(spark: SparkSession, sf_dir: str) -> DataFrame:
         GROUP BY id"""
 )
 def q4_collab_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    crew = silver(spark, sf_dir, "crew")
+    (crew,) = stored(spark, sf_dir, "crew")
     return analyst.collaborators(crew, analyst.most_active(crew))
 
 
 @query(f"""SELECT movie_id, title, department, job FROM ({SILVER_SQL["crew"]}) WHERE name = '{PERSON}'""")
 def q5_member_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.crew_credits(silver(spark, sf_dir, "crew"), PERSON)
+    return analyst.crew_credits(*stored(spark, sf_dir, "crew"), PERSON)

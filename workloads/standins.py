@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MOVIES_OBJECT = "movies/movies_part_{day}-120000.parquet"
-CREDITS_OBJECT = "credits/credits_part_{day}-120000.parquet"
+from silverlake.sources.scratch import scratch_path
+
+DAY = "20221104"
+OBJECT = "{prefix}/{prefix}_part_{day}-120000.parquet"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +112,26 @@ def credits_bronze(lineitem: DataFrame) -> DataFrame:
     )
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
+def land(rows: DataFrame, root: str, prefix: str, day: str = DAY) -> None:
+    """Rows as the day's bronze objects: several files even from a single small input file."""
+    per_file = max(50_000, rows.count() // 64)
+    rows.write.option("maxRecordsPerFile", per_file).parquet(f"{root}/{OBJECT.format(prefix=prefix, day=day)}")
+
+
+def bronze_root(spark: SparkSession, sf_dir: str) -> str:
+    """The whole tables landed as one day of movies and credits, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        root = scratch_path(spark, "bronze")
+        land(movies_bronze(table(spark, sf_dir, "orders")), root, "movies")
+        land(credits_bronze(table(spark, sf_dir, "lineitem")), root, "credits")
+        _landed[key] = root
+    return _landed[key]
+
+
 # The silver rows of the same data as SQL, one query per table.
 SILVER_SQL = {
     "movies": """
