@@ -62,6 +62,7 @@ def upsert(
     order_by: Sequence[str] = (),
     source_unique: bool = False,
     target_unique: bool = False,
+    source_small: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it, with the columns of ``target``.
 
@@ -71,13 +72,14 @@ def upsert(
     - ``error``: fail the job if such a key also exists in the target, else add every row;
     - ``keep``: add every row without a match; a match takes the greatest row.
 
-    ``source_unique`` and ``target_unique`` say that keys do not repeat on that side, as after
-    ``dedupe_latest`` and in any table loaded with ``latest``. The work that guards against
-    repeats (an aggregate, a search for hot keys) is then left out.
+    What the caller knows about the data picks the plan, never the result:
 
-    Plan: a left join for updates and an anti join for additions, not a full outer join. Both
-    can broadcast a small source, so that a large target is streamed without a shuffle, and
-    AQE can split a skewed target partition, which it cannot do for a full outer join.
+    - ``source_unique`` (as after ``dedupe_latest``) leaves out the aggregate by key;
+    - ``source_unique`` and ``target_unique`` (a table loaded with ``latest``) rule out hot
+      keys, so one full outer join does it;
+    - ``source_small``, for a source of checked size, broadcasts it: the target is streamed
+      through without a shuffle;
+    - otherwise the target is searched for hot keys, which are joined apart from the rest.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {on_duplicate!r}")
@@ -87,38 +89,50 @@ def upsert(
 
     keyed = source.where(keys_present(keys)).select(*dict.fromkeys([*columns, *order_by]))
     incoming = _as_latest(keyed, keys) if source_unique else _latest_by_key(keyed, keys, order_by)
+    one_per_key = source_unique or on_duplicate == "latest"
     old = target.where(keys_present(keys))
+    unmatched = [side.where(keys_missing(keys)).select(*columns) for side in (target, source)]
+
+    if one_per_key and target_unique and not source_small:
+        merged = _take_new(old.join(incoming, keys, "full_outer"), keys, columns)
+        return reduce(DataFrame.unionByName, [merged, *unmatched])
 
-    if target_unique:
+    if source_small:
+        incoming = F.broadcast(incoming)
+    if source_small or target_unique:
         updated = old.join(incoming, keys, "left")
     else:
         updated = join_to_unique(old, incoming, keys, "left")
-    if on_duplicate == "error":
-        updated = updated.where(
-            F.when(F.col("__copies") > 1, F.raise_error(F.lit(f"several source rows for one {keys}")).cast("boolean"))
-            .otherwise(F.lit(True))
-        )
-    matched_row = F.col("__row").isNotNull()
-    updated = updated.select(
-        *[
-            F.col(c) if c in keys else F.when(matched_row, F.col(f"__row.{c}")).otherwise(F.col(c)).alias(c)
-            for c in columns
-        ]
-    )
+    if on_duplicate == "error" and not source_unique:
+        failure = F.raise_error(F.lit(f"several source rows for one {keys}")).cast("boolean")
+        updated = updated.where(F.when(F.col("__copies") > 1, failure).otherwise(F.lit(True)))
+    updated = _take_new(updated, keys, columns)
 
     # The keys both sides share: never more than the source has.
     shared = old.select(*keys).join(incoming.select(*keys), keys, "left_semi").distinct()
-    if source_unique or on_duplicate == "latest":
-        added = incoming.join(shared, keys, "left_anti").select(
-            *[F.col(c) if c in keys else F.col(f"__row.{c}") for c in columns]
-        )
+    if one_per_key:
+        added = _take_new(incoming.join(shared, keys, "left_anti"), keys, columns, always=True)
     else:
         added = join_to_unique(keyed, shared, keys, "left_anti").select(*columns)
-
-    unmatched = [side.where(keys_missing(keys)).select(*columns) for side in (target, source)]
     return reduce(DataFrame.unionByName, [updated, added, *unmatched])
 
 
+def _take_new(
+    joined: DataFrame, keys: Sequence[str], columns: Sequence[str], always: bool = False
+) -> DataFrame:
+    """The columns from ``__row`` where it is present (or always), else the target's own."""
+    new = F.col("__row").isNotNull()
+
+    def pick(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        if always:
+            return F.col(f"__row.{c}")
+        return F.when(new, F.col(f"__row.{c}")).otherwise(F.col(c)).alias(c)
+
+    return joined.select(*[pick(c) for c in columns])
+
+
 def _latest_by_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """``keys``, ``__row`` (struct of the greatest row, never null) and ``__copies``."""
     ranked = [c for c in order_by if c not in keys]

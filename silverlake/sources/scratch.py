@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -24,8 +25,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/silverlake/{label}-{uuid4().hex}"
 
 
-def staged(rows, label: str):
-    """``rows`` written to scratch and read back: lineage is cut and the size is known."""
-    path = scratch_path(rows.sparkSession, label)
+def staged(rows: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``rows`` written to scratch and read back, and the bytes written.
+
+    Cuts the lineage, so that a lost executor costs one re-read and nothing is computed twice.
+    """
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, label)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    sizes = spark.read.format("binaryFile").load(path).agg(F.sum("length"))
+    return spark.read.schema(rows.schema).parquet(path), sizes.first()[0] or 0

@@ -7,7 +7,7 @@ A table is spread over buckets by a hash of its merge key::
 
 A load writes new files for the buckets it touches and then one small commit; files that
 are being read are never replaced, and a load that dies half-way leaves the table as it was.
-A table takes one writer at a time: a second one fails on the commit.
+A table takes one writer at a time: the commit of a second one finds its version taken.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
@@ -27,6 +27,7 @@ from silverlake.sources.scratch import staged
 
 COMMIT_SCHEMA = "bucket int, load string, buckets int, keys_unique boolean, txn string, txn_version long"
 NO_BUCKET = -1  # marks the one commit row of a table without rows
+SMALL_BYTES = 10 * 1024 * 1024  # a load up to this size, as written to Parquet, is broadcast
 
 
 @dataclass(frozen=True)
@@ -112,35 +113,52 @@ def upsert_table(
 
     if state is None:
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        label, written = _write_load(source, root, spec, buckets)
+        spread = not (unique and _aligned(spark, buckets))
+        label, written = _write_load(source, root, spec, buckets, spread)
         loads = {b: label for b in _bucket_numbers(written)}
         _commit(spark, root, spec.name, TableState(0, buckets, unique, loads), txn)
         return written.count()
 
-    bucket = _bucket(spec, state.buckets).alias("bucket")
-    source = staged(source.select("*", bucket), f"{spec.name}-source")
+    source, size = staged(source.select("*", _bucket(spec, state.buckets)), f"{spec.name}-source")
     touched = _bucket_numbers(source)
     if not touched:
         return 0
-    target = _read_buckets(spark, root, spec, state, touched)
     merged = upsert(
-        target,
+        _read_buckets(spark, root, spec, state, touched),
         source.drop("bucket"),
         spec.keys,
         on_duplicate=on_duplicate,
         source_unique=unique,
         target_unique=state.keys_unique,
+        source_small=unique and size <= SMALL_BYTES,
     )
-    label, written = _write_load(merged, root, spec, state.buckets)
+    spread = not (unique and _aligned(spark, state.buckets))
+    label, written = _write_load(merged, root, spec, state.buckets, spread)
     loads = state.loads | {b: label for b in touched}
     keys_unique = state.keys_unique and unique
     _commit(spark, root, spec.name, TableState(state.version + 1, state.buckets, keys_unique, loads), txn)
     return written.count()
 
 
-def _bucket(spec: TableSpec, buckets: int):
-    """By the whole merge key, so that one parent with very many children is spread."""
-    return F.pmod(F.xxhash64(*spec.keys), F.lit(buckets)).cast("int")
+def _bucket(spec: TableSpec, buckets: int) -> Column:
+    """By the whole merge key, so that one parent with very many children is spread.
+
+    The hash is the one Spark shuffles by: see ``_aligned``.
+    """
+    return F.pmod(F.hash(*spec.keys), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _aligned(spark: SparkSession, buckets: int) -> bool:
+    """True if rows shuffled by the merge key sit with the rest of their bucket already.
+
+    That is so when one of the two numbers divides the other. The rows can then be written as
+    they come out of the join, a file or a few per bucket, without another shuffle.
+    """
+    partitions = int(
+        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+    return partitions % buckets == 0 or buckets % partitions == 0
 
 
 def _read_buckets(
@@ -155,12 +173,16 @@ def _read_buckets(
     return rows.select(*spec.schema.fieldNames())
 
 
-def _write_load(rows: DataFrame, root: str, spec: TableSpec, buckets: int) -> tuple[str, DataFrame]:
-    """Rows as a new load. The rebalance gives few files per bucket and splits big ones."""
+def _write_load(
+    rows: DataFrame, root: str, spec: TableSpec, buckets: int, spread: bool
+) -> tuple[str, DataFrame]:
+    """Rows as a new load. ``spread`` first gathers each bucket and splits the big ones."""
     label = uuid4().hex
     path = f"{root}/{spec.name}/data/load={label}"
-    bucketed = rows.select("*", _bucket(spec, buckets).alias("bucket"))
-    bucketed.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(path)
+    bucketed = rows.select("*", _bucket(spec, buckets))
+    if spread:
+        bucketed = bucketed.hint("rebalance", F.col("bucket"))
+    bucketed.write.partitionBy("bucket").parquet(path)
     stored = StructType(spec.schema.fields).add("bucket", IntegerType())
     return label, rows.sparkSession.read.schema(stored).parquet(path)
 
