@@ -4,7 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    StringType,
+    StructType,
+)
+
+TYPES: dict[str, DataType] = {
+    "string": StringType(),
+    "int": IntegerType(),
+    "float": FloatType(),
+    "double": DoubleType(),
+    "date": DateType(),
+}
 
 
 @dataclass(frozen=True)
@@ -46,10 +62,15 @@ class TableSpec:
 
     @property
     def schema(self) -> StructType:
-        fields = [f"`{out}` {kind}" for out, _, kind in self.columns]
+        fields = [(out, kind) for out, _, kind in self.columns]
         if self.nested:
-            fields += [f"`{f.split()[0]}` {f.split()[1]}" for f in self.element.split(",")]
-        return StructType.fromDDL(", ".join(fields))
+            fields += [tuple(field.split()) for field in self.element.split(",")]
+        if unknown := {kind for _, kind in fields} - set(TYPES):
+            raise ValueError(f"{self.name}: unknown types {sorted(unknown)}; known: {sorted(TYPES)}")
+        schema = StructType()
+        for name, kind in fields:
+            schema.add(name, TYPES[kind])
+        return schema
 
     @property
     def key_sources(self) -> list[str] | None:

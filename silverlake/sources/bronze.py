@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,9 +76,12 @@ def readiness(spark: SparkSession, root: str, prefixes: Sequence[str], day: str
 
 
 def check_day(spark: SparkSession, root: str, prefixes: Sequence[str], day: str | int) -> str:
-    """One status for the day: any object under any prefix is enough to start."""
+    """One status for the day: any object under any prefix is enough to start.
+
+    Any failure to list the root, be it missing or out of reach, gives ``UNREACHABLE``.
+    """
     try:
         total = readiness(spark, root, prefixes, day).agg(F.sum("objects")).first()[0]
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
         return UNREACHABLE
     return ENOUGH if total else NOT_ENOUGH

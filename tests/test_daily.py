@@ -1,0 +1,120 @@
+import json
+
+from conftest import rows
+from movie_data import AVATAR, AVATAR_CREDITS, credits, movie, movies
+
+from silverlake.plans.daily import PROBLEM, SUCCEEDED, read_log, run_day, run_status, run_summary
+from silverlake.plans.specs import MOVIE_TABLES, find
+from silverlake.sources.silver import read_silver
+from silverlake.streaming.ingest import ingest_available
+
+
+def land(df, root, prefix, stamp):
+    df.coalesce(1).write.parquet(f"{root}/bronze/{prefix}/{prefix}_part_{stamp}.parquet")
+
+
+def run(spark, root, day, **kwargs):
+    return run_day(spark, f"{root}/bronze", f"{root}/silver", day, **kwargs)
+
+
+def table(spark, root, name):
+    return read_silver(spark, f"{root}/silver", find(name))
+
+
+def test_two_days(spark, root):
+    land(movies(spark, AVATAR, movie(2, "b")), root, "movies", "20221104-120000")
+    land(credits(spark, AVATAR_CREDITS), root, "credits", "20221104-120000")
+    log = run(spark, root, 20221104)
+    assert run_status(log) == SUCCEEDED
+    assert rows(run_summary(log).drop("run_id")) == [(8, 8, 8, SUCCEEDED)]
+    assert table(spark, root, "movies").count() == 2
+    assert table(spark, root, "cast").count() == 2
+
+    # A shrunk list, a list where there was none, and a new title.
+    land(
+        movies(
+            spark,
+            movie(19995, "Avatar!", genres=[{"id": 28, "name": "Act"}]),
+            movie(2, "b", genres=[{"id": 1, "name": "Drama"}]),
+        ),
+        root,
+        "movies",
+        "20221105-120000",
+    )
+    log = run(spark, root, "20221105")
+    assert rows(run_summary(log).drop("run_id")) == [(6, 6, 6, SUCCEEDED)]
+    assert rows(table(spark, root, "genres")) == sorted(
+        [("19995", 28, "Act"), ("19995", 12, "Adventure"), ("2", -9999, None), ("2", 1, "Drama")], key=str
+    )
+    assert {r.title for r in table(spark, root, "movies").collect()} == {"Avatar!", "b"}
+    assert read_log(spark, f"{root}/silver").count() == 16
+
+
+def test_later_object_of_a_day_wins_and_a_rerun_changes_nothing(spark, root):
+    only = {"movies": find("movies")}
+    land(movies(spark, movie(1, "late")), root, "movies", "20221104-130000")
+    land(movies(spark, movie(1, "early")), root, "movies", "20221104-120000")
+    for _ in range(2):
+        run(spark, root, 20221104, tables=only)
+        assert [r.title for r in table(spark, root, "movies").collect()] == ["late"]
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, root):
+    land(movies(spark, AVATAR).drop("keywords"), root, "movies", "20221104-120000")
+    land(credits(spark, AVATAR_CREDITS), root, "credits", "20221104-120000")
+    log = run(spark, root, 20221104)
+    failed = log.where("error IS NOT NULL").collect()
+    assert [(r.table, r.status) for r in failed] == [("keywords", "transform_failed")]
+    assert "keywords" in failed[0].error
+    assert rows(run_summary(log).drop("run_id")) == [(8, 7, 7, PROBLEM)]
+    assert table(spark, root, "genres").count() == 2
+
+
+def test_no_objects_is_a_success_without_work(spark, root):
+    log = run(spark, root, 20221104)
+    assert run_status(log) == SUCCEEDED
+    assert {r.status for r in log.collect()} == {"no_objects"}
+
+
+def test_lost_values_are_logged(spark, root):
+    land(movies(spark, movie(1, "a", runtime="x", release_date="1/1/2001")), root, "movies", "20221104-120000")
+    log = run(spark, root, 20221104, tables={"movies": find("movies")})
+    assert log.first().lost_values == 2
+
+
+def test_stream_equals_batch_and_reads_nothing_twice(spark, root):
+    genre = [{"id": 1, "name": "Drama"}]
+    land(movies(spark, AVATAR), root, "movies", "20221104-120000")
+    land(movies(spark, movie(2, "b", genres=genre), movie(None, "no id")), root, "movies", "20221104-130000")
+    tables = {n: find(n) for n in ("movies", "genres")}
+
+    def ingest():
+        query = ingest_available(
+            spark, f"{root}/bronze", f"{root}/silver", "movies", f"{root}/check",
+            tables=tables, files_per_batch=1,
+        )
+        return len([p for p in query.recentProgress if p["numInputRows"]])
+
+    assert ingest() == 2
+    assert ingest() == 0
+    run_day(spark, f"{root}/bronze", f"{root}/batch", 20221104, tables=tables)
+    for spec in tables.values():
+        assert rows(read_silver(spark, f"{root}/silver", spec)) == rows(read_silver(spark, f"{root}/batch", spec))
+
+    # An object of an older day that lands late is still taken.
+    land(movies(spark, movie(3, "late", genres=genre)), root, "movies", "20221101-120000")
+    assert ingest() == 1
+    assert table(spark, root, "genres").where("movie_id = '3'").count() == 1
+
+
+def test_specs_of_other_shapes_work(spark, root):
+    from silverlake.plans.specs import TableSpec
+
+    spec = TableSpec(
+        "tags", "notes", ("note", "tag"), (("note", "note_id", "string"),), "tags", "tag string, w int", ("tag", "-")
+    )
+    data = [(1, json.dumps([{"tag": "x", "w": 1}])), (2, None)]
+    land(spark.createDataFrame(data, "note_id int, tags string"), root, "notes", "20240101-000000")
+    run(spark, root, 20240101, tables={"tags": spec})
+    assert rows(read_silver(spark, f"{root}/silver", spec)) == [("1", "x", 1), ("2", "-", None)]
+    assert "tags" not in MOVIE_TABLES

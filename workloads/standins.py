@@ -77,11 +77,12 @@ def movies_bronze(orders: DataFrame) -> DataFrame:
 def credits_bronze(lineitem: DataFrame) -> DataFrame:
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+    credit = F.concat_ws("-", line, part, supplier, F.date_format("l_shipdate", "yyyyMMdd"))
     gender = F.when(F.col("l_linestatus") == "O", 1).otherwise(2)
     lead = element(
         cast_id=line,
         character=F.col("l_returnflag"),
-        credit_id=F.when(F.col("l_returnflag") != "R", F.concat_ws("-", line, part)),
+        credit_id=F.when(F.col("l_returnflag") != "R", credit),
         gender=gender,
         id=part,
         name=F.concat(F.lit("Part "), part),
@@ -90,14 +91,14 @@ def credits_bronze(lineitem: DataFrame) -> DataFrame:
     extra = element(
         cast_id=line + 100,
         character=F.lit("extra"),
-        credit_id=F.concat_ws("-", line, part, F.lit("x")),
+        credit_id=F.concat_ws("-", credit, F.lit("x")),
         gender=F.lit(None).cast("int"),
         id=supplier,
         name=F.concat(F.lit("Supplier "), supplier),
         order=line + 1,
     )
     crew = element(
-        credit_id=F.concat_ws("-", line, supplier),
+        credit_id=credit,
         department=F.col("l_linestatus"),
         gender=F.lit(0),
         id=supplier,
@@ -132,6 +133,8 @@ def bronze_root(spark: SparkSession, sf_dir: str) -> str:
     return _landed[key]
 
 
+CREDIT_SQL = "l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || strftime(l_shipdate, '%Y%m%d')"
+
 # The silver rows of the same data as SQL, one query per table.
 SILVER_SQL = {
     "movies": """
@@ -178,26 +181,26 @@ SILVER_SQL = {
         FROM orders
         UNION ALL
         SELECT CAST(o_orderkey AS VARCHAR), lower(o_orderstatus), 'Español' FROM orders""",
-    "cast": """
+    "cast": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS movie_id, 'Order ' || l_orderkey AS title,
                l_linenumber AS cast_id, l_returnflag AS character,
-               CASE WHEN l_returnflag <> 'R' THEN l_linenumber || '-' || l_partkey
+               CASE WHEN l_returnflag <> 'R' THEN {CREDIT_SQL}
                     ELSE '0000000000' END AS credit_id,
                CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS gender,
                CAST(l_partkey AS INTEGER) AS id, 'Part ' || l_partkey AS name
         FROM lineitem WHERE l_quantity <= 45
         UNION ALL
         SELECT CAST(l_orderkey AS VARCHAR), 'Order ' || l_orderkey, l_linenumber + 100, 'extra',
-               l_linenumber || '-' || l_partkey || '-x', NULL, CAST(l_suppkey AS INTEGER),
+               {CREDIT_SQL} || '-x', NULL, CAST(l_suppkey AS INTEGER),
                'Supplier ' || l_suppkey
         FROM lineitem WHERE l_quantity <= 45
         UNION ALL
         SELECT CAST(l_orderkey AS VARCHAR), 'Order ' || l_orderkey, NULL, NULL, '0000000000',
                NULL, NULL, NULL
         FROM lineitem WHERE l_quantity > 45""",
-    "crew": """
+    "crew": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS movie_id, 'Order ' || l_orderkey AS title,
-               l_linenumber || '-' || l_suppkey AS credit_id, l_linestatus AS department,
+               {CREDIT_SQL} AS credit_id, l_linestatus AS department,
                0 AS gender, CAST(l_suppkey AS INTEGER) AS id,
                CASE WHEN l_linenumber = 1 THEN 'Director' ELSE 'Crew' END AS job,
                'Supplier ' || l_suppkey AS name
