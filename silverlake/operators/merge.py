@@ -50,7 +50,8 @@ def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
         .agg(F.count(F.lit(1)).alias("source_rows"))
         .where("source_rows > 1")
     )
-    return repeated.join(target.select(*keys).distinct(), list(keys), "left_semi")
+    found = join_to_unique(target.select(*keys), repeated.select(*keys), keys, "left_semi").distinct()
+    return repeated.join(found, list(keys), "left_semi")
 
 
 def upsert(
@@ -109,7 +110,11 @@ def upsert(
     updated = _take_new(updated, keys, columns)
 
     # The keys both sides share: never more than the source has.
-    shared = old.select(*keys).join(incoming.select(*keys), keys, "left_semi").distinct()
+    old_keys, new_keys = old.select(*keys), incoming.select(*keys)
+    if source_small or target_unique:
+        shared = old_keys.join(new_keys, keys, "left_semi").distinct()
+    else:
+        shared = join_to_unique(old_keys, new_keys, keys, "left_semi").distinct()
     if one_per_key:
         added = _take_new(incoming.join(shared, keys, "left_anti"), keys, columns, always=True)
     else:

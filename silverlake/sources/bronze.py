@@ -45,17 +45,11 @@ def inventory(spark: SparkSession, root: str, prefixes: Sequence[str]) -> DataFr
         .load(root)
         .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
     )
-    found = F.coalesce(
-        *[F.when(F.col("path").contains(f"/{p}/"), F.lit(p)) for p in prefixes], F.lit(None)
-    )
-    key = F.coalesce(
-        *[F.when(F.col("prefix") == p, object_key(F.col("path"), p)) for p in prefixes], F.lit(None)
-    )
-    return (
-        objects.withColumn("prefix", found)
-        .where(F.col("prefix").isNotNull())
-        .select("prefix", key.alias(OBJECT_KEY), "bytes", "modified")
-    )
+    inside = root.split("://")[-1].strip("/")
+    key = F.substring_index("path", f"{inside}/", -1)
+    return objects.select(
+        F.substring_index(key, "/", 1).alias("prefix"), key.alias(OBJECT_KEY), "bytes", "modified"
+    ).where(F.col("prefix").isin(list(prefixes)))
 
 
 def readiness(spark: SparkSession, root: str, prefixes: Sequence[str], day: str | int) -> DataFrame:

@@ -104,3 +104,18 @@ def test_views(spark, root):
     upsert_table(spark.createDataFrame([("1", 28, "Action")], genres.schema), root, genres)
     assert register_views(spark, root) == ["genres"]
     assert spark.sql("SELECT name FROM genres WHERE id = 28").first().name == "Action"
+
+
+def test_catalog_merge_needs_a_format_with_merge(spark, root):
+    from pyspark.errors import PySparkException
+
+    from silverlake.sources.catalog import merge_into_catalog
+
+    data = frame(spark, ("1", "a", 1))
+    data.write.option("path", f"{root}/plain").saveAsTable("plain_items")
+    try:
+        with pytest.raises(PySparkException) as failure:
+            merge_into_catalog(data, "plain_items", SPEC)
+        assert failure.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
+    finally:
+        spark.sql("DROP TABLE plain_items")
