@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from silverlake.operators.transform import keys_complete, lost_values, transform
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec, prefixes
 from silverlake.sources.bronze import OBJECT_KEY, scan_day
-from silverlake.sources.silver import upsert_table
+from silverlake.sources.silver import bucket_count, upsert_table
 
 LOG_TABLE = "run_log"
 LOG_SCHEMA = (
@@ -53,7 +53,7 @@ def run_day(
         rows, rows_in = days[spec.prefix]
         done = {"status": NO_OBJECTS, "rows_in": rows_in}
         if rows_in:
-            done |= _load_table(rows, silver, spec, on_duplicate, buckets)
+            done |= _load_table(rows, silver, spec, on_duplicate, buckets or bucket_count(spark, rows_in))
         values = {"run_id": run_id, "day": str(day), "prefix": spec.prefix, "table": spec.name} | done
         return tuple(values.get(field.split()[0]) for field in LOG_SCHEMA.split(", "))
 
@@ -98,7 +98,7 @@ def _day_rows(spark: SparkSession, bronze: str, prefix: str, day: str | int) ->
 
 
 def _load_table(
-    rows: DataFrame, silver: str, spec: TableSpec, on_duplicate: str, buckets: int | None
+    rows: DataFrame, silver: str, spec: TableSpec, on_duplicate: str, buckets: int
 ) -> dict:
     try:
         source = transform(rows, spec, keep=[OBJECT_KEY])

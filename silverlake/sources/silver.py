@@ -27,6 +27,8 @@ from silverlake.sources.scratch import staged
 
 COMMIT_SCHEMA = "bucket int, load string, buckets int, keys_unique boolean, txn string, txn_version long"
 NO_BUCKET = -1  # marks the one commit row of a table without rows
+ROWS_PER_BUCKET = 1_000_000
+FEW_BUCKETS, SOME_BUCKETS = 8, 32  # for a table known to be small; for one of unknown size
 SMALL_BYTES = 10 * 1024 * 1024  # a load up to this size, as written to Parquet, is broadcast
 
 
@@ -96,8 +98,8 @@ def upsert_table(
     """Merge ``source`` into the table, or create it; returns the number of rows written.
 
     ``order_by`` may name source columns beyond the table's: they rank duplicates and are not
-    stored. ``keys_complete`` says that no source key is null. ``buckets`` counts only on creation and defaults to the session's shuffle
-    partitions, which are sized for the data. ``txn`` is ``(writer, number)``: a number that
+    stored. ``keys_complete`` says that no source key is null. ``buckets`` counts only on
+    creation; see ``bucket_count`` for the default. ``txn`` is ``(writer, number)``: a number that
     this writer has already committed is skipped, so a repeated micro-batch does nothing.
     """
     if on_duplicate not in ON_DUPLICATE:
@@ -112,7 +114,7 @@ def upsert_table(
     source = source.select(*spec.schema.fieldNames())
 
     if state is None:
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = buckets or bucket_count(spark)
         spread = not (unique and _aligned(spark, buckets))
         label, written = _write_load(source, root, spec, buckets, spread)
         loads = {b: label for b in _bucket_numbers(written)}
@@ -148,16 +150,31 @@ def _bucket(spec: TableSpec, buckets: int) -> Column:
     return F.pmod(F.hash(*spec.keys), F.lit(buckets)).cast("int").alias("bucket")
 
 
+def bucket_count(spark: SparkSession, rows: int | None = None) -> int:
+    """How many buckets a table for about ``rows`` rows should have.
+
+    One per ROWS_PER_BUCKET, but at least FEW_BUCKETS and no more than the session's shuffle
+    partitions, of which it is a divisor, so that the rows of a bucket are shuffled together.
+    """
+    partitions = _shuffle_partitions(spark)
+    wanted = min(partitions, max(FEW_BUCKETS, rows // ROWS_PER_BUCKET if rows is not None else SOME_BUCKETS))
+    return next(n for n in range(wanted, partitions + 1) if partitions % n == 0)
+
+
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(
+        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+
+
 def _aligned(spark: SparkSession, buckets: int) -> bool:
     """True if rows shuffled by the merge key sit with the rest of their bucket already.
 
     That is so when one of the two numbers divides the other. The rows can then be written as
     they come out of the join, a file or a few per bucket, without another shuffle.
     """
-    partitions = int(
-        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-        or spark.conf.get("spark.sql.shuffle.partitions")
-    )
+    partitions = _shuffle_partitions(spark)
     return partitions % buckets == 0 or buckets % partitions == 0
 
 

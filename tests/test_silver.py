@@ -119,3 +119,13 @@ def test_catalog_merge_needs_a_format_with_merge(spark, root):
         assert failure.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
     finally:
         spark.sql("DROP TABLE plain_items")
+
+
+def test_bucket_count_divides_the_shuffle_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert [silver.bucket_count(spark, n) for n in (0, 5_000_000, 30_000_000, 10**12)] == [8, 8, 40, 200]
+        assert silver.bucket_count(spark) == 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert silver.bucket_count(spark, 10**9) == 4

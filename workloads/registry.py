@@ -17,7 +17,13 @@ from silverlake.plans.specs import MOVIE_TABLES, TableSpec, find
 from silverlake.sources.bronze import readiness as check_readiness
 from silverlake.sources.bronze import inventory, scan_day
 from silverlake.sources.scratch import scratch_path
-from silverlake.sources.silver import read_silver, register_views, table_exists, upsert_table
+from silverlake.sources.silver import (
+    bucket_count,
+    read_silver,
+    register_views,
+    table_exists,
+    upsert_table,
+)
 from silverlake.streaming.ingest import ingest_available
 from workloads.standins import (
     DAY,
@@ -363,7 +369,8 @@ def merge_ambiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SILVER_SQL["genres"])
 def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "silver")
-    upsert_table(silver(spark, sf_dir, "genres"), root, find("genres"))
+    buckets = bucket_count(spark, table(spark, sf_dir, "orders").count())
+    upsert_table(silver(spark, sf_dir, "genres"), root, find("genres"), buckets=buckets)
     return read_silver(spark, root, find("genres"))
 
 
@@ -386,7 +393,8 @@ def merge_stale_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     priority = F.col("o_orderpriority")
     one = json_list(element(id=F.substring(priority, 1, 1).cast("int"), name=F.lower(priority)))
-    upsert_table(transform(movies_bronze(orders), genres), root, genres)
+    buckets = bucket_count(spark, orders.count())
+    upsert_table(transform(movies_bronze(orders), genres), root, genres, buckets=buckets)
     upsert_table(transform(orders.select(F.col("o_orderkey").alias("id"), one.alias("genres")), genres), root, genres)
     return read_silver(spark, root, genres)
 
@@ -493,9 +501,17 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed events through the stream, ten objects at a time; a second call finds nothing."""
     bronze_dir, silver_root = land_events(spark, sf_dir), scratch_path(spark, "silver")
     checkpoint = scratch_path(spark, "checkpoint")
+    buckets = bucket_count(spark, table(spark, sf_dir, "events").count())
     for _ in range(2):
         ingest_available(
-            spark, bronze_dir, silver_root, "events", checkpoint, tables={"events": EVENTS}, files_per_batch=10
+            spark,
+            bronze_dir,
+            silver_root,
+            "events",
+            checkpoint,
+            tables={"events": EVENTS},
+            files_per_batch=10,
+            buckets=buckets,
         )
     return read_silver(spark, silver_root, EVENTS)
 
