@@ -125,6 +125,7 @@ def upsert_table(
     touched = _bucket_numbers(source)
     if not touched:
         return 0
+    small = unique and size <= SMALL_BYTES
     merged = upsert(
         _read_buckets(spark, root, spec, state, touched),
         source.drop("bucket"),
@@ -132,9 +133,10 @@ def upsert_table(
         on_duplicate=on_duplicate,
         source_unique=unique,
         target_unique=state.keys_unique,
-        source_small=unique and size <= SMALL_BYTES,
+        source_small=small,
     )
-    spread = not (unique and _aligned(spark, state.buckets))
+    # A broadcast merge keeps the target's rows with the files, and so the buckets, they came from.
+    spread = not (small or (unique and _aligned(spark, state.buckets)))
     label, written = _write_load(merged, root, spec, state.buckets, spread)
     loads = state.loads | {b: label for b in touched}
     keys_unique = state.keys_unique and unique
