@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from workloads import registry
 from workloads.oracle import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,9 +17,9 @@ def oracle():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, oracle, name):
-    assert difference(entry.queries()[name](spark, SF_DIR), oracle, entry.oracle_sql()[name]) == ""
+    assert difference(registry.QUERIES[name](spark, SF_DIR), oracle, registry.SQL[name]) == ""
 
 
 def test_entry(spark):
