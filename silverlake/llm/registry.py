@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from silverlake.llm import chunk_dedup, mixing
+from silverlake.llm import byte_bpe, chunk_dedup, mixing, pfor_ids
 
 QUERIES = {
+    "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op8_chunk_dedup": chunk_dedup.op8_chunk_dedup,
+    "op9_pfor_ids": pfor_ids.op9_pfor_ids,
     "op10_mixing": mixing.op10_mixing,
 }
 SQL = {
