@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from silverlake.llm import byte_bpe, chunk_dedup, mixing, pfor_ids
+from silverlake.llm import (
+    byte_bpe,
+    chunk_dedup,
+    mixing,
+    ordinal_toxicity,
+    pfor_ids,
+    pu_quality,
+    url_trees,
+)
 
 QUERIES = {
+    "op2_pu_quality": pu_quality.op2_pu_quality,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
+    "op5_url_trees": url_trees.op5_url_trees,
+    "op6_ordinal_toxicity": ordinal_toxicity.op6_ordinal_toxicity,
     "op8_chunk_dedup": chunk_dedup.op8_chunk_dedup,
     "op9_pfor_ids": pfor_ids.op9_pfor_ids,
     "op10_mixing": mixing.op10_mixing,
