@@ -5,10 +5,9 @@ that keep their order as they are learned (each is the one before plus a positiv
 the expected severity, the sum of P(grade >= k), and a text is toxic if P(grade >= 1) >= 0.5.
 
 Labels say toxic or not, so the grades above 0 are derived: the toxic texts of the training rows are
-split, at the quantiles, by the share of their words that speak for toxicity in the training rows.
+split, at the quantiles, by how many words they hold that speak for toxicity in the training rows.
 
-Features are the lower-cased words and their first ``PREFIX`` letters, as 1 + log(count). Word counts
-by label are a Spark aggregate; the ``FEATURES`` with the strongest association are kept, and the
+Features are the lower-cased words, as 1 + log(count). Word counts by label are a Spark aggregate; the ``FEATURES`` with the strongest association are kept, and the
 regression is fitted on the driver over at most ``MOST_ROWS`` labelled texts (picked by a hash of the
 id), as rows of a few feature numbers each. Scoring reads every whole text.
 
@@ -35,22 +34,16 @@ from silverlake.llm.base import stored, table
 
 MOST_ROWS = 20_000
 FEATURES = 1024
-LEAST_TEXTS = 5  # labelled texts with a feature
-PREFIX = 5
+LEAST_TEXTS, LEAST_CHI = 5, 20.0  # labelled texts with a feature, and its chi-square
 GRADES = 3  # above 0
-STEPS, RATE, DECAY = 300, 0.1, 1e-4
+STEPS, RATE, DECAY = 1500, 0.1, 1e-5
 ROWS = 256
 
 _words = re.compile(r"\w+").findall
 
 
 def features(text: str | None) -> Counter:
-    words = Counter(_words((text or "").lower()))
-    prefixes = Counter()
-    for word, n in words.items():
-        if len(word) > PREFIX:
-            prefixes[word[:PREFIX] + "*"] += n
-    return words + prefixes
+    return Counter(_words((text or "").lower()))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -115,6 +108,7 @@ def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str,
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         .where(a + b >= LEAST_TEXTS)
         .select("name", chi.alias("chi"), odds.alias("odds"))
+        .where(F.col("chi") >= LEAST_CHI)
         .orderBy(F.desc("chi"), "name")
         .limit(most)
     )
@@ -126,26 +120,25 @@ def fit(sample: DataFrame, most: int = FEATURES) -> Model:
     if not chosen:
         return Model({}, np.zeros(0), np.zeros(0))
     vocabulary = {name: k for k, (name, _) in enumerate(chosen)}
-    speaks = {name for name, odds in chosen if odds > 2 and not name.endswith("*")}
+    speaks = {name for name, odds in chosen if odds > 2}
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for text, mark in zip(batch["text"], batch["toxic"], strict=True):
                 counts = features(text)
-                total = sum(n for f, n in counts.items() if not f.endswith("*"))
-                share = sum(counts[f] for f in speaks & counts.keys()) / max(total, 1)
+                much = sum(1 + np.log(counts[f]) for f in speaks & counts.keys())
                 known = vocabulary.keys() & counts.keys()
-                out.append((mark, share, [vocabulary[f] for f in known], [counts[f] for f in known]))
-            yield pd.DataFrame(out, columns=["toxic", "share", "at", "n"])
+                out.append((mark, much, [vocabulary[f] for f in known], [counts[f] for f in known]))
+            yield pd.DataFrame(out, columns=["toxic", "much", "at", "n"])
 
     # Bounded by the sample: at most MOST_ROWS rows of the chosen features.
-    data = sample.where("toxic in (0, 1)").mapInPandas(rows, "toxic int, share double, at array<int>, n array<int>")
+    data = sample.where("toxic in (0, 1)").mapInPandas(rows, "toxic int, much double, at array<int>, n array<int>")
     data = data.toPandas()
-    data = data.iloc[np.lexsort((data["at"].map(len), data["share"], data["toxic"]))]
-    toxic, share = data["toxic"].to_numpy(), data["share"].to_numpy()
-    edges = np.quantile(share[toxic == 1], np.arange(1, GRADES) / GRADES)
-    grade = np.where(toxic == 1, 1 + np.searchsorted(edges, share, side="right"), 0)
+    data = data.iloc[np.lexsort((data["at"].map(len), data["much"], data["toxic"]))]
+    toxic, much = data["toxic"].to_numpy(), data["much"].to_numpy()
+    edges = np.quantile(much[toxic == 1], np.arange(1, GRADES) / GRADES)
+    grade = np.where(toxic == 1, 1 + np.searchsorted(edges, much, side="right"), 0)
     owner = np.repeat(np.arange(len(data)), data["at"].map(len))
     at = np.concatenate([*data["at"], np.zeros(0, np.int64)]).astype(np.int64)
     value = 1 + np.log(np.concatenate([*data["n"], np.zeros(0)]).astype(float))
