@@ -8,6 +8,7 @@ from silverlake.llm import (
     mixing,
     ordinal_toxicity,
     pfor_ids,
+    pstable_ann,
     pu_quality,
     url_trees,
 )
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_url_trees": url_trees.op5_url_trees,
     "op6_ordinal_toxicity": ordinal_toxicity.op6_ordinal_toxicity,
+    "op7_pstable_ann": pstable_ann.op7_pstable_ann,
     "op8_chunk_dedup": chunk_dedup.op8_chunk_dedup,
     "op9_pfor_ids": pfor_ids.op9_pfor_ids,
     "op10_mixing": mixing.op10_mixing,
