@@ -10,11 +10,13 @@ from silverlake.llm import (
     pfor_ids,
     pstable_ann,
     pu_quality,
+    trie_lm,
     url_trees,
 )
 
 QUERIES = {
     "op2_pu_quality": pu_quality.op2_pu_quality,
+    "op3_trie_lm": trie_lm.op3_trie_lm,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_url_trees": url_trees.op5_url_trees,
     "op6_ordinal_toxicity": ordinal_toxicity.op6_ordinal_toxicity,
