@@ -5,6 +5,8 @@ rank of the pair that it forms with the next part; every inner node holds the le
 of equal ranks, the leftmost place, so the root names the next merge. A merge changes three leaves:
 that of the merged part, of its live left neighbour, and of the part that is gone; each is a walk to the
 root, which ends where a minimum stays. A piece of n bytes costs O(n log n), also one of megabytes.
+``merge`` does this for one piece; ``merge_many`` does the same merges on the trees of many short pieces at
+once, one row of an array each.
 
 Python is used because merging is a loop whose length depends on the data. Workers hold the rank
 file (given as a broadcast of its bytes, about 1 MB) and a bounded cache of pieces. Defined results: a
@@ -28,9 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 from silverlake.llm.base import table
-from silverlake.llm.pieces import PieceCache, compiled, slices
+from silverlake.llm.pieces import PieceEncoder, slices
 
 NONE = 1 << 62
+LONG = 64  # bytes of a piece that is merged with others
 
 
 def read_ranks(rank_file: bytes) -> dict[bytes, int]:
@@ -95,18 +98,100 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class Pairs:
+    """The ranks of pairs of ids: of every token, and every way to make it from two."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = {
+            ranks[token[:k]] << 32 | ranks[token[k:]]: rank
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if token[:k] in ranks and token[k:] in ranks
+        }
+        self.keys = np.array(sorted(found), np.int64)
+        self.ranks = np.array([found[k] for k in self.keys.tolist()], np.int64)
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, depth: int) -> np.ndarray:
+        """rank << depth | place, or NONE where the two do not merge."""
+        wanted = left << 32 | right
+        at = np.searchsorted(self.keys, wanted)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == wanted, self.ranks[at] << depth | place, NONE)
+
+
+def merge_many(pieces: list[bytes], single: np.ndarray, pairs: Pairs) -> list[bytes]:
+    """The packed ids of pieces of two or more bytes and similar length; ``single``: those of the bytes."""
+    count, longest = len(pieces), max(map(len, pieces))
+    depth = (longest - 1).bit_length()
+    size = 1 << depth
+    lengths = np.array([len(p) for p in pieces])
+    ids = np.full((count, size + 1), -1, np.int64)  # column ``size`` stands for the end
+    inside = np.arange(size + 1) < lengths[:, None]
+    ids[inside] = single[np.frombuffer(b"".join(pieces), np.uint8)]
+    places = np.arange(size + 1)
+    after = np.where(places + 1 < lengths[:, None], places + 1, size)
+    before = np.tile(places - 1, (count, 1))
+    tree = np.full((count, 2 * size), NONE, np.int64)
+    row, left = np.nonzero(inside[:, 1:])
+    tree[row, size + left] = pairs.leaves(ids[row, left], ids[row, left + 1], left, depth)
+    for level in range(depth - 1, -1, -1):
+        below = tree[:, 2 << level : 4 << level]
+        tree[:, 1 << level : 2 << level] = np.minimum(below[:, ::2], below[:, 1::2])
+
+    def put(row: np.ndarray, leaf: np.ndarray, value: np.ndarray | int) -> None:
+        node = size + leaf
+        tree[row, node] = value
+        for _ in range(depth):
+            least = np.minimum(tree[row, node], tree[row, node ^ 1])
+            node = node >> 1
+            tree[row, node] = least
+
+    row = np.arange(count)
+    while True:
+        root = tree[row, 1]
+        row, root = row[root < NONE], root[root < NONE]
+        if not len(row):
+            break
+        i = root & (size - 1)
+        gone = after[row, i]
+        j = after[row, gone]
+        ids[row, i] = root >> depth
+        ids[row, gone] = -1
+        after[row, i] = j
+        before[row, j] = i
+        put(row, gone, NONE)
+        put(row, i, pairs.leaves(ids[row, i], ids[row, j], i, depth))
+        back = before[row, i]
+        some = back >= 0
+        r, p = row[some], back[some]
+        put(r, p, pairs.leaves(ids[r, p], ids[r, i[some]], p, depth))
+    ends = np.cumsum(4 * (ids >= 0).sum(axis=1)).tolist()
+    packed = ids[ids >= 0].astype(np.uint32).tobytes()
+    return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 class Codec:
     def __init__(self, rank_file: bytes, pattern: str):
-        ranks = read_ranks(rank_file)
-        self.pieces = compiled(pattern)
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
+        self.ranks = read_ranks(rank_file)
+        self.pairs = Pairs(self.ranks)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.tokens = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.cache = PieceCache(lambda piece: array("I", merge(piece.encode(), ranks)).tobytes())
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids as packed 32-bit integers."""
-        return b"".join(map(self.cache.__getitem__, self.pieces(text or "")))
+        self.encode = PieceEncoder(pattern, self._encode_new).encode
+
+    def _encode_new(self, pieces: list[str]) -> list[bytes]:
+        data = [piece.encode() for piece in pieces]
+        out: dict[bytes, bytes] = {}
+        sizes: dict[int, list[bytes]] = {}
+        for piece in data:
+            if piece in self.ranks or len(piece) > LONG:
+                out[piece] = array("I", merge(piece, self.ranks)).tobytes()
+            else:
+                sizes.setdefault((len(piece) - 1).bit_length(), []).append(piece)
+        for alike in sizes.values():
+            out.update(zip(alike, merge_many(alike, self.single, self.pairs), strict=True))
+        return [out[piece] for piece in data]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -149,7 +234,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(rank_file, pattern)
         for batch in slices(batches):
-            ids = packed_lists([codec.encode(text) for text in batch.column(text_col).to_pylist()])
+            ids = packed_lists(codec.encode([text or "" for text in batch.column(text_col).to_pylist()]))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], [*kept, ids_col])
 
     return docs.mapInArrow(run, _schema(docs, kept).add(ids_col, ArrayType(IntegerType())))

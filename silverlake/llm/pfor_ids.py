@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from silverlake.llm.base import table
 from silverlake.llm.byte_bpe import packed_lists
-from silverlake.llm.pieces import PieceCache, compiled, slices
+from silverlake.llm.pieces import PieceEncoder, slices
 from silverlake.sources.scratch import scratch_path
 
 BLOCK, PERCENT, IDS = 4096, 99, 1 << 18
@@ -130,25 +130,17 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = compiled(pattern)
-        self.cache = PieceCache(lambda piece: self.whole([piece])[0])
+        self.by_pieces = PieceEncoder(pattern, self.whole)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [self.pieces(t) if PLAIN.fullmatch(t) else None for t in texts]
-        new = set().union(*(p for p in pieces if p is not None)).difference(self.cache)
-        new = [p for p in new if p not in self.cache.old]
-        known = dict(zip(new, self.whole(new), strict=True))
-        for piece, packed in known.items():
-            self.cache.keep(piece, packed)
-        get = self.cache.__getitem__
-        return [
-            self.whole([t])[0] if p is None else b"".join(map(get, p))
-            for t, p in zip(texts, pieces, strict=True)
-        ]
+        plain = [PLAIN.fullmatch(t) is not None for t in texts]
+        by_pieces = iter(self.by_pieces.encode([t for t, p in zip(texts, plain, strict=True) if p]))
+        others = iter(self.whole([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(by_pieces if p else others) for p in plain]
 
 
 _tokens: dict[tuple[int, str], Tokens] = {}  # of this worker, so that the cache lives on between tasks

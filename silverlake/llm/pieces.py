@@ -7,8 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import regex
 
-KEPT = 200_000  # pieces in each of the two generations of a cache
-LONGEST = 200  # characters of a piece that is kept
+KEPT = 300_000  # pieces in each of the two generations of a cache
+LONGEST = 64  # characters of a piece that is kept
 ROWS = 256  # documents worked on at once
 
 
@@ -20,30 +20,33 @@ def compiled(pattern: str) -> Callable[[str], list[str]]:
     ).findall
 
 
-class PieceCache(dict):
-    """Piece -> its ids as packed 32-bit integers; at most twice ``KEPT`` pieces are held.
+class PieceEncoder:
+    """Encodes texts piece by piece; ``encode_new`` gets pieces not seen lately, as one batch.
 
-    When the young generation is full it becomes the old one; what is used again moves back.
+    Ids are packed 32-bit integers. Two generations of at most ``KEPT`` pieces are held: when the young
+    one is full it becomes the old one, and what is used again moves back.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], most: int = KEPT):
-        super().__init__()
-        self.encode, self.most, self.old = encode, most, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        packed = self.old.get(piece)
-        if packed is None:
-            packed = self.encode(piece)
-        self.keep(piece, packed)
-        return packed
-
-    def keep(self, piece: str, packed: bytes) -> None:
-        if len(piece) > LONGEST:
-            return
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = packed
+    def __init__(self, pattern: str, encode_new: Callable[[list[str]], list[bytes]], most: int = KEPT):
+        self.pieces, self.encode_new, self.most = compiled(pattern), encode_new, most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [self.pieces(text) for text in texts]
+        missing = set().union(*split).difference(self.young)
+        known = {p: self.old[p] for p in missing if p in self.old}
+        new = [p for p in missing if p not in known]
+        known.update(zip(new, self.encode_new(new), strict=True))
+        self.young.update(known)
+        get = self.young.__getitem__
+        out = [b"".join(map(get, pieces)) for pieces in split]
+        for piece in known:
+            if len(piece) > LONGEST:
+                del self.young[piece]
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        return out
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:

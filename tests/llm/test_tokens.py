@@ -46,6 +46,21 @@ def test_merge_against_the_library(library):
         assert byte_bpe.merge(piece, ranks) == one.encode_ordinary(piece.decode())
 
 
+def test_many_pieces_at_once(library):
+    with open(RANKS, "rb") as file:
+        codec = byte_bpe.Codec(file.read(), public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    for n in (2, 3, 4, 7, 8, 9, 33, 64):
+        pieces = [
+            "".join(rng.choice("abehinorst éñ日-") for _ in range(rng.randint(max(2, n - 5), n))).encode()
+            for _ in range(200)
+        ]
+        many = byte_bpe.merge_many(pieces, codec.single, codec.pairs)
+        for piece, ids in zip(pieces, many, strict=True):
+            if piece not in codec.ranks:
+                assert np.frombuffer(ids, np.uint32).tolist() == byte_bpe.merge(piece, codec.ranks)
+
+
 def test_encode_and_decode(spark, library):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)], "doc_id long, text string, ids string")
     shared = byte_bpe.share_ranks(spark, RANKS)
