@@ -6,6 +6,7 @@ from silverlake.llm import (
     byte_bpe,
     chunk_dedup,
     mixing,
+    ngram_join,
     ordinal_toxicity,
     pfor_ids,
     pstable_ann,
@@ -15,6 +16,7 @@ from silverlake.llm import (
 )
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_pu_quality": pu_quality.op2_pu_quality,
     "op3_trie_lm": trie_lm.op3_trie_lm,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
