@@ -1,7 +1,7 @@
 """Quality scores by positive-unlabelled learning with the non-negative risk.
 
 Trusted positives are the training rows that are labelled good; the unlabelled side is web text without
-a label. With class prior p, positives P, unlabelled U and logistic loss l, the risk
+a label. With class prior p, positives P, unlabelled U and sigmoid loss l(f) = 1 / (1 + exp(f)), the risk
 ``p E_P[l(f)] + max(0, E_U[l(-f)] - p E_P[l(-f)])`` is minimised: the second part estimates the loss on
 negatives, and where it would fall below zero, which only overfitting does, its gradient is reversed.
 The prior is estimated as the share of good ones among the labelled training rows.
@@ -32,7 +32,7 @@ from silverlake.llm.base import stored, table
 
 MOST_ROWS = 20_000
 BINS = 16
-STEPS, RATE, DECAY = 400, 0.05, 1e-3
+STEPS, RATE, DECAY = 400, 0.05, 1e-5
 FOLDS, HELD_OUT = 3, 1
 MEASURES = (
     "upper", "lower", "wide", "digits", "blanks", "lines", "stops", "marks", "pipes",
@@ -108,14 +108,12 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, steps + 1):
         f_p, f_u = (weights[:-1][x].sum(axis=1) + weights[-1] for x in flat)
-        # Derivatives of the logistic loss l(f) = log(1 + exp(-f)).
-        as_good, as_bad = -_sigmoid(-f_p), _sigmoid(f_p)
-        negative = np.logaddexp(0, f_u).mean() - prior * np.logaddexp(0, f_p).mean()
-        by_p, by_u = -prior * as_bad / len(f_p), _sigmoid(f_u) / len(f_u)
-        if negative >= 0:
-            by_p = by_p + prior * as_good / len(f_p)
+        s_p, s_u = _sigmoid(f_p), _sigmoid(f_u)  # l(-f)
+        slope_p, slope_u = prior * s_p * (1 - s_p) / len(s_p), s_u * (1 - s_u) / len(s_u)
+        if s_u.mean() >= prior * s_p.mean():
+            by_p, by_u = -2 * slope_p, slope_u  # of both parts
         else:
-            by_p, by_u = -by_p, -by_u
+            by_p, by_u = slope_p, -slope_u  # of the second part, reversed
         gradient = np.zeros_like(weights)
         for x, by in zip(flat, (by_p, by_u), strict=True):
             gradient[:-1] += np.bincount(x.ravel(), np.repeat(by, width), width * BINS)
