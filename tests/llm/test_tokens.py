@@ -107,6 +107,17 @@ def test_file_is_read_by_place():
     assert (file.read(4090, 9000) == ids[4090:13090]).all()
 
 
+def test_words_are_encoded_like_whole_texts():
+    with open(JSON, "rb") as file:
+        tokens = pfor_ids.Tokens(file.read(), most=50)
+    rng = random.Random(4)
+    for _ in range(30):
+        texts = ["".join(rng.choice(["a", "the", "é", ",", " ", " ", "\n", "\t", "B2", "'s"]) for _ in range(60)) for _ in range(20)]
+        texts += ["".join(rng.choice(["ab", "\n", " c", " d,", " 12"]) for _ in range(60)) for _ in range(20)]
+        assert tokens.encode(texts) == tokens.whole(texts)
+    assert tokens.encode(["a ", " ", "", " a"]) == tokens.whole(["a ", " ", "", " a"])
+
+
 def test_ids_written_and_read(spark, tmp_path):
     tokenizer = Tokenizer.from_file(JSON)
     tokenizer.encode_special_tokens = True
