@@ -16,8 +16,9 @@ out. Python computes distances as array operations on a group and the queries th
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and vectors of
 another length than most, take no part; nor do null ids; rows that repeat an id and a vector count once;
-ties go to the smaller id; a query never finds its own id; fewer than k candidates give all of them; empty
-tables give an empty result; other columns are ignored.
+ties go to the smaller id; a query never finds its own id; a query for which the tables hold fewer than k is
+compared with all rows, so fewer than k candidates give all of them; empty tables give an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -222,39 +223,59 @@ def search(
     keys = ["tab", "grp", "part"]
 
     def nearest(found: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        """The k nearest of each query, among the vectors of the cells that it visits here or, without cells, all."""
         out = []
         if len(found) and len(asking):
-            found = found.sort_values("cell")
-            cell = found["cell"].to_numpy()
+            if "cell" in found:
+                found = found.sort_values("cell")
+                cell = found["cell"].to_numpy()
             x = np.array(found["vector"].tolist(), float)
             lists = found["ids"].to_numpy()
-            for query_id, point, cells in zip(asking["id"], asking["vector"], asking["cells"], strict=True):
-                first, last = np.searchsorted(cell, cells), np.searchsorted(cell, cells, side="right")
-                some = np.flatnonzero(last > first)
-                if not len(some):
-                    continue
-                at = np.concatenate([np.arange(first[i], last[i]) for i in some])
-                d = np.sqrt(((x[at] - np.asarray(point, float)) ** 2).sum(axis=1))
-                if len(at) > k + 1:  # the query itself may be one of them
-                    near = d <= np.partition(d, k)[k]
-                    at, d = at[near], d[near]
-                ids = np.concatenate(lists[at].tolist())
-                d = np.repeat(d, [len(i) for i in lists[at]])
-                d, ids = d[ids != query_id], ids[ids != query_id]
-                best = np.lexsort((ids, d))[:k]
-                out.append((np.full(len(best), query_id), ids[best], d[best]))
+            at = np.arange(len(x))
+            for row in asking.itertuples():
+                if "cell" in found:
+                    first, last = np.searchsorted(cell, row.cells), np.searchsorted(cell, row.cells, side="right")
+                    some = np.flatnonzero(last > first)
+                    if not len(some):
+                        continue
+                    at = np.concatenate([np.arange(first[i], last[i]) for i in some])
+                out.append(closest(x[at], lists[at], row.id, np.asarray(row.vector, float), k))
         columns = zip(*out, strict=True) if out else ([np.zeros(0)],) * 3
         names = ("query_id", "vec_id", "score")
         return pd.DataFrame({n: np.concatenate(c) for n, c in zip(names, columns, strict=True)})
 
-    found = members.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(
-        nearest, "query_id long, vec_id long, score double"
-    )
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    result = "query_id long, vec_id long, score double"
+
+    def merge(found: DataFrame) -> DataFrame:
+        return stored(found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), "neighbours")
+
+    merged = merge(members.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(nearest, result))
+    # Queries for which the tables hold fewer than k are compared with all rows, a part at a time.
+    full = merged.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    short = stored(asked.join(full.select(F.col("query_id").alias("id")), "id", "left_anti"), "short")
+    if not short.isEmpty():
+        asking = short.select("id", "vector", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
+        whole = index.withColumn("grp", F.pmod(F.xxhash64("vector"), F.lit(groups)).cast("int"))
+        more = merge(whole.groupBy("grp").cogroup(asking.groupBy("grp")).applyInPandas(nearest, result))
+        ids = short.select(F.col("id").alias("query_id")).distinct()
+        merged = merged.join(ids, "query_id", "left_anti").unionByName(more)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return merged.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
+def closest(x: np.ndarray, lists: np.ndarray, query_id: int, point: np.ndarray, k: int) -> tuple:
+    """(query_id, id, distance) of the k nearest of the vectors ``x``, which have the ids in ``lists``."""
+    d = np.sqrt(((x - point) ** 2).sum(axis=1))
+    if len(d) > k + 1:  # the query itself may be one of them
+        near = d <= np.partition(d, k)[k]
+        d, lists = d[near], lists[near]
+    ids = np.concatenate(lists.tolist())
+    d = np.repeat(d, [len(i) for i in lists])
+    d, ids = d[ids != query_id], ids[ids != query_id]
+    best = np.lexsort((ids, d))[:k]
+    return np.full(len(best), query_id), ids[best], d[best]
+
+
 def op7_pstable_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.where("vec_id % 100 = 0"))
