@@ -63,18 +63,27 @@ class EliasFano:
         first, second = self.low[at] >> shift, self.low[at + 1] << ((WORD - shift) & _u64(63))
         return (first | np.where(shift > 0, second, _u64(0))) & _u64((1 << self.low_bits) - 1)
 
-    def _below(self, high: np.ndarray) -> np.ndarray:
-        """How many numbers have a high part below ``high`` (as int64)."""
-        k = high - 1  # the place of the zero that ends the part before
-        some = k >= 0
-        out = np.zeros(len(high), np.int64)
-        k = k[some]
+    def _alike(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places first <= i < last of the numbers whose high part is ``high`` (as int64)."""
+        k = high - 1  # the zero that ends the part before; it is followed by the ones of this part
         if self.zeros is None:
             self.zeros = np.arange(len(self.ones)) * 64 - self.ones
-        word = np.minimum(np.searchsorted(self.zeros, k, side="right") - 1, len(self.high) - 1)
-        bit = _select(~self.high[word], k - self.zeros[word])
-        out[some] = word * 64 + bit - k
-        return np.minimum(out, self.n)
+        word = np.clip(np.searchsorted(self.zeros, k, side="right") - 1, 0, len(self.high) - 1)
+        bit = _select(~self.high[word], np.maximum(k - self.zeros[word], 0))
+        at = np.where(k < 0, 0, word * 64 + bit + 1)
+        first = at - high
+        # Ones from there to the next zero: within the word, and on from word to word while it is full.
+        count = np.zeros(len(high), np.int64)
+        open_ = np.arange(len(high))
+        while len(open_):
+            shift = _u64(at[open_] & 63)
+            off = ~(self.high[at[open_] >> 6] >> shift)
+            ones = np.bitwise_count((off & (~off + ONE)) - ONE).astype(np.int64)
+            ones = np.minimum(ones, 64 - shift.astype(np.int64))
+            count[open_] += ones
+            at[open_] += ones
+            open_ = open_[(ones > 0) & (at[open_] & 63 == 0) & (at[open_] >> 6 < len(self.high))]
+        return first, np.minimum(first + count, self.n)
 
     def successor(
         self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None
@@ -83,12 +92,18 @@ class EliasFano:
 
         ``last`` (the end) if there is none.
         """
+        return self._search(x, first, last)[0]
+
+    def _search(
+        self, x: np.ndarray, first: np.ndarray | None, last: np.ndarray | None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The successor's place, and where the numbers with the high part of x end."""
         x = _u64(x)
-        high = (x >> _u64(self.low_bits)).astype(np.int64)
+        lo, end = self._alike((x >> _u64(self.low_bits)).astype(np.int64))
         wanted = x & _u64((1 << self.low_bits) - 1)
-        lo, hi = self._below(high), self._below(high + 1)
         if first is not None:
-            lo, hi = np.clip(lo, first, last), np.clip(hi, first, last)
+            lo, end = np.clip(lo, first, last), np.clip(end, first, last)
+        hi = end.copy()
         active = np.flatnonzero(lo < hi)
         while len(active):
             middle = (lo[active] + hi[active]) >> 1
@@ -96,7 +111,7 @@ class EliasFano:
             lo[active[less]] = middle[less] + 1
             hi[active[~less]] = middle[~less]
             active = active[lo[active] < hi[active]]
-        return lo
+        return lo, end
 
     def find(
         self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None
@@ -104,11 +119,14 @@ class EliasFano:
         """The place of x, or -1."""
         if not self.n:
             return np.full(len(x), -1, np.int64)
-        place = self.successor(x, first, last)
-        inside = place < (self.n if last is None else last)
-        found = np.zeros(len(place), bool)
-        found[inside] = self.access(place[inside]) == _u64(x)[inside]
-        return np.where(found, place, -1)
+        place, end = self._search(x, first, last)
+        # Before the end the high parts are equal, so only the low parts are left to compare.
+        some = np.flatnonzero(place < end)
+        wanted = _u64(x)[some] & _u64((1 << self.low_bits) - 1)
+        found = some[self._low(place[some]) == wanted]
+        out = np.full(len(place), -1, np.int64)
+        out[found] = place[found]
+        return out
 
 
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:

@@ -30,6 +30,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -83,7 +84,8 @@ def sequences(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.n
     out[first], out[first + counts + 1], out[first + counts + 2] = START, END, PAD
     inside = np.ones(len(out), bool)
     inside[first] = inside[first + counts + 1] = inside[first + counts + 2] = False
-    out[inside] = np.fromiter((h for w in words for h in map(hashes.__getitem__, w)), np.uint64, counts.sum())
+    each = map(hashes.__getitem__, chain.from_iterable(words))
+    out[inside] = np.fromiter(each, np.uint64, counts.sum())
     return out, counts
 
 
@@ -348,12 +350,13 @@ class Reader:
         system, root = pyarrow.fs.FileSystem.from_uri(self.model.folder)
         path = f"{root}/{name}"
         if isinstance(system, pyarrow.fs.LocalFileSystem):
-            return elias_fano.unpack(np.memmap(path, np.uint8, "r"))
+            return elias_fano.unpack(np.memmap(path, np.uint8, "r").view(np.ndarray))
         with tempfile.TemporaryFile() as copy, system.open_input_stream(path) as file:
             while part := file.read(1 << 22):
                 copy.write(part)
             copy.flush()
-            return elias_fano.unpack(np.memmap(copy, np.uint8, "r"))  # private, and gone with the mapping
+            # A private copy, gone with the mapping.
+            return elias_fano.unpack(np.memmap(copy, np.uint8, "r").view(np.ndarray))
 
     def trie(self, shard: int) -> dict | None:
         if shard not in self.model.tries:
@@ -426,7 +429,7 @@ class Reader:
         vocabulary, index = np.unique(sequence, return_inverse=True)
         count, left = self.words(vocabulary)
         n = self.model.tokens
-        single = (np.maximum(count - DISCOUNT, 0) / n if n else 0.0) + self.floor
+        single = np.maximum(count - DISCOUNT, 0) / max(n, 1) + self.floor
         at, pair, third = triples(sequence, counts)
         # Tokens are the second words of all triples; the third of one is the second of the next.
         token, before = index[at + 1], index[at]
