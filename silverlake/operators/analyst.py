@@ -1,15 +1,16 @@
 """The analyst questions over silver tables.
 
 Sums of money go through an exact decimal, so results do not depend on the order in which
-partitions are added up. Sentinel rows (no genre, no credit) are left out explicitly.
+partitions are added up; a revenue that does not fit it (NaN, infinite, too large) counts as
+unknown everywhere. Sentinel rows (no genre, no credit) and credits without a person's id are left
+out. ``movies_unique`` says that a movie has one row, as in a table loaded with ``latest``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlake.operators.skew import join_to_unique
 from silverlake.plans.specs import NO_CREDIT, NO_ID
 
 MONEY = "decimal(28,4)"
@@ -17,50 +18,52 @@ MONEY = "decimal(28,4)"
 
 def top_movie_of(cast: DataFrame, movies: DataFrame, person: str) -> DataFrame:
     """The highest-grossing movie with the given actor: one row, or none."""
-    starred = cast.where(F.col("name") == person).select("movie_id").distinct()
+    starred = cast.where(F.col("name") == person).select("movie_id")
     return (
-        movies.where("revenue IS NOT NULL")
+        _paid(movies, "movie_id", "title")
         .join(starred, "movie_id", "left_semi")
-        .select(F.lit(person).alias("name"), "movie_id", "title", "revenue")
+        .select(F.lit(person).alias("name"), "movie_id", "title", F.col("revenue").cast("double"))
         .orderBy(F.desc("revenue"), "movie_id")
         .limit(1)
     )
 
 
-def top_movies(cast: DataFrame, movies: DataFrame) -> DataFrame:
+def top_movies(cast: DataFrame, movies: DataFrame, movies_unique: bool = False) -> DataFrame:
     """Every actor's highest-grossing movie; ties go to the smaller movie id."""
-    roles = cast.where(F.col("credit_id") != NO_CREDIT).select("movie_id", "id", "name")
-    paid = _one_per_movie(movies.where("revenue IS NOT NULL"), "revenue", "title")
+    roles = _credited(cast).select("movie_id", "id", "name")
+    paid = _one_per_movie(_paid(movies, "movie_id", "title"), movies_unique, "revenue", "title")
     best = F.min(F.struct((-F.col("revenue")).alias("loss"), "movie_id", "title"))
     return (
-        join_to_unique(roles, paid, ["movie_id"])
+        roles.join(paid, "movie_id")
         .groupBy("id", "name")
         .agg(best.alias("best"))
-        .select("id", "name", "best.movie_id", "best.title", (-F.col("best.loss")).alias("revenue"))
+        .select(
+            "id", "name", "best.movie_id", "best.title", (-F.col("best.loss")).cast("double").alias("revenue")
+        )
     )
 
 
-def revenue_by_genre(genres: DataFrame, movies: DataFrame) -> DataFrame:
+def revenue_by_genre(genres: DataFrame, movies: DataFrame, movies_unique: bool = False) -> DataFrame:
     """Per genre: number of movies with a known revenue, average and greatest revenue."""
-    known = _one_per_movie(movies.where("revenue IS NOT NULL"), "revenue")
+    known = _one_per_movie(_paid(movies, "movie_id"), movies_unique, "revenue")
     tagged = genres.where(F.col("id") != NO_ID).select("movie_id", "name")
     return (
-        join_to_unique(tagged, known, ["movie_id"])
+        tagged.join(known, "movie_id")
         .groupBy("name")
         .agg(
             F.count(F.lit(1)).alias("movies"),
-            F.round(_exact_sum("revenue") / F.count(F.lit(1)), 2).alias("avg_revenue"),
-            F.max("revenue").alias("max_revenue"),
+            F.round(F.sum("revenue").cast("double") / F.count(F.lit(1)), 2).alias("avg_revenue"),
+            F.max("revenue").cast("double").alias("max_revenue"),
         )
     )
 
 
 def revenue_by_month(movies: DataFrame) -> DataFrame:
     """Per release year and month: number of movies and their revenue."""
-    released = movies.where("release_date IS NOT NULL AND revenue IS NOT NULL")
+    released = _paid(movies.where("release_date IS NOT NULL"), "release_date")
     return released.groupBy(
         F.year("release_date").alias("year"), F.month("release_date").alias("month")
-    ).agg(F.count(F.lit(1)).alias("movies"), F.round(_exact_sum("revenue"), 2).alias("revenue"))
+    ).agg(F.count(F.lit(1)).alias("movies"), F.round(F.sum("revenue").cast("double"), 2).alias("revenue"))
 
 
 def release_revenue_correlation(movies: DataFrame) -> DataFrame:
@@ -81,7 +84,7 @@ def crew_loyalty(crew: DataFrame, job: str = "Director") -> DataFrame:
     """
     member = F.col("id")
     people = (
-        crew.where(F.col("credit_id") != NO_CREDIT)
+        _credited(crew)
         .groupBy("movie_id", "id")
         .agg(F.max(F.col("job") == job).alias("directs"))
     )
@@ -94,7 +97,7 @@ def crew_loyalty(crew: DataFrame, job: str = "Director") -> DataFrame:
     )
     directed = people.where("directs").select("movie_id", "id")
     return (
-        join_to_unique(directed, crews, ["movie_id"])
+        directed.join(crews, "movie_id")
         .groupBy("id", "crew")
         .agg(F.count(F.lit(1)).alias("times"))
         .groupBy("id")
@@ -109,7 +112,7 @@ def crew_loyalty(crew: DataFrame, job: str = "Director") -> DataFrame:
 
 def most_active(crew: DataFrame, job: str = "Director") -> DataFrame:
     """The person with the most movies in the given job: one row ``(id, movies)``."""
-    held = crew.where((F.col("credit_id") != NO_CREDIT) & (F.col("job") == job))
+    held = _credited(crew).where(F.col("job") == job)
     return (
         held.select("id", "movie_id")
         .distinct()
@@ -120,27 +123,31 @@ def most_active(crew: DataFrame, job: str = "Director") -> DataFrame:
     )
 
 
-def collaborators(crew: DataFrame, director: DataFrame, job: str = "Director") -> DataFrame:
-    """How often each person worked with one director.
+def collaborators(crew: DataFrame, directors: DataFrame, job: str = "Director") -> DataFrame:
+    """How often each person worked with each of the given directors.
 
-    ``director`` is a single row with the person's ``id``, such as ``most_active`` gives.
-    Result: ``(id, shared, total, ratio)``, where ratio 1 means on every movie.
+    ``directors`` has the persons' ``id``, such as ``most_active`` gives. Result:
+    ``(director, id, shared, total, ratio)``, where ratio 1 means on every movie.
     """
-    real = crew.where(F.col("credit_id") != NO_CREDIT)
-    one = F.broadcast(director.select("id").limit(1))
-    directed = real.where(F.col("job") == job).join(one, "id", "left_semi").select("movie_id").distinct()
-    total = directed.agg(F.count(F.lit(1)).alias("total"))
-    members = real.join(one, "id", "left_anti").select("movie_id", "id")
+    real = _credited(crew)
+    wanted = directors.select("id").distinct()
+    directed = (
+        real.where(F.col("job") == job)
+        .join(wanted, "id", "left_semi")
+        .select(F.col("id").alias("director"), "movie_id")
+        .distinct()
+    )
+    totals = directed.groupBy("director").agg(F.count(F.lit(1)).alias("total"))
     shared = (
-        join_to_unique(members, directed, ["movie_id"], "left_semi")
+        real.select("movie_id", "id")
+        .join(directed, "movie_id")
+        .where(F.col("id") != F.col("director"))
         .distinct()
-        .groupBy("id")
+        .groupBy("director", "id")
         .agg(F.count(F.lit(1)).alias("shared"))
     )
-    return (
-        shared.withColumn("total", total.scalar())
-        .withColumn("ratio", F.round(F.col("shared") / F.col("total"), 4))
-    )
+    ratio = F.round(F.col("shared") / F.col("total"), 4).alias("ratio")
+    return shared.join(totals, "director").select("director", "id", "shared", "total", ratio)
 
 
 def crew_credits(crew: DataFrame, person: str) -> DataFrame:
@@ -148,13 +155,19 @@ def crew_credits(crew: DataFrame, person: str) -> DataFrame:
     return crew.where(F.col("name") == person).select("movie_id", "title", "department", "job")
 
 
-def _one_per_movie(movies: DataFrame, *columns: str) -> DataFrame:
+def _credited(rows: DataFrame) -> DataFrame:
+    return rows.where((F.col("credit_id") != NO_CREDIT) & F.col("id").isNotNull())
+
+
+def _paid(movies: DataFrame, *columns: str) -> DataFrame:
+    """``revenue`` as exact money, and ``columns``, where the revenue is known."""
+    known = movies.select(F.col("revenue").try_cast(MONEY).alias("revenue"), *columns)
+    return known.where(F.col("revenue").isNotNull())
+
+
+def _one_per_movie(movies: DataFrame, unique: bool, *columns: str) -> DataFrame:
     """One row per movie id. Shuffles by the id, which the join that follows needs anyway."""
-    if len(columns) == 1:
-        return movies.groupBy("movie_id").agg(F.max(columns[0]).alias(columns[0]))
+    if unique:
+        return movies
     row = F.max(F.struct(*columns)).alias("row")
     return movies.groupBy("movie_id").agg(row).select("movie_id", *[f"row.{c}" for c in columns])
-
-
-def _exact_sum(column: str) -> Column:
-    return F.sum(F.col(column).try_cast(MONEY)).cast("double")

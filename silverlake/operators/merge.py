@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlake.operators.skew import join_to_unique
-
 ON_DUPLICATE = ("latest", "error", "keep")
 
 
@@ -50,8 +48,7 @@ def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
         .agg(F.count(F.lit(1)).alias("source_rows"))
         .where("source_rows > 1")
     )
-    found = join_to_unique(target.select(*keys), repeated.select(*keys), keys, "left_semi").distinct()
-    return repeated.join(found, list(keys), "left_semi")
+    return repeated.join(target.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def upsert(
@@ -63,7 +60,6 @@ def upsert(
     order_by: Sequence[str] = (),
     source_unique: bool = False,
     target_unique: bool = False,
-    source_small: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it, with the columns of ``target``.
 
@@ -73,14 +69,11 @@ def upsert(
     - ``error``: fail the job if such a key also exists in the target, else add every row;
     - ``keep``: add every row without a match; a match takes the greatest row.
 
-    What the caller knows about the data picks the plan, never the result:
-
-    - ``source_unique`` (as after ``dedupe_latest``) leaves out the aggregate by key;
-    - ``source_unique`` and ``target_unique`` (a table loaded with ``latest``) rule out hot
-      keys, so one full outer join does it;
-    - ``source_small``, for a source of checked size, broadcasts it: the target is streamed
-      through without a shuffle;
-    - otherwise the target is searched for hot keys, which are joined apart from the rest.
+    What the caller knows about the data picks the plan, never the result: ``source_unique`` (as
+    after ``dedupe_latest``) leaves out the aggregate by key, and ``target_unique`` (a table
+    loaded with ``latest``) rules out hot keys, so one full outer join does it, with a shuffle of
+    each side. Otherwise target rows are updated in a left join, whose large partitions Spark may
+    split, and new rows are found against the target's distinct keys.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {on_duplicate!r}")
@@ -94,31 +87,20 @@ def upsert(
     old = target.where(keys_present(keys))
     unmatched = [side.where(keys_missing(keys)).select(*columns) for side in (target, source)]
 
-    if one_per_key and target_unique and not source_small:
+    if one_per_key and target_unique:
         merged = _take_new(old.join(incoming, keys, "full_outer"), keys, columns)
         return reduce(DataFrame.unionByName, [merged, *unmatched])
 
-    if source_small:
-        incoming = F.broadcast(incoming)
-    if source_small or target_unique:
-        updated = old.join(incoming, keys, "left")
-    else:
-        updated = join_to_unique(old, incoming, keys, "left")
+    updated = old.join(incoming, keys, "left")
     if on_duplicate == "error" and not source_unique:
         failure = F.raise_error(F.lit(f"several source rows for one {keys}")).cast("boolean")
         updated = updated.where(F.when(F.col("__copies") > 1, failure).otherwise(F.lit(True)))
     updated = _take_new(updated, keys, columns)
-
-    # The keys both sides share: never more than the source has.
-    old_keys, new_keys = old.select(*keys), incoming.select(*keys)
-    if source_small or target_unique:
-        shared = old_keys.join(new_keys, keys, "left_semi").distinct()
-    else:
-        shared = join_to_unique(old_keys, new_keys, keys, "left_semi").distinct()
+    known = old.select(*keys).distinct()  # combined in the map tasks
     if one_per_key:
-        added = _take_new(incoming.join(shared, keys, "left_anti"), keys, columns, always=True)
+        added = _take_new(incoming.join(known, keys, "left_anti"), keys, columns, always=True)
     else:
-        added = join_to_unique(keyed, shared, keys, "left_anti").select(*columns)
+        added = keyed.join(known, keys, "left_anti").select(*columns)
     return reduce(DataFrame.unionByName, [updated, added, *unmatched])
 
 

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from silverlake.operators.transform import keys_complete, lost_values, transform
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec, prefixes
-from silverlake.sources.bronze import OBJECT_KEY, scan_day
-from silverlake.sources.silver import bucket_count, upsert_table
+from silverlake.sources.bronze import OBJECT_KEY, day_objects, read_objects
+from silverlake.sources.catalog import merge_into_catalog
+from silverlake.sources.silver import upsert_table
 
 LOG_TABLE = "run_log"
 LOG_SCHEMA = (
     "run_id string, day string, prefix string, table string, status string, "
-    "rows_in long, rows_written long, lost_values long, error string"
+    "objects long, rows_in long, rows_written long, lost_values long, lost map<string,bigint>, error string"
 )
 
 # The two outcomes of a run.
@@ -25,7 +26,7 @@ SUCCEEDED = "transformation_and_save_succeeded"
 PROBLEM = "some_problem_occurred"
 
 # What happened to one table.
-WRITTEN, NO_OBJECTS = "written", "no_objects"
+WRITTEN, NO_OBJECTS, READ_FAILED = "written", "no_objects", "read_failed"
 TRANSFORM_FAILED, WRITE_FAILED = "transform_failed", "write_failed"
 
 
@@ -37,23 +38,27 @@ def run_day(
     *,
     tables: dict[str, TableSpec] = MOVIE_TABLES,
     on_duplicate: str = "latest",
-    buckets: int | None = None,
     at_once: int = 4,
+    catalog: str | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Load the day's objects and return the run's log rows, one per table.
 
     Each table takes one pass over the columns it needs and one merge, however many objects
     landed. Objects rank by key, so a later one wins. A table that fails is logged with its
-    error and does not stop the others; ``at_once`` tables are loaded at the same time.
+    error and does not stop the others, nor does a prefix whose objects cannot be read;
+    ``at_once`` tables are loaded at the same time. With ``catalog`` (a namespace of a table
+    format with its own MERGE) the tables are merged there, and ``silver`` holds the log alone.
+    ``pattern`` narrows the listing of objects, see ``inventory``.
     """
     run_id = uuid4().hex
-    days = {prefix: _day_rows(spark, bronze, prefix, day) for prefix in prefixes(tables)}
+    days = {prefix: _day_rows(spark, bronze, prefix, day, pattern) for prefix in prefixes(tables)}
 
     def load(spec: TableSpec) -> tuple:
-        rows, rows_in = days[spec.prefix]
-        done = {"status": NO_OBJECTS, "rows_in": rows_in}
-        if rows_in:
-            done |= _load_table(rows, silver, spec, on_duplicate, buckets or bucket_count(spark, rows_in))
+        rows, done = days[spec.prefix]
+        if rows is not None:
+            to = f"{catalog}.{spec.name}" if catalog else None
+            done = done | _load_table(rows, silver, spec, on_duplicate, to)
         values = {"run_id": run_id, "day": str(day), "prefix": spec.prefix, "table": spec.name} | done
         return tuple(values.get(field.split()[0]) for field in LOG_SCHEMA.split(", "))
 
@@ -69,9 +74,10 @@ def read_log(spark: SparkSession, silver: str) -> DataFrame:
 
 
 def run_summary(log: DataFrame) -> DataFrame:
-    """``(run_id, expected, transformed, written, status)`` per run."""
+    """``(run_id, objects, expected, transformed, written, status)`` per run; objects over all tables."""
     status = F.col("status")
     counts = log.groupBy("run_id").agg(
+        F.sum(F.coalesce("objects", F.lit(0))).alias("objects"),
         F.count_if(status != NO_OBJECTS).alias("expected"),
         F.count_if(status.isin(WRITTEN, WRITE_FAILED)).alias("transformed"),
         F.count_if(status == WRITTEN).alias("written"),
@@ -86,38 +92,43 @@ def run_status(log: DataFrame) -> str:
     return summary["status"] if summary else SUCCEEDED
 
 
-def _day_rows(spark: SparkSession, bronze: str, prefix: str, day: str | int) -> tuple:
-    """The day's rows and their number, which Parquet footers tell without reading data."""
+def _day_rows(spark: SparkSession, bronze: str, prefix: str, day: str | int, pattern: str | None) -> tuple:
+    """The day's rows (None if there are none to load) and what the log says of them.
+
+    Parquet footers tell the number of rows without reading data.
+    """
     try:
-        rows = scan_day(spark, bronze, prefix, day)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None, 0
-        raise
-    return rows, rows.count()
+        paths = day_objects(spark, bronze, prefix, day, pattern)
+        if not paths:
+            return None, {"status": NO_OBJECTS, "objects": 0, "rows_in": 0}
+        rows = read_objects(spark, bronze, paths)
+        count = rows.count()
+    except Exception as error:  # one prefix's failure must not stop the others
+        if isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND":
+            return None, {"status": NO_OBJECTS, "objects": 0, "rows_in": 0}
+        return None, {"status": READ_FAILED, "error": _text(error)}
+    return rows, {"objects": len(paths), "rows_in": count}
 
 
 def _load_table(
-    rows: DataFrame, silver: str, spec: TableSpec, on_duplicate: str, buckets: int
+    rows: DataFrame, silver: str, spec: TableSpec, on_duplicate: str, catalog_table: str | None
 ) -> dict:
     try:
         source = transform(rows, spec, keep=[OBJECT_KEY])
     except Exception as error:  # one table's failure must not stop the others
         return {"status": TRANSFORM_FAILED, "error": _text(error)}
     try:
-        written = upsert_table(
-            source,
-            silver,
-            spec,
-            on_duplicate=on_duplicate,
-            order_by=[OBJECT_KEY],
-            keys_complete=keys_complete(rows, spec),
-            buckets=buckets,
-        )
-        lost = None if spec.nested else lost_values(rows, spec).agg(F.sum("lost")).first()[0]
+        how = {"on_duplicate": on_duplicate, "order_by": [OBJECT_KEY], "keys_complete": keys_complete(rows, spec)}
+        if catalog_table:
+            merge_into_catalog(source, catalog_table, spec, **how)
+            written = None
+        else:
+            written = upsert_table(source, silver, spec, **how)
+        lost = None if spec.nested else {r["column"]: r["lost"] for r in lost_values(rows, spec).collect()}
     except Exception as error:
         return {"status": WRITE_FAILED, "error": _text(error)}
-    return {"status": WRITTEN, "rows_written": written, "lost_values": lost}
+    total = None if lost is None else sum(lost.values())
+    return {"status": WRITTEN, "rows_written": written, "lost_values": total, "lost": lost}
 
 
 def _text(error: Exception) -> str:

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 OBJECT_KEY = "object_key"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 # The three outcomes of the check for a day's objects.
 ENOUGH = "enough_file"
@@ -17,46 +23,112 @@ NOT_ENOUGH = "not_enough_file"
 UNREACHABLE = "http_request_error"
 
 
-def object_key(path: Column, prefix: str) -> Column:
-    """The part of an object's path below its prefix, so the root cannot match a day."""
-    return F.concat(F.lit(f"{prefix}/"), F.substring_index(path, f"/{prefix}/", -1))
+def object_key(path: Column, root: str, encoded: bool = True) -> Column:
+    """What an object's path has below the root, so the root cannot match a day.
 
-
-def scan_day(spark: SparkSession, root: str, prefix: str, day: str | int) -> DataFrame:
-    """All rows of the prefix's objects whose key names ``day``, plus ``object_key``.
-
-    One DataFrame over all objects. The day is a predicate on the file path, which Spark
-    applies to the file listing, so other days' files are not opened; without a match the
-    result is empty.
+    The root is taken off once, from the left. ``_metadata.file_path`` is percent-encoded, the
+    ``path`` of ``binaryFile`` is not.
     """
-    rows = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{prefix}")
-    key = object_key(F.col("_metadata.file_path"), prefix)
-    return rows.select("*", key.alias(OBJECT_KEY)).where(key.contains(str(day)))
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    inside = re.sub(SCHEME, "", root).rstrip("/")
+    return F.substring(F.regexp_replace(path, SCHEME, ""), len(inside) + 2, 1 << 20)
 
 
-def inventory(spark: SparkSession, root: str, prefixes: Sequence[str]) -> DataFrame:
-    """``(prefix, object_key, bytes, modified)`` of every object; contents are not read.
+def inventory(
+    spark: SparkSession, root: str, prefixes: Sequence[str], pattern: str | None = None
+) -> DataFrame:
+    """``(prefix, object_key, path, bytes, modified)`` of every object; contents are not read.
 
-    A prefix folder that does not exist counts as empty; a missing root is an error.
+    A prefix folder that does not exist counts as empty; a missing root is an error. ``pattern``
+    narrows the listing to names below the prefix, as ``*20221104*``; without it everything
+    below the root is listed.
     """
-    objects = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
-    )
-    inside = root.split("://")[-1].strip("/")
-    key = F.substring_index("path", f"{inside}/", -1)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern is None:
+        objects = reader.load(root)
+    else:
+        found = [o for o in (_listed(reader, f"{root}/{p}/{pattern}") for p in prefixes) if o is not None]
+        objects = reduce(DataFrame.unionAll, found) if found else reader.load(root).limit(0)
+    key = object_key(F.col("path"), root, encoded=False)
     return objects.select(
-        F.substring_index(key, "/", 1).alias("prefix"), key.alias(OBJECT_KEY), "bytes", "modified"
+        F.substring_index(key, "/", 1).alias("prefix"),
+        key.alias(OBJECT_KEY),
+        "path",
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified"),
     ).where(F.col("prefix").isin(list(prefixes)))
 
 
-def readiness(spark: SparkSession, root: str, prefixes: Sequence[str], day: str | int) -> DataFrame:
+def _listed(reader, path: str) -> DataFrame | None:
+    try:
+        return reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def day_objects(
+    spark: SparkSession, root: str, prefix: str, day: str | int, pattern: str | None = None
+) -> list[str]:
+    """The paths of the prefix's objects whose key names ``day``; as many as landed that day."""
+    objects = inventory(spark, root, [prefix], pattern).where(F.col(OBJECT_KEY).contains(str(day)))
+    return sorted(r["path"] for r in objects.select("path").collect())
+
+
+def scan_day(
+    spark: SparkSession, root: str, prefix: str, day: str | int, pattern: str | None = None
+) -> DataFrame:
+    """All rows of the prefix's objects whose key names ``day``, plus ``object_key``.
+
+    Only these objects are opened, each with its own columns: objects of one schema are read
+    together, a column whose type differs between them is given as text, and one that an object
+    lacks is null there. Without a match the result is empty.
+    """
+    return read_objects(spark, root, day_objects(spark, root, prefix, day, pattern))
+
+
+def read_objects(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], f"{OBJECT_KEY} string")
+    groups = _by_schema(spark, paths)
+    kinds = defaultdict(set)
+    for schema, _ in groups:
+        for field in schema:
+            kinds[field.name].add(field.dataType.simpleString())
+    parts = []
+    for schema, files in groups:
+        rows = spark.read.schema(schema).parquet(*files)
+        columns = [
+            F.col(f"`{f.name}`").cast("string").alias(f.name) if len(kinds[f.name]) > 1 else F.col(f"`{f.name}`")
+            for f in schema
+        ]
+        parts.append(rows.select(*columns, object_key(F.col("_metadata.file_path"), root).alias(OBJECT_KEY)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files of equal schema. An object that is a folder was written at once, so one footer tells."""
+    folders = defaultdict(list)
+    for path in paths:
+        parent = path.rpartition("/")[0]
+        folders[parent if parent.endswith(".parquet") else path].append(path)
+    with ThreadPoolExecutor(16) as pool:
+        schemas = pool.map(lambda files: spark.read.parquet(files[0]).schema, folders.values())
+        found: dict[str, tuple[StructType, list[str]]] = {}
+        for schema, files in zip(schemas, folders.values(), strict=True):
+            found.setdefault(schema.json(), (schema, []))[1].extend(files)
+    return list(found.values())
+
+
+def readiness(
+    spark: SparkSession, root: str, prefixes: Sequence[str], day: str | int, pattern: str | None = None
+) -> DataFrame:
     """``(prefix, objects, status)`` for the day; a prefix without objects shows 0."""
     declared = spark.createDataFrame([(p,) for p in prefixes], "prefix string")
     counts = (
-        inventory(spark, root, prefixes)
+        inventory(spark, root, prefixes, pattern)
         .where(F.col(OBJECT_KEY).contains(str(day)))
         .groupBy("prefix")
         .agg(F.count(F.lit(1)).alias("found"))
@@ -72,10 +144,17 @@ def readiness(spark: SparkSession, root: str, prefixes: Sequence[str], day: str
 def check_day(spark: SparkSession, root: str, prefixes: Sequence[str], day: str | int) -> str:
     """One status for the day: any object under any prefix is enough to start.
 
-    Any failure to list the root, be it missing or out of reach, gives ``UNREACHABLE``.
+    A root that is missing or that the file system cannot reach gives ``UNREACHABLE``; any other
+    error is raised.
     """
     try:
         total = readiness(spark, root, prefixes, day).agg(F.sum("objects")).first()[0]
-    except (PySparkException, Py4JJavaError):
-        return UNREACHABLE
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return UNREACHABLE
+        raise
+    except Py4JJavaError as error:
+        if re.match(r"java\.(io|net)\.|org\.apache\.hadoop\.", error.java_exception.getClass().getName()):
+            return UNREACHABLE
+        raise
     return ENOUGH if total else NOT_ENOUGH

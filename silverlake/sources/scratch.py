@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -18,19 +18,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get(SETTING, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError(f"set {SETTING} to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="silverlake-")
         spark.conf.set(SETTING, base) if spark.conf.isModifiable(SETTING) else None
     return f"{base.rstrip('/')}/silverlake/{label}-{uuid4().hex}"
 
 
-def staged(rows: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """``rows`` written to scratch and read back, and the bytes written.
+def staged(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written to scratch and read back.
 
     Cuts the lineage, so that a lost executor costs one re-read and nothing is computed twice.
     """
-    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, label)
+    path = scratch_path(rows.sparkSession, label)
     rows.write.parquet(path)
-    sizes = spark.read.format("binaryFile").load(path).agg(F.sum("length"))
-    return spark.read.schema(rows.schema).parquet(path), sizes.first()[0] or 0
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

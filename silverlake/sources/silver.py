@@ -1,63 +1,60 @@
-"""Silver tables as plain Parquet, updated by rewriting only what a load touches.
+"""Silver tables as plain Parquet: a load rewrites the files that hold its keys and adds new ones.
 
-A table is spread over buckets by a hash of its merge key::
+    <root>/<table>/data/load=<label>/*.parquet   rows written by one load, clustered by key
+    <root>/<table>/commits/version=<v>/*.parquet   the files that make up the table
 
-    <root>/<table>/data/load=<label>/bucket=<n>/*.parquet   rows written by one load
-    <root>/<table>/commits/version=<v>/*.parquet            which load holds each bucket
-
-A load writes new files for the buckets it touches and then one small commit; files that
-are being read are never replaced, and a load that dies half-way leaves the table as it was.
-A table takes one writer at a time: the commit of a second one finds its version taken.
+Files that are being read are never replaced, and a load that dies half-way leaves the table as
+it was. A table takes one writer at a time: the commit of a second one finds its version taken.
+Where the cluster has a table format with its own MERGE, ``silverlake.sources.catalog`` hands
+the work to it instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
 
 from silverlake.operators.merge import ON_DUPLICATE, dedupe_latest, upsert
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec
 from silverlake.sources.scratch import staged
 
-COMMIT_SCHEMA = "bucket int, load string, buckets int, keys_unique boolean, txn string, txn_version long"
-NO_BUCKET = -1  # marks the one commit row of a table without rows
-ROWS_PER_BUCKET = 1_000_000
-FEW_BUCKETS, SOME_BUCKETS = 8, 32  # for a table known to be small; for one of unknown size
-SMALL_BYTES = 10 * 1024 * 1024  # a load up to this size, as written to Parquet, is broadcast
+COMMIT_SCHEMA = "file string, keys_unique boolean, writers map<string,bigint>"
+# Rows in a file: a thousandth of the load, within these bounds.
+FEWEST_ROWS, MOST_ROWS = 100_000, 2_000_000
 
 
 @dataclass(frozen=True)
 class TableState:
-    """The newest commit of a table. ``loads`` maps bucket -> load label."""
+    """The newest commit of a table. ``writers`` has the last batch of each stream."""
 
     version: int
-    buckets: int
     keys_unique: bool
-    loads: dict[int, str]
+    files: list[str]
+    writers: dict[str, int] = field(default_factory=dict)
 
 
 def table_state(spark: SparkSession, root: str, table: str) -> TableState | None:
     """The newest commit, or None if the table was never loaded."""
-    commits = _commits(spark, root, table)
-    if commits is None:
-        return None
-    version = commits.agg(F.max("version")).first()[0]
+    path = f"{root}/{table}/commits"
+    try:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    number = F.regexp_extract("path", r"/version=(\d+)/", 1).cast("long")
+    version = listing.select("path").agg(F.max(number)).first()[0]
     if version is None:
         return None
-    # At most one row per bucket, and the number of buckets is fixed when a table is created.
-    rows = commits.where(F.col("version") == version).collect()
-    return TableState(
-        version=version,
-        buckets=rows[0]["buckets"],
-        keys_unique=rows[0]["keys_unique"],
-        loads={r["bucket"]: r["load"] for r in rows if r["bucket"] != NO_BUCKET},
-    )
+    # A row for each file of the table.
+    rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/version={version}").collect()
+    files = [r["file"] for r in rows if r["file"] is not None]
+    return TableState(version, rows[0]["keys_unique"], files, rows[0]["writers"] or {})
 
 
 def table_exists(spark: SparkSession, root: str, table: str) -> bool:
@@ -69,7 +66,7 @@ def read_silver(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     state = table_state(spark, root, spec.name)
     if state is None:
         raise ValueError(f"silver table {spec.name!r} does not exist under {root}")
-    return _read_buckets(spark, root, spec, state, state.loads)
+    return _read_files(spark, root, spec, state.files)
 
 
 def register_views(
@@ -92,147 +89,86 @@ def upsert_table(
     on_duplicate: str = "latest",
     order_by: Sequence[str] = (),
     keys_complete: bool = False,
-    buckets: int | None = None,
     txn: tuple[str, int] | None = None,
 ) -> int:
     """Merge ``source`` into the table, or create it; returns the number of rows written.
 
     ``order_by`` may name source columns beyond the table's: they rank duplicates and are not
-    stored. ``keys_complete`` says that no source key is null. ``buckets`` counts only on
-    creation; see ``bucket_count`` for the default. ``txn`` is ``(writer, number)``: a number that
-    this writer has already committed is skipped, so a repeated micro-batch does nothing.
+    stored. ``keys_complete`` says that no source key is null. ``txn`` is ``(writer, number)``: a
+    number that this writer has already committed is skipped, so a repeated micro-batch does nothing.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {on_duplicate!r}")
     spark = source.sparkSession
-    if txn and _already_done(spark, root, spec.name, txn):
-        return 0
     state = table_state(spark, root, spec.name)
+    writers = dict(state.writers) if state else {}
+    if txn and writers.get(txn[0], -1) >= txn[1]:
+        return 0
+    writers |= dict([txn] if txn else [])
     unique = on_duplicate == "latest"
     if unique:
         source = dedupe_latest(source, spec.keys, order_by, keys_complete)
-    source = source.select(*spec.schema.fieldNames())
-
+    source = staged(source.select(*spec.schema.fieldNames()), f"{spec.name}-source")
+    rows = source.count()
     if state is None:
-        buckets = buckets or bucket_count(spark)
-        spread = not (unique and _aligned(spark, buckets))
-        label, written = _write_load(source, root, spec, buckets, spread)
-        loads = {b: label for b in _bucket_numbers(written)}
-        _commit(spark, root, spec.name, TableState(0, buckets, unique, loads), txn)
-        return written.count()
-
-    source, size = staged(source.select("*", _bucket(spec, state.buckets)), f"{spec.name}-source")
-    touched = _bucket_numbers(source)
-    if not touched:
+        files, written = _write_load(source, root, spec, rows)
+        _commit(spark, root, spec.name, TableState(0, unique, files, writers))
+        return written
+    if not rows:
         return 0
-    small = unique and size <= SMALL_BYTES
+    touched = _touched(spark, root, spec, state, source)
+    target = _read_files(spark, root, spec, touched)
     merged = upsert(
-        _read_buckets(spark, root, spec, state, touched),
-        source.drop("bucket"),
+        target,
+        source,
         spec.keys,
         on_duplicate=on_duplicate,
         source_unique=unique,
         target_unique=state.keys_unique,
-        source_small=small,
     )
-    # A broadcast merge keeps the target's rows with the files, and so the buckets, they came from.
-    spread = not (small or (unique and _aligned(spark, state.buckets)))
-    label, written = _write_load(merged, root, spec, state.buckets, spread)
-    loads = state.loads | {b: label for b in touched}
-    keys_unique = state.keys_unique and unique
-    _commit(spark, root, spec.name, TableState(state.version + 1, state.buckets, keys_unique, loads), txn)
-    return written.count()
+    added, written = _write_load(merged, root, spec, rows + target.count())
+    files = sorted(set(state.files) - set(touched)) + added
+    _commit(spark, root, spec.name, TableState(state.version + 1, state.keys_unique and unique, files, writers))
+    return written
 
 
-def _bucket(spec: TableSpec, buckets: int) -> Column:
-    """By the whole merge key, so that one parent with very many children is spread.
+def _touched(spark: SparkSession, root: str, spec: TableSpec, state: TableState, source: DataFrame) -> list[str]:
+    """The files that hold a key of the source; only key columns are read.
 
-    The hash is the one Spark shuffles by: see ``_aligned``.
+    The range of the source's first key goes to the scan, which skips files and row groups by
+    their statistics, as files are clustered by key.
     """
-    return F.pmod(F.hash(*spec.keys), F.lit(buckets)).cast("int").alias("bucket")
-
-
-def bucket_count(spark: SparkSession, rows: int | None = None) -> int:
-    """How many buckets a table for about ``rows`` rows should have.
-
-    One per ROWS_PER_BUCKET, but at least FEW_BUCKETS and no more than the session's shuffle
-    partitions, of which it is a divisor, so that the rows of a bucket are shuffled together.
-    """
-    partitions = _shuffle_partitions(spark)
-    wanted = min(partitions, max(FEW_BUCKETS, rows // ROWS_PER_BUCKET if rows is not None else SOME_BUCKETS))
-    return next(n for n in range(wanted, partitions + 1) if partitions % n == 0)
-
-
-def _shuffle_partitions(spark: SparkSession) -> int:
-    return int(
-        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-        or spark.conf.get("spark.sql.shuffle.partitions")
-    )
-
-
-def _aligned(spark: SparkSession, buckets: int) -> bool:
-    """True if rows shuffled by the merge key sit with the rest of their bucket already.
-
-    That is so when one of the two numbers divides the other. The rows can then be written as
-    they come out of the join, a file or a few per bucket, without another shuffle.
-    """
-    partitions = _shuffle_partitions(spark)
-    return partitions % buckets == 0 or buckets % partitions == 0
-
-
-def _read_buckets(
-    spark: SparkSession, root: str, spec: TableSpec, state: TableState, wanted: Iterable[int]
-) -> DataFrame:
-    data = f"{root}/{spec.name}/data"
-    paths = [f"{data}/load={state.loads[b]}/bucket={b}" for b in sorted(wanted) if b in state.loads]
-    if not paths:
+    first = spec.keys[0]
+    low, high = source.agg(F.min(first), F.max(first)).first()
+    if low is None or not state.files:
+        return []
+    name = F.substring_index(F.url_decode(F.col("_metadata.file_path")), f"/{spec.name}/data/", -1)
+    keys = _read_files(spark, root, spec, state.files).select(*spec.keys, name.alias("file"))
+    near = keys.where(F.col(first).between(low, high))
+    found = near.join(source.select(*spec.keys), list(spec.keys), "left_semi")
+    return [r["file"] for r in found.select("file").distinct().collect()]
+
+
+def _read_files(spark: SparkSession, root: str, spec: TableSpec, files: Sequence[str]) -> DataFrame:
+    if not files:
         return spark.createDataFrame([], spec.schema)
-    stored = StructType(spec.schema.fields).add("bucket", IntegerType()).add("load", "string")
-    rows = spark.read.schema(stored).option("basePath", data).parquet(*paths)
-    return rows.select(*spec.schema.fieldNames())
-
-
-def _write_load(
-    rows: DataFrame, root: str, spec: TableSpec, buckets: int, spread: bool
-) -> tuple[str, DataFrame]:
-    """Rows as a new load. ``spread`` first gathers each bucket and splits the big ones."""
-    label = uuid4().hex
-    path = f"{root}/{spec.name}/data/load={label}"
-    bucketed = rows.select("*", _bucket(spec, buckets))
-    if spread:
-        bucketed = bucketed.hint("rebalance", F.col("bucket"))
-    bucketed.write.partitionBy("bucket").parquet(path)
-    stored = StructType(spec.schema.fields).add("bucket", IntegerType())
-    return label, rows.sparkSession.read.schema(stored).parquet(path)
-
-
-def _bucket_numbers(rows: DataFrame) -> list[int]:
-    return [r["bucket"] for r in rows.select("bucket").distinct().collect()]
-
-
-def _commits(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(f"{COMMIT_SCHEMA}, version long").parquet(f"{root}/{table}/commits")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(spec.schema).parquet(*[f"{root}/{spec.name}/data/{f}" for f in files])
 
 
-def _already_done(spark: SparkSession, root: str, table: str, txn: tuple[str, int]) -> bool:
-    commits = _commits(spark, root, table)
-    if commits is None:
-        return False
-    done = commits.where((F.col("txn") == txn[0]) & (F.col("txn_version") >= txn[1]))
-    return not done.isEmpty()
+def _write_load(rows: DataFrame, root: str, spec: TableSpec, count: int) -> tuple[list[str], int]:
+    """Rows as new files, each a range of keys; the files' names and the number of rows."""
+    spark, label = rows.sparkSession, f"load={uuid4().hex}"
+    path = f"{root}/{spec.name}/data/{label}"
+    per_file = min(MOST_ROWS, max(FEWEST_ROWS, count // 1000))
+    clustered = rows.repartitionByRange(-(-max(count, 1) // per_file), *spec.keys)
+    clustered.sortWithinPartitions(*spec.keys).write.option("maxRecordsPerFile", 2 * per_file).parquet(path)
+    listing = spark.read.format("binaryFile").load(path).select("path").collect()
+    files = sorted(f"{label}/{r['path'].rpartition('/')[2]}" for r in listing)
+    return files, spark.read.schema(spec.schema).parquet(path).count()
 
 
-def _commit(
-    spark: SparkSession, root: str, table: str, state: TableState, txn: tuple[str, int] | None
-) -> None:
-    loads = state.loads or {NO_BUCKET: None}
-    writer, number = txn or (None, None)
-    rows = [(b, load, state.buckets, state.keys_unique, writer, number) for b, load in loads.items()]
+def _commit(spark: SparkSession, root: str, table: str, state: TableState) -> None:
+    rows = [(file, state.keys_unique, state.writers) for file in state.files or [None]]
     # One task writes one file, so a commit is visible as a whole or not at all.
     spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.parquet(
         f"{root}/{table}/commits/version={state.version}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +14,8 @@ from silverlake.plans.specs import MOVIE_TABLES, TableSpec
 from silverlake.sources.bronze import OBJECT_KEY, object_key
 from silverlake.sources.silver import upsert_table
 
+ARRIVED = "arrived"
+
 
 def ingest_available(
     spark: SparkSession,
@@ -24,14 +28,15 @@ def ingest_available(
     schema: StructType | None = None,
     files_per_batch: int | None = None,
     on_duplicate: str = "latest",
-    buckets: int | None = None,
 ) -> StreamingQuery:
     """Merge every object of ``prefix`` not seen before into its silver tables, then stop.
 
-    Files are taken oldest first, so later objects overwrite earlier ones, and an object that
-    lands late is picked up by the next call, whatever day its key names. The checkpoint
-    remembers what was read; each merge records its batch number, so a batch repeated after
-    a failure is applied once.
+    Objects count in the order of their arrival, by modification time and then key, within a
+    batch as between batches, so the size of a batch does not change the result (the daily batch
+    knows the day's objects beforehand and ranks them by key). An object that lands late is picked
+    up by the next call, whatever day its key names. The checkpoint remembers what was read; each
+    merge records the query's id, which a new checkpoint renews, and the batch number, so a batch
+    repeated after a failure is applied once.
     """
     path = f"{bronze}/{prefix}"
     schema = schema or spark.read.option("recursiveFileLookup", True).parquet(path).schema
@@ -39,21 +44,24 @@ def ingest_available(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrivals = reader.parquet(path).select(
-        "*", object_key(F.col("_metadata.file_path"), prefix).alias(OBJECT_KEY)
+        "*",
+        F.col("_metadata.file_modification_time").alias(ARRIVED),
+        object_key(F.col("_metadata.file_path"), bronze).alias(OBJECT_KEY),
     )
     specs = [spec for spec in tables.values() if spec.prefix == prefix]
 
     def merge_batch(batch: DataFrame, number: int) -> None:
+        started = spark.read.text(f"{checkpoint}/metadata").first()[0]
+        writer = f"{prefix}@{json.loads(started)['id']}"
         for spec in specs:
             upsert_table(
-                transform(batch, spec, keep=[OBJECT_KEY]),
+                transform(batch, spec, keep=[ARRIVED, OBJECT_KEY]),
                 silver,
                 spec,
                 on_duplicate=on_duplicate,
-                order_by=[OBJECT_KEY],
+                order_by=[ARRIVED, OBJECT_KEY],
                 keys_complete=keys_complete(batch, spec),
-                buckets=buckets,
-                txn=(f"{prefix}@{checkpoint}", number),
+                txn=(writer, number),
             )
 
     query = (

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from silverlake.operators import analyst, skew
+from silverlake.operators import analyst
 
 CREW = "movie_id string, title string, credit_id string, department string, gender int, id int, job string, name string"
 
@@ -27,12 +27,6 @@ def crew_rows():
     return data
 
 
-@pytest.fixture(autouse=True)
-def small_hot_keys(monkeypatch):
-    """Let the split for hot keys act on test-sized data."""
-    monkeypatch.setattr(skew.join_to_unique, "__defaults__", ("inner", 50))
-
-
 def test_crew_loyalty(spark, crew_rows):
     sets, directs = defaultdict(set), defaultdict(set)
     for movie, _, credit, _, _, person, job, _ in crew_rows:
@@ -63,7 +57,24 @@ def test_collaborators(spark, crew_rows):
     shared = Counter(p for m in directs[top] for p in members[m] if p != top)
     total = len(directs[top])
     expected = [(p, n, total, round(n / total, 4)) for p, n in shared.items()]
-    assert rows(analyst.collaborators(crew, analyst.most_active(crew))) == sorted(expected, key=str)
+    assert rows(analyst.collaborators(crew, analyst.most_active(crew)).drop("director")) == sorted(expected, key=str)
+
+
+def test_several_directors_are_kept_apart(spark, crew_rows):
+    crew = spark.createDataFrame(crew_rows, CREW)
+    two = spark.createDataFrame([(1,), (2,), (2,)], "id int")
+    both = analyst.collaborators(crew, two)
+    for person in (1, 2):
+        one = analyst.collaborators(crew, two.where(F.col("id") == person))
+        assert rows(one) == rows(both.where(F.col("director") == person)) != []
+
+
+def test_credits_without_a_person_are_left_out(spark, crew_rows):
+    more = [*crew_rows, ("1", "t1", "real", "d", 0, None, "Director", "nobody"), ("3", "t3", "real2", "d", 0, None, "Crew", "nobody")]
+    old, new = (spark.createDataFrame(x, CREW) for x in (crew_rows, more))
+    assert rows(analyst.crew_loyalty(old)) == rows(analyst.crew_loyalty(new))
+    everyone = old.select("id").where("id IS NOT NULL")
+    assert rows(analyst.collaborators(old, everyone)) == rows(analyst.collaborators(new, everyone))
 
 
 def test_top_movies_and_ties(spark):
@@ -90,6 +101,14 @@ def test_revenue_by_genre_leaves_out_the_sentinel_and_unknown_revenue(spark):
     assert rows(result) == [("Action", 2, 1.5, 2.0), ("Adventure", 1, 2.0, 2.0)]
 
 
+def test_revenue_that_is_no_money_counts_nowhere(spark):
+    genres = spark.createDataFrame([(str(i), 1, "g") for i in range(4)], "movie_id string, id int, name string")
+    movies = spark.createDataFrame(
+        [("0", float("nan")), ("1", 10.0), ("2", float("inf")), ("3", 1e40)], "movie_id string, revenue double"
+    )
+    assert rows(analyst.revenue_by_genre(genres, movies)) == [("g", 1, 10.0, 10.0)]
+
+
 def test_revenue_by_genre_with_a_hot_movie(spark):
     genres = spark.range(3000).select(
         F.expr("IF(id % 3 = 0, '1', CAST(id AS STRING))").alias("movie_id"),

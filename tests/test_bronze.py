@@ -55,3 +55,28 @@ def test_inventory_and_readiness(spark, root):
     assert check_day(spark, root, ["movies", "credits"], 20221104) == ENOUGH
     assert check_day(spark, root, ["movies", "credits"], 20221105) == NOT_ENOUGH
     assert check_day(spark, f"{root}/nowhere", ["movies"], 20221104) == UNREACHABLE
+
+
+def test_a_folder_named_as_its_prefix_below_the_day(spark, root):
+    land(movies(spark, AVATAR), root, "movies/20221105/movies/obj.parquet")
+    land(movies(spark, movie(2, "b")), root, "movies/a day/x+y_20221106%.parquet")
+    assert check_day(spark, root, ["movies"], 20221105) == ENOUGH
+    assert rows(scan_day(spark, root, "movies", 20221105).select("id")) == [(19995,)]
+    day = scan_day(spark, f"file://{root}/", "movies", 20221106)
+    assert day.first().object_key.startswith("movies/a day/x+y_20221106%.parquet/")
+
+
+def test_objects_of_different_schema(spark, root):
+    land(movies(spark, AVATAR), root, "movies/movies_part_20221104-120000.parquet")
+    text = movies(spark, movie(2, "b")).withColumn("id", F.col("id").cast("string")).drop("tagline")
+    land(text, root, "movies/movies_part_20221104-130000.parquet")
+    day = scan_day(spark, root, "movies", 20221104)
+    assert sorted((r.id, r.tagline) for r in day.collect()) == [("19995", ""), ("2", None)]
+
+
+def test_pattern_narrows_the_listing(spark, root):
+    land(movies(spark, AVATAR), root, "movies/movies_part_20221104-120000.parquet")
+    land(movies(spark, AVATAR), root, "movies/movies_part_20221105-120000.parquet")
+    assert inventory(spark, root, ["movies", "credits"], "*20221105*").count() == 1
+    assert scan_day(spark, root, "movies", 20221105, "*20221105*").count() == 1
+    assert scan_day(spark, root, "movies", 20221106, "*20221106*").isEmpty()

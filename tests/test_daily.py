@@ -1,7 +1,10 @@
 import json
+import os
 
+import pytest
 from conftest import rows
 from movie_data import AVATAR, AVATAR_CREDITS, credits, movie, movies
+from pyspark.sql import functions as F
 
 from silverlake.plans.daily import PROBLEM, SUCCEEDED, read_log, run_day, run_status, run_summary
 from silverlake.plans.specs import MOVIE_TABLES, find
@@ -26,7 +29,7 @@ def test_two_days(spark, root):
     land(credits(spark, AVATAR_CREDITS), root, "credits", "20221104-120000")
     log = run(spark, root, 20221104)
     assert run_status(log) == SUCCEEDED
-    assert rows(run_summary(log).drop("run_id")) == [(8, 8, 8, SUCCEEDED)]
+    assert rows(run_summary(log).drop("run_id", "objects")) == [(8, 8, 8, SUCCEEDED)]
     assert table(spark, root, "movies").count() == 2
     assert table(spark, root, "cast").count() == 2
 
@@ -42,7 +45,7 @@ def test_two_days(spark, root):
         "20221105-120000",
     )
     log = run(spark, root, "20221105")
-    assert rows(run_summary(log).drop("run_id")) == [(6, 6, 6, SUCCEEDED)]
+    assert rows(run_summary(log).drop("run_id", "objects")) == [(6, 6, 6, SUCCEEDED)]
     assert rows(table(spark, root, "genres")) == sorted(
         [("19995", 28, "Act"), ("19995", 12, "Adventure"), ("2", -9999, None), ("2", 1, "Drama")], key=str
     )
@@ -66,7 +69,7 @@ def test_one_failing_table_does_not_stop_the_others(spark, root):
     failed = log.where("error IS NOT NULL").collect()
     assert [(r.table, r.status) for r in failed] == [("keywords", "transform_failed")]
     assert "keywords" in failed[0].error
-    assert rows(run_summary(log).drop("run_id")) == [(8, 7, 7, PROBLEM)]
+    assert rows(run_summary(log).drop("run_id", "objects")) == [(8, 7, 7, PROBLEM)]
     assert table(spark, root, "genres").count() == 2
 
 
@@ -80,6 +83,59 @@ def test_lost_values_are_logged(spark, root):
     land(movies(spark, movie(1, "a", runtime="x", release_date="1/1/2001")), root, "movies", "20221104-120000")
     log = run(spark, root, 20221104, tables={"movies": find("movies")})
     assert log.first().lost_values == 2
+    assert {c: n for c, n in log.first().lost.items() if n} == {"runtime": 1, "release_date": 1}
+    assert log.first().objects == 1
+
+
+def test_a_prefix_that_cannot_be_read_does_not_stop_the_others(spark, root):
+    land(movies(spark, AVATAR), root, "movies", "20221104-120000")
+    spark.createDataFrame([("no parquet",)], "t string").write.text(f"{root}/bronze/credits/credits_part_20221104.parquet")
+    log = run(spark, root, 20221104)
+    assert {r.status for r in log.where("prefix = 'movies'").collect()} == {"written"}
+    assert {r.status for r in log.where("prefix = 'credits'").collect()} == {"read_failed"}
+    assert run_status(log) == PROBLEM
+
+
+def test_an_empty_folder_has_no_objects(spark, root):
+    land(movies(spark, AVATAR), root, "movies", "20221104-120000")
+    os.makedirs(f"{root}/bronze/credits")
+    log = run(spark, root, 20221104)
+    assert {r.status for r in log.where("prefix = 'credits'").collect()} == {"no_objects"}
+    assert run_status(log) == SUCCEEDED
+
+
+def test_days_of_different_schema(spark, root):
+    only = {"movies": find("movies")}
+    land(movies(spark, movie(1, "a")).drop("tagline"), root, "movies", "20221104-120000")
+    land(movies(spark, movie(1, "b"), movie(2, "c")).withColumn("id", F.col("id").cast("string")), root, "movies", "20221105-120000")
+    assert "tagline" in run(spark, root, 20221104, tables=only).first().error
+    assert run_status(run(spark, root, 20221105, tables=only)) == SUCCEEDED
+    assert rows(table(spark, root, "movies").select("movie_id", "title")) == [("1", "b"), ("2", "c")]
+
+
+@pytest.mark.parametrize("per_batch", [None, 1])
+def test_arrival_decides_in_a_stream_whatever_the_batch(spark, root, per_batch):
+    only = {"movies": find("movies")}
+    for k, stamp in enumerate(("20221104-130000", "20221104-120000")):  # the smaller key arrives later
+        land(movies(spark, movie(1, f"arrival {k}")), root, "movies", stamp)
+        for folder, _, files in os.walk(f"{root}/bronze/movies/movies_part_{stamp}.parquet"):
+            for file in files:
+                os.utime(f"{folder}/{file}", (1_700_000_000 + 60 * k,) * 2)
+    ingest_available(
+        spark, f"{root}/bronze", f"{root}/silver", "movies", f"{root}/check", tables=only, files_per_batch=per_batch
+    )
+    assert [r.title for r in table(spark, root, "movies").collect()] == ["arrival 1"]
+
+
+def test_a_new_checkpoint_loads_again(spark, root):
+    only = {"movies": find("movies")}
+    args = (spark, f"{root}/bronze", f"{root}/silver", "movies", f"{root}/check")
+    land(movies(spark, movie(1, "a")), root, "movies", "20221104-120000")
+    ingest_available(*args, tables=only)
+    os.rename(f"{root}/check", f"{root}/old-check")
+    land(movies(spark, movie(2, "b")), root, "movies", "20221105-120000")
+    ingest_available(*args, tables=only)
+    assert table(spark, root, "movies").count() == 2
 
 
 def test_stream_equals_batch_and_reads_nothing_twice(spark, root):

@@ -5,8 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from oracle import connect, difference
 from workloads import registry
-from workloads.oracle import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
@@ -22,5 +22,10 @@ def test_query(spark, oracle, name):
     assert difference(registry.QUERIES[name](spark, SF_DIR), oracle, registry.SQL[name]) == ""
 
 
+@pytest.mark.parametrize("name", list(registry.QUERIES))
+def test_no_result_is_empty(spark, oracle, name):
+    assert oracle.execute(f"SELECT count(*) FROM ({registry.SQL[name]})").fetchone()[0] > 0
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

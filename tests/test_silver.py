@@ -1,11 +1,13 @@
-import glob
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from silverlake.plans.specs import TableSpec, find
 from silverlake.sources import silver
+from silverlake.sources.catalog import merge_into_catalog
 from silverlake.sources.silver import (
     read_silver,
     register_views,
@@ -36,32 +38,36 @@ def test_first_load_then_merge(spark, root):
     assert result.schema == SPEC.schema
 
 
-@pytest.mark.parametrize("small", [0, silver.SMALL_BYTES])
-@pytest.mark.parametrize("partitions", ["4", "3"])
-def test_load_size_and_bucket_count_do_not_change_the_result(spark, root, monkeypatch, small, partitions):
-    monkeypatch.setattr(silver, "SMALL_BYTES", small)
-    first = spark.range(400).selectExpr("CAST(id AS STRING) id", "'a' k", "1 v")
-    second = spark.range(300, 600).selectExpr("CAST(id AS STRING) id", "'a' k", "2 v")
-    upsert_table(first, root, SPEC, buckets=4)
-    spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    try:
-        upsert_table(second, root, SPEC)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+@pytest.mark.parametrize("rows_in_file", [50, 100_000])
+def test_the_size_of_files_does_not_change_the_result(spark, root, monkeypatch, rows_in_file):
+    monkeypatch.setattr(silver, "FEWEST_ROWS", rows_in_file)
+    upsert_table(spark.range(400).selectExpr("CAST(id AS STRING) id", "'a' k", "1 v"), root, SPEC)
+    upsert_table(spark.range(300, 600).selectExpr("CAST(id AS STRING) id", "'a' k", "2 v"), root, SPEC)
     result = read_silver(spark, root, SPEC)
     assert result.groupBy("v").count().orderBy("v").collect() == [(1, 300), (2, 300)]
     assert result.select("id").distinct().count() == 600
-    assert len(glob.glob(f"{root}/items/data/*/bucket=*")) == 8
 
 
-def test_only_touched_buckets_are_rewritten(spark, root):
-    upsert_table(spark.range(100).selectExpr("CAST(id AS STRING) id", "'a' k", "1 v"), root, SPEC, buckets=4)
+def test_a_small_load_rewrites_a_small_part(spark, root):
+    """A hundred neighbouring keys into two million rows."""
+    many = spark.range(2_000_000).selectExpr("lpad(CAST(id AS STRING), 9, '0') id", "'a' k", "1 v")
+    upsert_table(many, root, SPEC, keys_complete=True)
     before = table_state(spark, root, "items")
-    written = upsert_table(frame(spark, ("7", "a", 5)), root, SPEC)
+    few = spark.range(1_000_050, 1_000_150).selectExpr("lpad(CAST(id AS STRING), 9, '0') id", "'a' k", "2 v")
+    written = upsert_table(few, root, SPEC, keys_complete=True)
     after = table_state(spark, root, "items")
-    changed = [b for b in before.loads if before.loads[b] != after.loads[b]]
-    assert len(changed) == 1 and written < 100
-    assert read_silver(spark, root, SPEC).count() == 100
+    assert 100 <= written < 200_000
+    assert len(set(before.files) & set(after.files)) > 0.9 * len(before.files)
+    result = read_silver(spark, root, SPEC)
+    assert (result.count(), result.where("v = 2").count()) == (2_000_000, 100)
+
+
+def test_a_load_of_new_keys_rewrites_nothing(spark, root):
+    upsert_table(frame(spark, ("1", "a", 1), ("5", "b", 2)), root, SPEC)
+    before = table_state(spark, root, "items").files
+    assert upsert_table(frame(spark, ("3", "c", 3), (None, "n", 4)), root, SPEC) == 2
+    assert set(before) < set(table_state(spark, root, "items").files)
+    assert read_silver(spark, root, SPEC).count() == 4
 
 
 def test_latest_wins_also_on_first_load(spark, root):
@@ -106,26 +112,31 @@ def test_views(spark, root):
     assert spark.sql("SELECT name FROM genres WHERE id = 28").first().name == "Action"
 
 
-def test_catalog_merge_needs_a_format_with_merge(spark, root):
-    from pyspark.errors import PySparkException
+@pytest.fixture
+def plain_table(spark, root):
+    frame(spark, ("1", "a", 1)).write.option("path", f"{root}/plain").saveAsTable("plain_items")
+    yield "plain_items"
+    spark.sql("DROP TABLE plain_items")
 
-    from silverlake.sources.catalog import merge_into_catalog
 
-    data = frame(spark, ("1", "a", 1))
-    data.write.option("path", f"{root}/plain").saveAsTable("plain_items")
-    try:
-        with pytest.raises(PySparkException) as failure:
-            merge_into_catalog(data, "plain_items", SPEC)
-        assert failure.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
-    finally:
-        spark.sql("DROP TABLE plain_items")
+def test_catalog_merge_needs_a_format_with_merge(spark, plain_table):
+    data = frame(spark, ("1", "a", 1), ("1", "a", 2))
+    with pytest.raises(PySparkException) as failure:
+        merge_into_catalog(data, plain_table, SPEC)
+    assert failure.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
+    with pytest.raises(ValueError, match="several source rows"):
+        merge_into_catalog(data, plain_table, SPEC, on_duplicate="error")
+    with pytest.raises(ValueError, match="on_duplicate"):
+        merge_into_catalog(data, plain_table, SPEC, on_duplicate="first")
 
 
-def test_bucket_count_divides_the_shuffle_partitions(spark):
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
-    try:
-        assert [silver.bucket_count(spark, n) for n in (0, 5_000_000, 30_000_000, 10**12)] == [8, 8, 40, 200]
-        assert silver.bucket_count(spark) == 40
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert silver.bucket_count(spark, 10**9) == 4
+def test_catalog_table_is_created_from_one_row_per_key(spark, monkeypatch):
+    """As far as it goes without a table format: what would be written."""
+    written = []
+    monkeypatch.setattr(spark.catalog.__class__, "tableExists", lambda *_: False)
+    data = frame(spark, ("1", "a", 1), ("1", "a", 2))
+    monkeypatch.setattr(
+        type(data), "writeTo", lambda df, name: SimpleNamespace(create=lambda: written.append((name, rows(df))))
+    )
+    merge_into_catalog(data, "db.items", SPEC)
+    assert written == [("db.items", [("1", "a", 2)])]

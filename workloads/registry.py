@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,9 @@ from silverlake.operators.transform import lost_values, transform
 from silverlake.plans.daily import read_log, run_day, run_summary
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec, find
 from silverlake.sources.bronze import readiness as check_readiness
-from silverlake.sources.bronze import inventory, scan_day
+from silverlake.sources.bronze import check_day, inventory, scan_day
 from silverlake.sources.scratch import scratch_path
 from silverlake.sources.silver import (
-    bucket_count,
     read_silver,
     register_views,
     table_exists,
@@ -27,6 +27,7 @@ from silverlake.sources.silver import (
 from silverlake.streaming.ingest import ingest_available
 from workloads.standins import (
     DAY,
+    OBJECT,
     SILVER_SQL,
     bronze_root,
     element,
@@ -230,14 +231,49 @@ def explode_string_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(turns, TURNS)
 
 
-@query(SILVER_SQL["cast"])
+WIDE_LINE = TableSpec(
+    name="wide_lines",
+    prefix="lines",
+    keys=("order_id", "line"),
+    columns=(("order_id", "l_orderkey", "string"), ("shipped", "shipped", "date")),
+    list_column="packed",
+    # The list also has the tax, which is left out.
+    element="line int, part string, supplier int, quantity double, price double, status string, flag string",
+    sentinel=("line", -9999),
+)
+
+
+@query(
+    """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, strftime(l_shipdate, '%Y-%m-%d') AS shipped,
+              CASE WHEN l_returnflag = 'A' THEN -9999 ELSE CAST(l_linenumber AS INTEGER) END AS line,
+              CASE WHEN l_returnflag <> 'A' THEN 'p' || l_partkey END AS part,
+              CASE WHEN l_returnflag <> 'A' THEN CAST(l_suppkey AS INTEGER) END AS supplier,
+              CASE WHEN l_returnflag <> 'A' THEN CAST(l_quantity AS DOUBLE) END AS quantity,
+              CASE WHEN l_returnflag <> 'A' THEN l_extendedprice END AS price,
+              CASE WHEN l_returnflag <> 'A' THEN l_linestatus END AS status,
+              CASE WHEN l_returnflag <> 'A' THEN l_returnflag END AS flag
+       FROM lineitem"""
+)
 def explode_wide_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole record by ``col.*``, with the position field parsed and then dropped."""
-    entry = "cast_id int, character string, credit_id string, gender int, id int, name string, order int"
-    exploded = bronze(spark, sf_dir, "credits").select(
-        F.col("movie_id").cast("string").alias("movie_id"), "title", F.explode_outer(parse_list("cast", entry))
+    """A wide record of which one field is left out; every fourth list or so is missing."""
+    packed = json_list(
+        element(
+            line=F.col("l_linenumber"),
+            part=F.concat(F.lit("p"), "l_partkey"),
+            tax=F.col("l_tax"),
+            supplier=F.col("l_suppkey"),
+            quantity=F.col("l_quantity"),
+            price=F.col("l_extendedprice"),
+            status=F.col("l_linestatus"),
+            flag=F.col("l_returnflag"),
+        )
     )
-    return exploded.select("movie_id", "title", "col.*").drop("order").na.fill("0000000000", ["credit_id"])
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
+        F.when(F.col("l_returnflag") != "A", packed).alias("packed"),
+    )
+    return transform(lines, WIDE_LINE).withColumn("shipped", F.col("shipped").cast("string"))
 
 
 @query(SILVER_SQL["genres"])
@@ -276,13 +312,15 @@ def land_and_scan_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT DISTINCT 'events' AS prefix, strftime(ts, '%Y%m%d') AS day FROM events"""
+    """SELECT DISTINCT 'events' AS prefix, 'events/events_part=' || strftime(ts, '%Y%m%d') AS object,
+              true AS filled
+       FROM events"""
 )
 def object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed objects by name: a folder for each day."""
     objects = inventory(spark, land_events(spark, sf_dir), ["events"])
-    return objects.select(
-        "prefix", F.regexp_extract("object_key", "events_part=([0-9]{8})", 1).alias("day")
-    ).distinct()
+    name = F.substring_index("object_key", "/", 2).alias("object")
+    return objects.groupBy("prefix", name).agg((F.min("bytes") > 0).alias("filled"))
 
 
 @query(
@@ -296,6 +334,59 @@ def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.select("prefix", (F.col("objects") > 0).alias("any_object"), "status")
 
 
+@query(
+    """SELECT strftime(min(ts), '%Y%m%d') AS day, 'enough_file' AS status FROM events
+       UNION ALL SELECT strftime(max(ts) + INTERVAL 1 DAY, '%Y%m%d'), 'not_enough_file' FROM events
+       UNION ALL SELECT 'no root', 'http_request_error'"""
+)
+def day_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check of the first day of the events, of the day after the last, and of a missing root."""
+    root = land_events(spark, sf_dir)
+    day = lambda ts: F.date_format(ts, "yyyyMMdd")
+    first, after = (
+        table(spark, sf_dir, "events").agg(day(F.min("ts")), day(F.max("ts") + F.expr("INTERVAL 1 DAY"))).first()
+    )
+    found = [(d, check_day(spark, root, ["events", "credits"], d)) for d in (first, after)]
+    found.append(("no root", check_day(spark, f"{root}-none", ["events"], first)))
+    return spark.createDataFrame(found, "day string, status string")
+
+
+TYPED = TableSpec(
+    name="typed",
+    prefix="orders",
+    keys=("order_id",),
+    columns=(("order_id", "id", "string"), ("price", "price", "double"), ("note", "note", "string")),
+)
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_totalprice AS DOUBLE) AS price,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS note
+       FROM orders"""
+)
+def objects_of_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd orders land with a number as id and without notes, even ones with a text as id.
+
+    The first two days have one kind each, the third both, in a folder named as its prefix.
+    """
+    orders, root = table(spark, sf_dir, "orders"), scratch_path(spark, "bronze")
+    id_, price = F.col("o_orderkey"), F.col("o_totalprice").alias("price")
+    odd = orders.where(id_ % 2 != 0).select(id_.cast("long").alias("id"), price)
+    even = orders.where(id_ % 2 == 0).select(
+        id_.cast("string").alias("id"), price.cast("string"), F.col("o_orderpriority").alias("note")
+    )
+    odd.write.parquet(f"{root}/orders/orders_part_20221104-120000.parquet")
+    even.write.parquet(f"{root}/orders/orders_part_20221105-120000.parquet")
+    odd.write.parquet(f"{root}/orders/20221106/orders/odd.parquet")
+    even.write.parquet(f"{root}/orders/20221106/orders/even.parquet")
+    by_day, at_once = scratch_path(spark, "silver"), scratch_path(spark, "silver")
+    run_day(spark, root, by_day, "20221104", tables={"typed": replace(TYPED, columns=TYPED.columns[:2])})
+    run_day(spark, root, by_day, "20221105", tables={"typed": replace(TYPED, columns=TYPED.columns[:2])})
+    run_day(spark, root, at_once, "20221106", tables={"typed": TYPED})
+    prices = read_silver(spark, by_day, replace(TYPED, columns=TYPED.columns[:2]))
+    return prices.join(read_silver(spark, at_once, TYPED).select("order_id", "note"), "order_id")
+
+
 # ---------------------------------------------------------------- merge
 
 
@@ -318,7 +409,29 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(*wanted)
         .withColumns({"o_totalprice": F.col("o_totalprice") + 1, "o_orderstatus": F.lit("U")})
     )
-    return upsert(old, new, ["o_orderkey"])
+    return upsert(old, new, ["o_orderkey"], target_unique=True)
+
+
+@query(
+    """WITH old AS (SELECT nullif(o_custkey % 7, 0) AS part, o_orderkey AS id, o_totalprice AS price
+                    FROM orders WHERE o_orderdate < DATE '1997-01-01'),
+            new AS (SELECT nullif(o_custkey % 7, 0) AS part, o_orderkey AS id, o_totalprice + 1 AS price
+                    FROM orders WHERE o_orderdate >= DATE '1995-01-01')
+       SELECT * FROM new
+       UNION ALL SELECT * FROM old
+       WHERE part IS NULL OR NOT EXISTS (SELECT 1 FROM new WHERE new.part = old.part AND new.id = old.id)"""
+)
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part of the keys is null on both sides: those rows match nothing and stay, old and new."""
+    part = F.nullif(F.col("o_custkey") % 7, F.lit(0)).alias("part")
+    price, orders = F.col("o_totalprice"), table(spark, sf_dir, "orders")
+    old = orders.where("o_orderdate < DATE '1997-01-01'")
+    new = orders.where("o_orderdate >= DATE '1995-01-01'")
+    return upsert(
+        old.select(part, F.col("o_orderkey").alias("id"), price.alias("price")),
+        new.select(part, F.col("o_orderkey").alias("id"), (price + 1).alias("price")),
+        ["part", "id"],
+    )
 
 
 LINE_COLUMNS = [
@@ -348,19 +461,19 @@ SQL["dedupe_latest"] = SQL.pop("dedupe_latest_line")
 
 
 @query(
-    """SELECT l_orderkey, l_linenumber, count(*) AS source_rows
+    """SELECT l_orderkey, count(*) AS source_rows
        FROM lineitem new
-       WHERE l_shipdate >= DATE '1995-01-01'
+       WHERE l_shipdate >= DATE '1996-01-01'
          AND EXISTS (SELECT 1 FROM lineitem old
-                     WHERE old.l_shipdate < DATE '1995-01-01'
-                       AND old.l_orderkey = new.l_orderkey AND old.l_linenumber = new.l_linenumber)
-       GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+                     WHERE old.l_shipdate < DATE '1996-01-01' AND old.l_orderkey = new.l_orderkey)
+       GROUP BY l_orderkey HAVING count(*) > 1"""
 )
 def merge_ambiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with lines from before 1996 and several from then on."""
     lines = table(spark, sf_dir, "lineitem")
-    old = lines.where("l_shipdate < DATE '1995-01-01'")
-    new = lines.where("l_shipdate >= DATE '1995-01-01'")
-    return ambiguous_keys(old, new, ["l_orderkey", "l_linenumber"])
+    old = lines.where("l_shipdate < DATE '1996-01-01'")
+    new = lines.where("l_shipdate >= DATE '1996-01-01'")
+    return ambiguous_keys(old, new, ["l_orderkey"])
 
 
 # ---------------------------------------------------------------- silver tables on storage
@@ -369,8 +482,7 @@ def merge_ambiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SILVER_SQL["genres"])
 def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "silver")
-    buckets = bucket_count(spark, table(spark, sf_dir, "orders").count())
-    upsert_table(silver(spark, sf_dir, "genres"), root, find("genres"), buckets=buckets)
+    upsert_table(silver(spark, sf_dir, "genres"), root, find("genres"))
     return read_silver(spark, root, find("genres"))
 
 
@@ -393,8 +505,7 @@ def merge_stale_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     priority = F.col("o_orderpriority")
     one = json_list(element(id=F.substring(priority, 1, 1).cast("int"), name=F.lower(priority)))
-    buckets = bucket_count(spark, orders.count())
-    upsert_table(transform(movies_bronze(orders), genres), root, genres, buckets=buckets)
+    upsert_table(transform(movies_bronze(orders), genres), root, genres)
     upsert_table(transform(orders.select(F.col("o_orderkey").alias("id"), one.alias("genres")), genres), root, genres)
     return read_silver(spark, root, genres)
 
@@ -408,33 +519,70 @@ def load_all(spark: SparkSession, sf_dir: str) -> str:
 
 @query(
     " UNION ALL ".join(
-        f"""SELECT '{spec.name}' AS "table", count(*) AS "rows", min({spec.keys[-1]})::VARCHAR AS low,
-                   max({spec.keys[-1]})::VARCHAR AS high
-            FROM (SELECT DISTINCT {", ".join(spec.keys)} FROM ({SILVER_SQL[spec.name]}))"""
+        f"""SELECT DISTINCT '{spec.name}' AS "table", movie_id, CAST({spec.keys[-1]} AS VARCHAR) AS "key"
+            FROM ({SILVER_SQL[spec.name]})"""
         for spec in MOVIE_TABLES.values()
     )
 )
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All eight tables after one day: number of rows and the range of the last key column."""
+    """All eight tables after one day: the merge key of every row."""
     root = load_all(spark, sf_dir)
-    counts = [
-        read_silver(spark, root, spec).agg(
-            F.lit(spec.name).alias("table"),
-            F.count(F.lit(1)).alias("rows"),
-            F.min(spec.keys[-1]).cast("string").alias("low"),
-            F.max(spec.keys[-1]).cast("string").alias("high"),
+    keys = [
+        read_silver(spark, root, spec).select(
+            F.lit(spec.name).alias("table"), "movie_id", F.col(spec.keys[-1]).cast("string").alias("key")
         )
         for spec in MOVIE_TABLES.values()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, keys)
+
+
+LOGGED_SQL = {
+    spec.name: f"""
+        SELECT '{spec.name}' AS "table", 'written' AS status,
+               (SELECT count(*) FROM {"lineitem" if spec.prefix == "credits" else "orders"}) AS rows_in,
+               (SELECT count(*) FROM (SELECT DISTINCT {", ".join(spec.keys)} FROM ({SILVER_SQL[spec.name]}))) AS rows_written,
+               {"(SELECT 2 * count(*) FROM orders WHERE o_orderstatus = 'P')" if spec.name == "movies" else "CAST(NULL AS BIGINT)"} AS lost_values"""
+    for spec in MOVIE_TABLES.values()
+}
+
+
+@query(" UNION ALL ".join(LOGGED_SQL.values()))
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of each table: rows in, rows written, values lost in casts."""
+    log = read_log(spark, load_all(spark, sf_dir))
+    return log.select("table", "status", "rows_in", "rows_written", "lost_values")
 
 
 @query(
-    """SELECT CAST(8 AS BIGINT) AS expected, CAST(8 AS BIGINT) AS transformed,
-              CAST(8 AS BIGINT) AS written, 'transformation_and_save_succeeded' AS status"""
+    f"""SELECT count(*) AS expected, count(*) FILTER (rows_in > 0) AS transformed,
+               count(*) FILTER (rows_written > 0) AS written,
+               CASE WHEN min(rows_written) > 0 THEN 'transformation_and_save_succeeded'
+                    ELSE 'some_problem_occurred' END AS status
+        FROM ({" UNION ALL ".join(LOGGED_SQL.values())})"""
 )
 def run_log_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_summary(read_log(spark, load_all(spark, sf_dir))).drop("run_id")
+    return run_summary(read_log(spark, load_all(spark, sf_dir))).drop("run_id", "objects")
+
+
+NOTES = TableSpec("notes", "notes", ("id",), (("id", "id", "string"),))
+
+
+@query(
+    """SELECT 'movies' AS "table", 'written' AS status, count(*) AS rows_in, count(*) AS rows_written FROM orders
+       UNION ALL SELECT 'cast', 'read_failed', NULL, NULL
+       UNION ALL SELECT 'notes', 'no_objects', 0, NULL"""
+)
+def one_prefix_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good objects under one prefix, none under another, and one that is no Parquet under the third."""
+    root, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    orders = table(spark, sf_dir, "orders")
+    land(movies_bronze(orders), root, "movies")
+    orders.select("o_comment" if "o_comment" in orders.columns else F.col("o_orderstatus")).write.text(
+        f"{root}/{OBJECT.format(prefix='credits', day=DAY)}"
+    )
+    tables = {"movies": find("movies"), "cast": find("cast"), "notes": NOTES}
+    log = run_day(spark, root, silver_root, DAY, tables=tables)
+    return log.select("table", "status", "rows_in", "rows_written")
 
 
 QUERIES["run_summary"] = QUERIES.pop("run_log_summary")
@@ -501,7 +649,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed events through the stream, ten objects at a time; a second call finds nothing."""
     bronze_dir, silver_root = land_events(spark, sf_dir), scratch_path(spark, "silver")
     checkpoint = scratch_path(spark, "checkpoint")
-    buckets = bucket_count(spark, table(spark, sf_dir, "events").count())
     for _ in range(2):
         ingest_available(
             spark,
@@ -511,7 +658,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             checkpoint,
             tables={"events": EVENTS},
             files_per_batch=10,
-            buckets=buckets,
         )
     return read_silver(spark, silver_root, EVENTS)
 
@@ -539,7 +685,7 @@ def q1_top_movie_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         QUALIFY row_number() OVER (PARTITION BY id, name ORDER BY revenue DESC, movie_id) = 1"""
 )
 def q1_top_by_member(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.top_movies(*stored(spark, sf_dir, "cast", "movies"))
+    return analyst.top_movies(*stored(spark, sf_dir, "cast", "movies"), movies_unique=True)
 
 
 @query(
@@ -550,7 +696,7 @@ def q1_top_by_member(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE id <> -9999 GROUP BY name"""
 )
 def q2_group_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyst.revenue_by_genre(*stored(spark, sf_dir, "genres", "movies"))
+    return analyst.revenue_by_genre(*stored(spark, sf_dir, "genres", "movies"), movies_unique=True)
 
 
 @query(
@@ -600,7 +746,39 @@ def q4_crew_loyalty(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q4_collab_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     (crew,) = stored(spark, sf_dir, "crew")
-    return analyst.collaborators(crew, analyst.most_active(crew))
+    return analyst.collaborators(crew, analyst.most_active(crew)).drop("director")
+
+
+@query(
+    f"""WITH crew AS ({SILVER_SQL["crew"]}),
+             directed AS (SELECT DISTINCT movie_id, id AS director FROM crew WHERE job = 'Director'),
+             totals AS (SELECT director, count(*) AS total FROM directed GROUP BY director)
+        SELECT director, id, count(DISTINCT movie_id) AS shared, any_value(total) AS total,
+               round(count(DISTINCT movie_id) / CAST(any_value(total) AS DOUBLE), 4) AS ratio
+        FROM crew JOIN directed USING (movie_id) JOIN totals USING (director)
+        WHERE id <> director GROUP BY director, id"""
+)
+def q4_all_collaborators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every director."""
+    (crew,) = stored(spark, sf_dir, "crew")
+    return analyst.collaborators(crew, crew.where("job = 'Director'").select("id"))
+
+
+@query(
+    f"""WITH m AS (SELECT movie_id, CASE WHEN runtime % 11 = 0 THEN NULL ELSE revenue END AS revenue
+                   FROM ({SILVER_SQL["movies"]}))
+        SELECT name, count(*) AS movies,
+               round(CAST(sum(CAST(revenue AS DECIMAL(28, 4))) AS DOUBLE) / count(*), 2) AS avg_revenue,
+               max(revenue) AS max_revenue
+        FROM ({SILVER_SQL["genres"]}) g JOIN m USING (movie_id)
+        WHERE id <> -9999 AND revenue IS NOT NULL GROUP BY name"""
+)
+def q2_odd_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue that is not a number, infinite or too large for money is left out of every measure."""
+    genres, movies = stored(spark, sf_dir, "genres", "movies")
+    odd = F.when(F.col("runtime") % 3 == 0, float("nan")).when(F.col("runtime") % 3 == 1, float("inf")).otherwise(1e40)
+    revenue = F.when(F.col("runtime") % 11 == 0, odd).otherwise(F.col("revenue"))
+    return analyst.revenue_by_genre(genres, movies.withColumn("revenue", revenue), movies_unique=True)
 
 
 @query(f"""SELECT movie_id, title, department, job FROM ({SILVER_SQL["crew"]}) WHERE name = '{PERSON}'""")
