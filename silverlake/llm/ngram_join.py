@@ -48,8 +48,8 @@ ORDERS = 3
 GROUP = 32  # sets with a prefix shingle, up to which their pairs are listed
 BLOCK = 128  # sets in a block of a cluster
 COLUMNS = 16_384  # shingles in one matrix product
-CHUNK = 2_000_000  # shingles sent at once by a task
-SHARD = 4_000_000  # shingles in a shard
+CHUNK = 1_500_000  # shingles sent at once by a task
+SHARD = 3_000_000  # shingles in a shard
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,8 +111,8 @@ def send(ids: list, marks: list, texts: list, hashes: Hashes, words: int, shards
         yield int(s), shrink({"key": key[part], "owner": local, "name": names[here], "n": sizes[here]})
 
 
-def shared(blobs: list[bytes]) -> pa.Table:
-    """By set, the shard's shingles that occur in two or more sets, and in how many."""
+def shared(blobs: list[bytes], buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket of sets, blob): the shard's shingles that occur in two or more sets, and in how many."""
     parts = [grow(b) for b in blobs]
     names, first, back = np.unique(np.concatenate([p["name"] for p in parts]), return_index=True, return_inverse=True)
     n = np.concatenate([p["n"] for p in parts])[first]
@@ -127,17 +127,36 @@ def shared(blobs: list[bytes]) -> pa.Table:
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     count = np.diff(np.append(start, len(key)))
     often = np.repeat(count, count)
-    key, owner, often = key[often > 1], owner[often > 1], often[often > 1]
-    order = np.argsort(owner, kind="stable")
-    key, owner, often = key[order], owner[order], often[order]
-    start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
-    ends = pa.array(np.append(start, len(owner)).astype(np.int32))
+    key, owner, often = key[often > 1], owner[often > 1], often[often > 1].astype(np.uint32)
+    # The order by shingle stays within each bucket.
+    to = (names % np.uint64(buckets)).astype(np.int64)[owner]
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+    for bucket in np.flatnonzero(np.diff(cuts)):
+        part = order[cuts[bucket] : cuts[bucket + 1]]
+        here, local = np.unique(owner[part], return_inverse=True)
+        arrays = {"key": key[part], "owner": local.astype(np.uint32), "often": often[part], "name": names[here]}
+        yield int(bucket), shrink(arrays | {"n": n[here]})
+
+
+def assemble(blobs: list[bytes], percent: int) -> pa.Table:
+    """The sets of a bucket that have enough shared shingles to link: name, n, shingles, often."""
+    parts = [grow(b) for b in blobs]
+    names, first, back = np.unique(np.concatenate([p["name"] for p in parts]), return_index=True, return_inverse=True)
+    n = np.concatenate([p["n"] for p in parts])[first].astype(np.int64)
+    starts = np.cumsum([0] + [len(p["name"]) for p in parts[:-1]])
+    owner = np.concatenate([back[p["owner"].astype(np.int64) + s] for p, s in zip(parts, starts, strict=True)])
+    key, often = (np.concatenate([p[c] for p in parts]) for c in ("key", "often"))
+    enough = np.bincount(owner, minlength=len(names)) >= -(-n * percent // 100)
+    keep = np.flatnonzero(enough[owner])
+    keep = keep[np.argsort(owner[keep], kind="stable")]
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(names))[enough])]).astype(np.int32))
     return pa.table(
         {
-            "name": names[owner[start]].view(np.int64),
-            "n": n[owner[start]].astype(np.int32),
-            "shingles": pa.ListArray.from_arrays(ends, pa.array(key.view(np.int64))),
-            "often": pa.ListArray.from_arrays(ends, pa.array(often.astype(np.int32))),
+            "name": names[enough].view(np.int64),
+            "n": n[enough].astype(np.int32),
+            "shingles": pa.ListArray.from_arrays(ends, pa.array(key[keep].view(np.int64))),
+            "often": pa.ListArray.from_arrays(ends, pa.array(often[keep].astype(np.int32))),
         }
     )
 
@@ -176,32 +195,30 @@ def collect_sets(docs: DataFrame, id_col: str, text_col: str, words: int, percen
         if held[0]:
             yield flush()
 
-    kinds = {"doc_id": pa.int64(), "mark": pa.int64(), "name": pa.int64(), "n": pa.int32()}
-    schema = pa.schema([*kinds.items(), ("shingles", pa.list_(pa.int64())), ("often", pa.list_(pa.int32()))])
+    kinds = {"doc_id": pa.int64(), "mark": pa.int64(), "name": pa.int64(), "n": pa.int64()}
+    schema = pa.schema([*kinds.items(), ("bucket", pa.int32()), ("blob", pa.binary())])
 
     def build(group: pa.Table) -> pa.Table:
         blobs = group["blob"].to_pylist()
         if group["shard"][0].as_py() < shards:
-            found = shared(blobs)
+            found = list(shared(blobs, shards))
+            buckets, data = zip(*found, strict=True) if found else ((), ())
+            found = pa.table({"bucket": pa.array(buckets, pa.int32()), "blob": pa.array(data, pa.binary())})
         else:
             found = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blobs])
-        columns = [
-            found[f.name].cast(f.type) if f.name in found.column_names else pa.nulls(len(found), f.type) for f in schema
-        ]
+        columns = [found[f.name] if f.name in found.column_names else pa.nulls(len(found), f.type) for f in schema]
         return pa.table(columns, schema=schema)
 
+    def build_sets(group: pa.Table) -> pa.Table:
+        return assemble(group["blob"].to_pylist(), percent)
+
     built = rows.mapInArrow(run, "shard int, blob binary").groupBy("shard").applyInArrow(
-        build, "doc_id long, mark long, name long, n int, shingles array<long>, often array<int>"
+        build, "doc_id long, mark long, name long, n long, bucket int, blob binary"
     )
     built = stored(built, "shingles")
-    parts = built.where("shingles is not null")
-    sets = parts.groupBy("name").agg(
-        F.first("n").alias("n"),
-        F.flatten(F.collect_list("shingles")).alias("shingles"),
-        F.flatten(F.collect_list("often")).alias("often"),
-    )
-    sets = sets.where(F.size("shingles") >= needed(F.col("n"), percent))
-    return Sets(built.where("shingles is null").select("doc_id", "mark", "n", "name"), stored(sets, "sets"))
+    parts = built.where("blob is not null").select("bucket", "blob").groupBy("bucket")
+    sets = parts.applyInArrow(build_sets, "name long, n int, shingles array<long>, often array<int>")
+    return Sets(built.where("blob is null").select("doc_id", "mark", "n", "name"), stored(sets, "sets"))
 
 
 # ---------------------------------------------------------------- 2. orders
@@ -355,7 +372,7 @@ def near_duplicates(
     ``mark`` is a hash of the text. ``keeper`` has the id and mark of the component's row with the smallest id.
     """
     found = collect_sets(docs, id_col, text_col, words, percent)
-    entries = prefixes(found.sets, percent)
+    entries = stored(prefixes(found.sets, percent), "prefixes")
     counts = entries.groupBy("at", "shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     entries = stored(entries.join(counts, ["at", "shingle"]), "entries")
     clusters = stored(find_clusters(entries), "clusters")
