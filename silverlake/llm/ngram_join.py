@@ -4,8 +4,8 @@ A document is the set of its word shingles. Two documents link if their sets' Ja
 ``percent``; the result is each document's connected component.
 
 1. *Sets.* Each task sends the shingles of its documents, as sorted 64-bit hashes, to the shard of their
-   range. Equal sets are one from here on: a set is known by a hash of its size and shingles. A shard finds in
-   how many sets each shingle occurs and returns only those in two or more, by set. What overlaps is made
+   range. Equal sets are one from here on: a set is known by a hash of its size and shingles. A shard finds
+   which shingles occur in two or more sets, and how often, and returns these by set. What overlaps is made
    of these, so a set with fewer of them than the overlap it needs leaves here; most do.
 2. *Orders.* Under any one order of all shingles, two sets that link share a shingle among the first
    n - ceil(n * percent / 100) + 1 of each. All orders here put rare shingles first, so passages that many
@@ -18,8 +18,8 @@ A document is the set of its word shingles. Two documents link if their sets' Ja
    products of 0/1 rows; each block returns a forest of at most its own size.
 
 Shingle hashes are 64 bits, so a similarity could be off only where two of a pair's shingles collide. Memory of
-a task is bounded by ``SHARD`` occurrences (a single shingle's stay together: 12 bytes for each set that has
-it) and by two blocks. Defined results: a null text is empty; a text without words has no shingles and is linked
+a task is bounded by about ``SHARD`` occurrences and by two blocks: of a shingle that ``HEAVY`` or more sets of a
+task's chunk have, only the number is gathered in its shard, and the occurrences are dealt out by set. Defined results: a null text is empty; a text without words has no shingles and is linked
 with nothing, not even with its like; one with fewer words than a shingle has one shingle of all; null ids are
 larger than others and name a component only if it has no other id; rows that repeat an id are in one class
 each; an empty table gives an empty result; other columns are ignored by ``near_duplicates`` and passed
@@ -41,13 +41,14 @@ from pyspark.sql import functions as F
 from silverlake.llm.base import fresh, stored, table
 from silverlake.llm.components import components
 from silverlake.llm.pieces import slices
-from silverlake.llm.trie_lm import Hashes, grow, shard_of, shrink
+from silverlake.llm.trie_lm import Hashes, grow, shard_of, shrink, summed
 
 WORDS, PERCENT = 5, 75
 ORDERS = 3
 GROUP = 32  # sets with a prefix shingle, up to which their pairs are listed
 BLOCK = 128  # sets in a block of a cluster
 COLUMNS = 16_384  # shingles in one matrix product
+HEAVY = 64  # sets of a task's chunk that have a shingle, from which on only their number is gathered
 CHUNK = 1_500_000  # shingles sent at once by a task
 SHARD = 3_000_000  # shingles in a shard
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -103,54 +104,119 @@ def send(ids: list, marks: list, texts: list, hashes: Hashes, words: int, shards
     owner = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
     order = np.argsort(key, kind="stable")
     key, owner = key[order], owner[order]
-    cuts = np.searchsorted(shard_of(key, shards), np.arange(shards + 1))
-    for s in np.flatnonzero(np.diff(cuts)):
-        part = slice(cuts[s], cuts[s + 1])
-        here, local = np.unique(owner[part], return_inverse=True)
-        local = local.astype(np.uint16 if len(here) <= 1 << 16 else np.uint32)
-        yield int(s), shrink({"key": key[part], "owner": local, "name": names[here], "n": sizes[here]})
+    start = _starts(key)
+    count = np.diff(np.append(start, len(key)))
+    often = np.repeat(count >= HEAVY, count)
+    heavy = key[start][count >= HEAVY], count[count >= HEAVY].astype(np.uint32)
+    # Of a shingle that many sets have, the shard gets the number alone; where it occurs goes by set.
+    to = (names % np.uint64(shards)).astype(np.int64)[owner[often]]
+    for s, part in _parts(to, shards):
+        yield s, OCCURS + _pack(key[often][part], owner[often][part], names, sizes)
+    key, owner = key[~often], owner[~often]
+    cuts, hot = (np.searchsorted(shard_of(k, shards), np.arange(shards + 1)) for k in (key, heavy[0]))
+    for s in np.flatnonzero(np.diff(cuts) + np.diff(hot)):
+        one, two = slice(cuts[s], cuts[s + 1]), slice(hot[s], hot[s + 1])
+        if cuts[s] < cuts[s + 1]:
+            yield int(s), COUNTED + _pack(key[one], owner[one], names, sizes)
+        if hot[s] < hot[s + 1]:
+            yield int(s), HOT + shrink({"key": heavy[0][two], "often": heavy[1][two]})
+
+
+# What a blob holds: occurrences that the shard counts, or passes on; shingles' numbers; counted occurrences.
+COUNTED, OCCURS, HOT, KNOWN = b"C", b"O", b"H", b"K"
+
+
+def _starts(sorted_: np.ndarray) -> np.ndarray:
+    """Where the runs of a sorted array begin."""
+    return np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(sorted_) else np.zeros(0, int)
+
+
+def _parts(to: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, places) of the elements that go to each number, in their order."""
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(count + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        yield int(k), order[cuts[k] : cuts[k + 1]]
+
+
+def _pack(key: np.ndarray, owner: np.ndarray, names: np.ndarray, sizes: np.ndarray, **more: np.ndarray) -> bytes:
+    here, local = np.unique(owner, return_inverse=True)
+    local = local.astype(np.uint16 if len(here) <= 1 << 16 else np.uint32)
+    return shrink({"key": key, "owner": local, "name": names[here], "n": sizes[here].astype(np.uint32)} | more)
+
+
+def _unpack(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names and sizes of the sets of several blobs, and the shingles with their sets' places."""
+    empty = [np.zeros(0, np.uint64)]
+    names, first, back = np.unique(
+        np.concatenate([p["name"] for p in parts] or empty), return_index=True, return_inverse=True
+    )
+    n = np.concatenate([p["n"] for p in parts] or empty)[first].astype(np.int64)
+    starts = np.cumsum([0] + [len(p["name"]) for p in parts])
+    owner = [back[p["owner"].astype(np.int64) + s] for p, s in zip(parts, starts, strict=False)]
+    key = np.concatenate([p["key"] for p in parts] or empty)
+    return names, n, key, np.concatenate(owner or [np.zeros(0)]).astype(np.int32)
+
+
+def _totals(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return summed(np.concatenate([p["key"] for p in parts]), np.concatenate([p["often"] for p in parts]).astype(np.int64))
+
+
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of sorted keys, 0 for others."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
 
 
 def shared(blobs: list[bytes], buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket of sets, blob): the shard's shingles that occur in two or more sets, and in how many."""
-    parts = [grow(b) for b in blobs]
-    names, first, back = np.unique(np.concatenate([p["name"] for p in parts]), return_index=True, return_inverse=True)
-    n = np.concatenate([p["n"] for p in parts])[first]
-    starts = np.cumsum([0] + [len(p["name"]) for p in parts[:-1]])
-    owner = np.concatenate([back[p["owner"].astype(np.int64) + s] for p, s in zip(parts, starts, strict=True)]).astype(np.int32)
-    key = np.concatenate([p["key"] for p in parts])
-    del parts
+    """(bucket of sets, blob): the shard's shingles that occur in two or more sets, and how often.
+
+    A set that several tasks saw counts once, but once for each of them among the heavy shingles; the number
+    only orders shingles, and it is the same for all who see it.
+    """
+    names, n, key, owner = _unpack([grow(b[1:]) for b in blobs if b[:1] == COUNTED])
     order = np.lexsort((owner, key))
     key, owner = key[order], owner[order]
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]) if len(key) else []
     key, owner = key[new], owner[new]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    start = _starts(key)
     count = np.diff(np.append(start, len(key)))
+    heavy, total = _totals([grow(b[1:]) for b in blobs if b[:1] == HOT])
+    total = total + _looked_up(key[start], count, heavy)
     often = np.repeat(count, count)
+    often = np.maximum(often, _looked_up(heavy, total, key))
     key, owner, often = key[often > 1], owner[often > 1], often[often > 1].astype(np.uint32)
-    # The order by shingle stays within each bucket.
     to = (names % np.uint64(buckets)).astype(np.int64)[owner]
-    order = np.argsort(to, kind="stable")
-    cuts = np.searchsorted(to[order], np.arange(buckets + 1))
-    for bucket in np.flatnonzero(np.diff(cuts)):
-        part = order[cuts[bucket] : cuts[bucket + 1]]
-        here, local = np.unique(owner[part], return_inverse=True)
-        arrays = {"key": key[part], "owner": local.astype(np.uint32), "often": often[part], "name": names[here]}
-        yield int(bucket), shrink(arrays | {"n": n[here]})
+    for bucket, part in _parts(to, buckets):
+        yield bucket, KNOWN + _pack(key[part], owner[part], names, n, often=often[part])
+    if len(heavy):
+        data = HOT + shrink({"key": heavy, "often": total.astype(np.uint32)})
+        for bucket in range(buckets):
+            yield bucket, data
 
 
 def assemble(blobs: list[bytes], percent: int) -> pa.Table:
     """The sets of a bucket that have enough shared shingles to link: name, n, shingles, often."""
-    parts = [grow(b) for b in blobs]
-    names, first, back = np.unique(np.concatenate([p["name"] for p in parts]), return_index=True, return_inverse=True)
-    n = np.concatenate([p["n"] for p in parts])[first].astype(np.int64)
-    starts = np.cumsum([0] + [len(p["name"]) for p in parts[:-1]])
-    owner = np.concatenate([back[p["owner"].astype(np.int64) + s] for p, s in zip(parts, starts, strict=True)])
-    key, often = (np.concatenate([p[c] for p in parts]) for c in ("key", "often"))
+    known = [grow(b[1:]) for b in blobs if b[:1] == KNOWN]
+    heavy, total = _totals([grow(b[1:]) for b in blobs if b[:1] == HOT])
+    passed = [grow(b[1:]) for b in blobs if b[:1] == OCCURS]
+    for part in passed:
+        part["often"] = _looked_up(heavy, total, part["key"]).astype(np.uint32)
+    names, n, key, owner = _unpack(known + passed)
+    often = np.concatenate([p["often"] for p in known + passed] or [np.zeros(0, np.uint32)])
+    # A set that several tasks saw has its heavy shingles several times.
+    order = np.lexsort((key, owner))
+    key, owner, often = key[order], owner[order], often[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]) if len(key) else []
+    key, owner, often = key[new], owner[new], often[new]
     enough = np.bincount(owner, minlength=len(names)) >= -(-n * percent // 100)
-    keep = np.flatnonzero(enough[owner])
-    keep = keep[np.argsort(owner[keep], kind="stable")]
-    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(names))[enough])]).astype(np.int32))
+    keep = enough[owner]
+    counts = np.bincount(owner[keep], minlength=len(names))[enough]
+    ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
     return pa.table(
         {
             "name": names[enough].view(np.int64),
@@ -201,7 +267,8 @@ def collect_sets(docs: DataFrame, id_col: str, text_col: str, words: int, percen
     def build(group: pa.Table) -> pa.Table:
         blobs = group["blob"].to_pylist()
         if group["shard"][0].as_py() < shards:
-            found = list(shared(blobs, shards))
+            passed = [(group["shard"][0].as_py(), b) for b in blobs if b[:1] == OCCURS]
+            found = passed + list(shared([b for b in blobs if b[:1] != OCCURS], shards))
             buckets, data = zip(*found, strict=True) if found else ((), ())
             found = pa.table({"bucket": pa.array(buckets, pa.int32()), "blob": pa.array(data, pa.binary())})
         else:

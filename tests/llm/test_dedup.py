@@ -137,6 +137,22 @@ def test_pairs_alone_give_the_same(spark, texts, monkeypatch):
     assert classes(ngram_join.near_duplicates(docs).collect()) == brute.near_duplicates(rows)
 
 
+def test_heavy_shingles_are_counted_apart(spark, texts, monkeypatch):
+    """Every shingle of two or more sets of a chunk takes the way of the heavy ones."""
+    from pyspark.cloudpickle import register_pickle_by_value, unregister_pickle_by_value
+
+    monkeypatch.setattr(ngram_join, "HEAVY", 2)
+    monkeypatch.setattr(ngram_join, "SHARD", 500)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    register_pickle_by_value(ngram_join)  # so that the workers see the changed numbers
+    try:
+        found = ngram_join.near_duplicates(docs).collect()
+    finally:
+        unregister_pickle_by_value(ngram_join)
+    assert classes(found) == brute.near_duplicates(rows)
+
+
 def test_keep_one(spark, texts):
     rows = [*enumerate(texts), (3, texts[3])]
     docs = spark.createDataFrame([(d, t, d) for d, t in rows], "doc_id long, text string, join_key int")
