@@ -101,11 +101,14 @@ def decisions(
     groups = lists.groupBy("recipe").agg(
         F.max(F.struct("doc_id", "row")).alias("keeper"), F.count(F.lit(1)).alias("group_size")
     )
-    return lists.join(groups, "recipe").select(
+    # Stored, so that the join deals out its rows by itself and Spark may split a large group.
+    copies = stored(groups.where("group_size > 1"), "copies")
+    alone = F.col("group_size").isNull()
+    return lists.join(copies, "recipe", "left").select(
         "doc_id",
-        F.col("keeper.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("row") == F.col("keeper.row")).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keeper.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        F.coalesce(F.col("row") == F.col("keeper.row"), F.lit(True)).alias("kept"),
         "text_sha256",
     )
 
