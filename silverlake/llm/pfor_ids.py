@@ -34,14 +34,19 @@ from pyspark.sql import functions as F
 
 from silverlake.llm.base import table
 from silverlake.llm.byte_bpe import packed_lists
-from silverlake.llm.pieces import PieceEncoder, slices
+from silverlake.llm.pieces import slices
 from silverlake.sources.scratch import scratch_path
 
 BLOCK, PERCENT, IDS = 4096, 99, 1 << 18
 END = 2
 MAGIC = b"PFR1"
-# Characters on which the pattern's classes are the same in every library; texts with others are
-# encoded whole.
+BLANKS = ("  ", " \t", " \n", " \r")
+KEPT = 1_500_000  # words whose ids a worker holds, about 40 bytes each
+JOINED = 20_000  # words encoded as one text
+TOGETHER = 1 << 20  # bytes of text worked on at once
+BASE = 0x9E3779B97F4A7C15
+UNBASE = pow(BASE, -1, 1 << 64)
+# Texts of these characters only are encoded word by word, as white space has the same meaning everywhere.
 PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ‘-”…€]*")
 
 
@@ -51,22 +56,28 @@ PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ‘-”…€]*")
 def pack_block(ids: np.ndarray, percent: int = PERCENT) -> bytes:
     low = int(ids.min())
     gaps = (ids - np.uint32(low)).astype("<u4")
-    lengths = np.frexp(gaps.astype(np.float64))[1]  # bits of each difference
-    width = int(np.sort(lengths)[max(0, -(-len(ids) * percent // 100) - 1)])
-    odd = np.flatnonzero(lengths > width)
-    bits = np.unpackbits(gaps.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+    # How many differences take at most so many bits.
+    within = np.searchsorted(np.sort(gaps), 1 << np.arange(33, dtype=np.int64))
+    width = int(np.searchsorted(within, -(-len(ids) * percent // 100)))
+    odd = np.flatnonzero(gaps >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
+    bits = np.unpackbits(_bytes(gaps, width), axis=1, bitorder="little")[:, :width]
     packed = np.packbits(bits, axis=None, bitorder="little").tobytes()
-    high = (gaps[odd].astype(np.uint64) >> np.uint64(width)).astype("<u4")
+    high = (gaps[odd] >> np.uint32(width)).astype("<u4")
     return struct.pack("<IBH", low, width, len(odd)) + packed + odd.astype("<u2").tobytes() + high.tobytes()
 
 
+def _bytes(gaps: np.ndarray, width: int) -> np.ndarray:
+    """The low bytes that hold ``width`` bits, a row for each number."""
+    return gaps.view(np.uint8).reshape(-1, 4)[:, : max(1, -(-width // 8))]
+
+
 def unpack_block(data: memoryview, n: int) -> np.ndarray:
     low, width, odd = struct.unpack_from("<IBH", data)
     size = -(-n * width // 8)
     packed = np.frombuffer(data, np.uint8, size, 7)
-    bits = np.zeros((n, 32), np.uint8)
-    bits[:, :width] = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
-    gaps = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+    rows = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
+    gaps = np.zeros(n, "<u4")
+    _bytes(gaps, width)[:, : -(-width // 8)] = np.packbits(rows, axis=1, bitorder="little")
     places = np.frombuffer(data, "<u2", odd, 7 + size)
     high = np.frombuffer(data, "<u4", odd, 7 + size + 2 * odd)
     gaps[places] |= (high.astype(np.uint64) << np.uint64(width)).astype(np.uint32)
@@ -121,36 +132,149 @@ class IdFile:
 # ---------------------------------------------------------------- tokens
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2 and so on, modulo 2^64."""
+    factors = np.full(n, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+class WordIds:
+    """The ids of words by 64-bit hash, in flat arrays; emptied when it holds ``most`` words."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)  # sorted
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def known(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, keys)
+        found = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        found[inside] = self.keys[at[inside]] == keys[inside]
+        return found
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """New sorted keys; ``ids`` of all, one after the other."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        at = np.searchsorted(self.keys, keys)
+        first = self.used + np.cumsum(count) - count
+        self.keys = np.insert(self.keys, at, keys)
+        self.first, self.count = np.insert(self.first, at, first), np.insert(self.count, at, count)
+        self.used += len(ids)
+
+
 class Tokens:
-    """Ids of whole texts by the tokenizers library, which sees each distinct piece once."""
+    """Ids of whole texts by the tokenizers library, which sees each distinct word about once.
 
-    def __init__(self, tokenizer_file: bytes, pattern: str):
+    The pattern starts a piece at every space that something other than white space follows. A text where all
+    are like that is a first word and then words with a space before them, each encoded by itself. Words not
+    seen lately go to the library in one text; each one's ids start where a token starts with a space. All other
+    texts are encoded whole. Words are told apart by a 64-bit polynomial hash over their bytes, taken of all
+    words of a batch at once from running sums.
+    """
+
+    def __init__(self, tokenizer_file: bytes, most: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-        self.by_pieces = PieceEncoder(pattern, self.whole)
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.starts = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, id_ in self.tokenizer.get_vocab().items():
+            self.starts[id_] = token.startswith(space)
+        self.space = self.whole([" "])[0]
+        self.words = WordIds(most)
+        self.powers = self.inverse = np.ones(1, np.uint64)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [PLAIN.fullmatch(t) is not None for t in texts]
-        by_pieces = iter(self.by_pieces.encode([t for t, p in zip(texts, plain, strict=True) if p]))
-        others = iter(self.whole([t for t, p in zip(texts, plain, strict=True) if not p]))
-        return [next(by_pieces if p else others) for p in plain]
-
-
-_tokens: dict[tuple[int, str], Tokens] = {}  # of this worker, so that the cache lives on between tasks
+    def hashes(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Of the parts of ``data`` that begin at ``starts`` (the first at 0)."""
+        while len(self.powers) <= len(data):
+            self.powers, self.inverse = (_powers(x, 2 * len(self.powers)) for x in (BASE, UNBASE))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
+        ends = np.append(starts[1:], len(data))
+        found = (sums[ends] - sums[starts]) * self.inverse[starts]
+        return (found ^ (found >> np.uint64(32))) * np.uint64(BASE) + (ends - starts).astype(np.uint64)
+
+    def _learn(self, data: bytes, starts: np.ndarray, keys: np.ndarray, at: np.ndarray) -> None:
+        """Encode the new words among the sorted ``keys``, which first occur as the ``at``-th."""
+        if len(self.words.keys) + len(keys) > self.words.most:
+            self.words.clear()
+        new = ~self.words.known(keys)
+        keys, at = keys[new], at[new]
+        ends = np.append(starts[1:], len(data))
+        for k in range(0, len(keys), JOINED):
+            part = slice(k, k + JOINED)
+            pieces = [data[a:b] for a, b in zip(starts[at[part]].tolist(), ends[at[part]].tolist(), strict=True)]
+            ids = np.frombuffer(self.whole([b"".join(pieces).decode()])[0], np.uint32)
+            cuts = np.append(np.flatnonzero(self.starts[ids]), len(ids))
+            if len(cuts) != len(pieces) + 1:
+                raise ValueError("a word does not start with a space of its own")
+            self.words.add(keys[part], ids, np.diff(cuts))
+
+    def _batch(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts that are words with a space before each."""
+        data = b"".join(texts)
+        if not data:
+            return [b""] * len(texts)
+        array = np.frombuffer(data, np.uint8)
+        starts = np.flatnonzero(array == 32)
+        hashes = self.hashes(array, starts)
+        keys, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        self._learn(data, starts, keys, at)
+        place = np.searchsorted(self.words.keys, keys)
+        first, count = self.words.first[place][back], self.words.count[place][back]
+        ends = np.cumsum(count)
+        ids = self.words.ids[np.arange(ends[-1]) + np.repeat(first - ends + count, count)]
+        offsets = np.cumsum([0] + [len(t) for t in texts])
+        cuts = np.concatenate([[0], ends])[np.searchsorted(starts, offsets)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
-
-def _tokens_of(tokenizer_file: Broadcast, pattern: str) -> Tokens:
-    key = (hash(tokenizer_file.value), pattern)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        heads, rest, tails = [], [], []
+        for text in texts:
+            head, tail = text, b""
+            if not any(b in text for b in BLANKS) and PLAIN.fullmatch(text):
+                if text.endswith(" "):
+                    tail, text = self.space, text[:-1]
+                at = text.find(" ")
+                head = text if at < 0 else text[:at]
+                rest.append(b"" if at < 0 else text[at:].encode())
+            else:
+                rest.append(b"")
+            heads.append(head)
+            tails.append(tail)
+        bodies, held, size = [], [], 0
+        for body in rest:
+            held.append(body)
+            size += len(body)
+            if size >= TOGETHER:
+                bodies += self._batch(held)
+                held, size = [], 0
+        bodies += self._batch(held)
+        return [b"".join(x) for x in zip(self.whole(heads), bodies, tails, strict=True)]
+
+
+_tokens: dict[int, Tokens] = {}  # of this worker, so that the cache lives on between tasks
+
+
+def _tokens_of(tokenizer_file: Broadcast) -> Tokens:
+    key = hash(tokenizer_file.value)
     if key not in _tokens:
         _tokens.clear()
-        _tokens[key] = Tokens(tokenizer_file.value, pattern)
+        _tokens[key] = Tokens(tokenizer_file.value)
     return _tokens[key]
 
 
@@ -164,7 +288,6 @@ def write_ids(
     id_col: str = "doc_id",
     text_col: str = "text",
     end: int = END,
-    pattern: str = public_tokenizers.PATTERN,
     ids_per_file: int = IDS,
 ) -> None:
     """Encode the documents and write them under ``path`` in ascending order of their ids."""
@@ -174,13 +297,13 @@ def write_ids(
     close = np.array([end], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, seq = _tokens_of(shared, pattern), TaskContext.get().partitionId(), 0
-        doc_ids, packed, held = [], [], 0
+        tokens, part = _tokens_of(shared), TaskContext.get().partitionId()
+        doc_ids, packed, held, before = [], [], 0, 0
 
         def image() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(packed), np.uint32)
             data = pack_file(doc_ids, [len(p) // 4 for p in packed], ids)
-            row = {"part": part, "seq": seq, "n_docs": len(doc_ids), "n_ids": held, "image": data}
+            row = {"part": part, "before": before, "n_docs": len(doc_ids), "n_ids": held, "image": data}
             return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in slices(batches):
@@ -191,17 +314,17 @@ def write_ids(
                 held += len(ids) // 4 + 1
                 if held >= ids_per_file:
                     yield image()
-                    doc_ids, packed, held, seq = [], [], 0, seq + 1
+                    doc_ids, packed, held, before = [], [], 0, before + held
         if doc_ids:
             yield image()
 
-    kinds = {"part": pa.int32(), "seq": pa.int32(), "n_docs": pa.int64(), "n_ids": pa.int64()}
+    kinds = {"part": pa.int32(), "before": pa.int64(), "n_docs": pa.int64(), "n_ids": pa.int64()}
     schema = pa.schema([*kinds.items(), ("image", pa.binary())])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions(
         "doc_id", F.xxhash64("text"), "text"
-    ).mapInArrow(run, "part int, seq int, n_docs long, n_ids long, image binary").write.option(
+    ).mapInArrow(run, "part int, before long, n_docs long, n_ids long, image binary").write.option(
         "compression", "uncompressed"
     ).parquet(path)
 
@@ -224,35 +347,24 @@ def read_ids(spark: SparkSession, path: str, as_bytes: bool = False) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row["part"]] * n, pa.int32()),
-                    pa.array([row["seq"]] * n, pa.int32()),
                     pa.array(file.doc_ids, pa.int64()),
-                    pa.array(ends - file.counts),
+                    pa.array(row["before"] + ends - file.counts),
                     pa.array(packed, pa.binary()) if as_bytes else packed_lists(packed),
                 ],
-                ["part", "seq", "doc_id", "inside", "ids"],
+                ["part", "doc_id", "inside", "ids"],
             )
 
     kind = "binary" if as_bytes else "array<int>"
-    rows = files.select("part", "seq", "image").mapInArrow(
-        run, f"part int, seq int, doc_id long, inside long, ids {kind}"
-    )
-    return rows.join(_starts(files), ["part", "seq"]).select(
-        "doc_id", (F.col("before") + F.col("inside")).alias("start"), "ids"
+    rows = files.select("part", "before", "image").mapInArrow(
+        run, f"part int, doc_id long, inside long, ids {kind}"
     )
-
-
-def _starts(files: DataFrame) -> DataFrame:
-    """Ids before each file: running sums over the parts (a row each), then within each part."""
-    ahead = (Window.unboundedPreceding, -1)
-    sums = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    parts = sums.select(
-        "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(*ahead)), F.lit(0)).alias("base")
+    # A row for each part, so no more rows than the shuffle had partitions.
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base")
     )
-    inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(*ahead))
-    return (
-        files.select("part", "seq", F.coalesce(inside, F.lit(0)).alias("inside_part"))
-        .join(parts, "part")
-        .select("part", "seq", (F.col("base") + F.col("inside_part")).alias("before"))
+    return rows.join(F.broadcast(parts), "part").select(
+        "doc_id", (F.col("base") + F.col("inside")).alias("start"), "ids"
     )
 
 
