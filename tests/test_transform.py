@@ -1,4 +1,5 @@
 import datetime
+import json
 
 import pytest
 from conftest import rows
@@ -186,3 +187,85 @@ def test_plan_reads_only_its_columns_without_shuffle(spark, root, name):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert sorted(c.split(":")[0] for c in read.split(",")) == sorted(set(spec.bronze_columns))
     assert "Exchange" not in text and "Python" not in text
+
+
+# Rows that the eight tables must give.
+GOLDEN_CAST = [
+    ("19995", "Avatar", 242, "Jake Sully", "5602a8a7c3a3685532001c9a", 2, 65731, "Sam Worthington"),
+    ("19995", "Avatar", 3, "Neytiri", "52fe48009251416c750ac9cb", 1, 8691, "Zoe Saldana"),
+    ("19995", "Avatar", 25, "Dr. Grace Augustine", "52fe48009251416c750aca39", 1, 10205, "Sigourney Weaver"),
+    ("19995", "Avatar", 4, "Col. Quaritch", "52fe48009251416c750ac9cf", 2, 32747, "Stephen Lang"),
+]
+GOLDEN_CREW = [
+    ("19995", "Avatar", "52fe48009251416c750aca23", "Editing", 0, 1721, "Editor", "Stephen E. Rivkin"),
+    ("19995", "Avatar", "539c47ecc3a36810e3001f87", "Art", 2, 496, "Production Design", "Rick Carter"),
+    ("19995", "Avatar", "54491c89c3a3680fb4001cf7", "Sound", 0, 900, "Sound Designer", "Christopher Boyes"),
+    ("19995", "Avatar", "54491cb70e0a267480001bd0", "Sound", 0, 900, "Supervising Sound Editor", "Christopher Boyes"),
+]
+GOLDEN_GENRES = [
+    ("19995", 28, "Action"), ("19995", 12, "Adventure"), ("19995", 14, "Fantasy"),
+    ("19995", 878, "Science Fiction"), ("285", 12, "Adventure"),
+]
+GOLDEN_KEYWORDS = [
+    ("19995", 1463, "culture clash"), ("19995", 2964, "future"), ("19995", 3386, "space war"),
+    ("19995", 3388, "space colony"), ("19995", 3679, "society"),
+]
+GOLDEN_LANGUAGES = [
+    ("19995", "en", "English"), ("19995", "es", "Español"), ("285", "en", "English"),
+    ("206647", "fr", "Français"), ("206647", "en", "English"),
+]
+GOLDEN_COUNTRIES = [("19995", "GB", "United Kingdom"), ("206647", "GB", "United Kingdom")]
+GOLDEN_MOVIES = [
+    ("19995", 2.37e8, 150.43758, "2009-12-10", 2.787965087e9, 162, 7.2, 11800),
+    ("285", 3.0e8, 139.08261, "2007-05-19", 9.61e8, 169, 6.9, 4500),
+    ("206647", 2.45e8, 107.376785, "2015-10-26", 8.80674609e8, 148, 6.3, 4466),
+    ("49026", 2.5e8, 112.31295, "2012-07-16", 1.084939099e9, 165, 7.6, 9106),
+    ("49529", 2.6e8, 43.926994, "2012-03-07", 2.841391e8, 132, 6.1, 2124),
+]
+GOLDEN_LISTS = {
+    "genres": GOLDEN_GENRES,
+    "keywords": GOLDEN_KEYWORDS,
+    "spoken_languages": GOLDEN_LANGUAGES,
+    "production_countries": GOLDEN_COUNTRIES,
+}
+
+
+def packed(rows, names):
+    """Rows of one table back as bronze: a JSON list for each movie."""
+    lists = {}
+    for row in rows:
+        lists.setdefault(row[0], []).append(dict(zip(names, row[-len(names) :], strict=True)))
+    return lists
+
+
+@pytest.mark.parametrize("name", ["cast", "crew"])
+def test_golden_credits(spark, name):
+    golden = {"cast": GOLDEN_CAST, "crew": GOLDEN_CREW}[name]
+    names = [f.split()[0] for f in find(name).element.split(", ")]
+    data = [
+        (int(m), "Avatar", *(json.dumps(people) if c == name else "[]" for c in ("cast", "crew")))
+        for m, people in packed(golden, names).items()
+    ]
+    assert rows(transform(credits(spark, *data), find(name))) == sorted(golden, key=str)
+
+
+@pytest.mark.parametrize("name", list(GOLDEN_LISTS))
+def test_golden_lists(spark, name):
+    golden = GOLDEN_LISTS[name]
+    names = [f.split()[0] for f in find(name).element.split(", ")]
+    data = [movie(int(m), "t", **{name: found}) for m, found in packed(golden, names).items()]
+    assert rows(transform(movies(spark, *data), find(name))) == sorted(golden, key=str)
+
+
+def test_golden_movies(spark):
+    data = [
+        movie(int(m), "t", budget=f"{budget:.0f}", popularity=str(popularity), release_date=day,
+              revenue=f"{revenue:.0f}", runtime=str(float(runtime)), vote_average=str(vote), vote_count=str(votes))
+        for m, budget, popularity, day, revenue, runtime, vote, votes in GOLDEN_MOVIES
+    ]
+    found = {r.movie_id: r for r in transform(movies(spark, *data), find("movies")).collect()}
+    for m, budget, popularity, day, revenue, runtime, vote, votes in GOLDEN_MOVIES:
+        row = found[m]
+        assert row.vote_count == votes
+        assert (row.budget, str(row.release_date), row.revenue, row.runtime) == (budget, day, revenue, runtime)
+        assert (row.popularity, row.vote_average) == (pytest.approx(popularity), pytest.approx(vote))
