@@ -49,8 +49,9 @@ GROUP = 32  # sets with a prefix shingle, up to which their pairs are listed
 BLOCK = 128  # sets in a block of a cluster
 COLUMNS = 16_384  # shingles in one matrix product
 HEAVY = 64  # sets of a task's chunk that have a shingle, from which on only their number is gathered
-CHUNK = 1_500_000  # shingles sent at once by a task
-SHARD = 3_000_000  # shingles in a shard
+CHUNK = 500_000  # shingles sent at once by a task
+SHARD = 2_000_000  # shingles in a shard
+HASHES = 150_000  # hashes of words that a worker remembers
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -245,7 +246,7 @@ def collect_sets(docs: DataFrame, id_col: str, text_col: str, words: int, percen
     shards = size // (6 * SHARD) + 1  # a word and its space take about six characters
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, count = Hashes(), ([], [], []), 0
+        hashes, held, count = Hashes(HASHES), ([], [], []), 0
 
         def flush() -> pa.RecordBatch:
             names, blobs = zip(*send(held[0], held[2], held[1], hashes, words, shards), strict=True)

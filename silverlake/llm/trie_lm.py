@@ -66,10 +66,14 @@ ADDED = {"n_tokens": LongType(), "n_known": LongType(), "train_tokens": LongType
 
 
 class Hashes(dict):
-    """word -> its 64-bit hash"""
+    """word -> its 64-bit hash, of at most ``most`` words"""
+
+    def __init__(self, most: int = WORDS):
+        super().__init__()
+        self.most = most
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
+        if len(self) >= self.most:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
