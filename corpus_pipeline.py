@@ -32,8 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``source``, ``n_tokens``, ``ids`` and ``decoded`` (the text that the ids stand for)."""
     ranks = byte_bpe.share_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = byte_bpe.encode(docs.select("doc_id", "source", "text"), ranks, drop_text=True)
-    both = byte_bpe.decode(encoded, ranks)
+    both = byte_bpe.encode(docs.select("doc_id", "source", "text"), ranks, drop_text=True, bytes_col="decoded")
     return both.selectExpr(
         "doc_id", "source", "cast(size(ids) as bigint) AS n_tokens", "ids", "cast(decoded as string) AS decoded"
     )

@@ -10,6 +10,20 @@ from silverlake.sources.scratch import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of whole texts that go to a Python worker at once.
+TEXT_ROWS = 500
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """From now on the session hands Python at most ``TEXT_ROWS`` rows at once.
+
+    Spark's own 10,000 rows of very long texts are more than a worker can hold.
+    """
+    if not 0 < int(spark.conf.get(BATCH)) <= TEXT_ROWS:
+        spark.conf.set(BATCH, TEXT_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
-from silverlake.llm.base import table
+from silverlake.llm.base import table, text_batches
 from silverlake.llm.pieces import PieceEncoder, slices
 
 NONE = 1 << 62
 LONG = 64  # bytes of a piece that is merged with others
+MANY = 8192  # pieces merged at once
 
 
 def read_ranks(rank_file: bytes) -> dict[bytes, int]:
@@ -190,7 +191,9 @@ class Codec:
             else:
                 sizes.setdefault((len(piece) - 1).bit_length(), []).append(piece)
         for alike in sizes.values():
-            out.update(zip(alike, merge_many(alike, self.single, self.pairs), strict=True))
+            for at in range(0, len(alike), MANY):
+                part = alike[at : at + MANY]
+                out.update(zip(part, merge_many(part, self.single, self.pairs), strict=True))
         return [out[piece] for piece in data]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -227,17 +230,24 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     ids_col: str = "ids",
     drop_text: bool = False,
+    bytes_col: str | None = None,
 ) -> DataFrame:
-    """``docs`` with the ids of each whole text."""
-    kept = [c for c in docs.columns if c != ids_col and not (drop_text and c == text_col)]
+    """``docs`` with the ids of each whole text; with ``bytes_col`` also the bytes these ids decode to."""
+    text_batches(docs.sparkSession)
+    added = [ids_col, bytes_col] if bytes_col else [ids_col]
+    kept = [c for c in docs.columns if c not in added and not (drop_text and c == text_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(rank_file, pattern)
         for batch in slices(batches):
             ids = packed_lists(codec.encode([text or "" for text in batch.column(text_col).to_pylist()]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], [*kept, ids_col])
+            columns = [*(batch.column(c) for c in kept), ids]
+            if bytes_col:
+                columns.append(pa.array([codec.decode(x) for x in ids.to_pylist()], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
-    return docs.mapInArrow(run, _schema(docs, kept).add(ids_col, ArrayType(IntegerType())))
+    schema = _schema(docs, kept).add(ids_col, ArrayType(IntegerType()))
+    return docs.mapInArrow(run, schema.add(bytes_col, BinaryType()) if bytes_col else schema)
 
 
 def decode(
@@ -248,6 +258,7 @@ def decode(
     bytes_col: str = "decoded",
 ) -> DataFrame:
     """``docs`` with the bytes that the ids stand for."""
+    text_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != bytes_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +280,7 @@ def op4_byte_bpe(
 ) -> DataFrame:
     ranks = share_ranks(spark, rank_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, ranks, drop_text=True), ranks)
+    both = encode(docs, ranks, drop_text=True, bytes_col="decoded")
     listed = F.expr("substring(to_json(ids), 2, length(to_json(ids)) - 2)")
     return both.select(
         "doc_id",

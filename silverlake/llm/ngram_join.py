@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlake.llm.base import fresh, stored, table
+from silverlake.llm.base import fresh, stored, table, text_batches
 from silverlake.llm.components import components
 from silverlake.llm.pieces import slices
 from silverlake.llm.trie_lm import Hashes, grow, shard_of, shrink, summed
@@ -242,6 +242,7 @@ def collect_sets(docs: DataFrame, id_col: str, text_col: str, words: int, percen
         F.col(text_col).alias("text"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"),
     )
+    text_batches(docs.sparkSession)
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = size // (6 * SHARD) + 1  # a word and its space take about six characters
 

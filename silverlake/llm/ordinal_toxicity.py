@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructType
 
-from silverlake.llm.base import stored, table
+from silverlake.llm.base import stored, table, text_batches
 
 MOST_ROWS = 20_000
 FEATURES = 1024
@@ -78,6 +78,7 @@ def labelled_sample(
     """``text`` and ``toxic`` of at most ``most`` labelled documents, picked by a hash of the id."""
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
     marks = marks.dropna().dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    text_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # At most ``most`` rows of two numbers.
     return stored(texts.join(F.broadcast(marks), "doc_id"), "toxic-labels")

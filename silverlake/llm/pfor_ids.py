@@ -32,7 +32,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverlake.llm.base import table
+from silverlake.llm.base import table, text_batches
 from silverlake.llm.byte_bpe import packed_lists
 from silverlake.llm.pieces import slices
 from silverlake.sources.scratch import scratch_path
@@ -292,6 +292,7 @@ def write_ids(
 ) -> None:
     """Encode the documents and write them under ``path`` in ascending order of their ids."""
     spark = docs.sparkSession
+    text_batches(spark)
     with open(tokenizer_path, "rb") as file:
         shared = spark.sparkContext.broadcast(file.read())
     close = np.array([end], np.uint32).tobytes()

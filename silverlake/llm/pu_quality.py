@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlake.llm.base import stored, table
+from silverlake.llm.base import stored, table, text_batches
 
 MOST_ROWS = 20_000
 BINS = 16
@@ -134,6 +134,7 @@ def learn(
     most: int = MOST_ROWS,
 ) -> Model:
     """A model from the training rows; labels of held-out rows are not read into it."""
+    text_batches(docs.sparkSession)
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("good"))
     marks = marks.dropna().where(~held_out(F.col("doc_id")))
     counts = marks.agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")).first()

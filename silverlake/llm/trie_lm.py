@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
 from silverlake.llm import elias_fano
-from silverlake.llm.base import stored, table
+from silverlake.llm.base import stored, table, text_batches
 from silverlake.llm.pieces import slices
 from silverlake.sources.scratch import scratch_path
 
@@ -268,6 +268,7 @@ class Model:
 def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) -> Model:
     """Count and store the model of the whole texts. ``shards``: as many as the shuffle has partitions."""
     spark = docs.sparkSession
+    text_batches(spark)
     folder = _uri(scratch_path(spark, "ngram-model"))
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
