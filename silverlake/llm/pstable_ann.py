@@ -7,7 +7,10 @@ steps. What the tables find is merged, and nearness is computed exactly on the o
 
 ``calibrate`` fits the width w, the number of tables and the number of cells visited: for at most
 ``SAMPLE`` vectors (picked by a hash) the true neighbours among all rows are found by brute force, and of all
-settings that would have found ``RECALL`` of them the cheapest is taken. Every row is indexed.
+settings that would have found ``RECALL`` of them the cheapest is taken. Widths are multiples of several
+quantiles of the distance to the k-th neighbour, as rows may lie in parts of different density. If none of
+the settings reaches the recall, they are widened for as long as they read fewer rows than there are; if that does
+not reach it either, all queries are compared with all rows, in blocks of both. Every row is indexed.
 
 Equal vectors are merged first, with their k + 1 smallest ids, more of which can never be among the k nearest
 (salted, so a vector that a third of the rows share is spread). Cells are dealt to groups of about ``GROUP``
@@ -36,7 +39,9 @@ from silverlake.llm.base import stored, table
 
 K = 6  # directions of a table
 TABLES = (2, 4, 8, 12)
-WIDTHS = (0.9, 1.2, 1.6, 2.2)  # times the distance to the k-th neighbour
+WIDTHS = (0.9, 1.2, 1.6, 2.2)  # times a quantile of the distances to the k nearest
+UPPER = (0.5, 0.75, 0.9, 1.0)  # the quantiles
+WIDER = 1.4  # step beyond them
 SAMPLE, RECALL, SEED = 64, 0.97, 11
 SALT, GROUP = 64, 4096
 COPY = 40  # comparisons that cost as much as one more copy of a vector
@@ -76,7 +81,7 @@ class Tables:
     directions: np.ndarray  # tables x length x K
     offsets: np.ndarray  # tables x K, in cells
     width: float
-    probes: int
+    probes: int  # 0: compare with all rows
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """Place of each vector in each table, in cells: tables x vectors x K."""
@@ -130,19 +135,24 @@ def calibrate(rows: DataFrame, k: int, queries: int, recall: float = RECALL) ->
         return random_tables(sample.shape[1], 1, 1.0, 1)
     q = np.array([r["q"] for r in pairs])
     true = np.array([r["vector"] for r in pairs])
-    reach = float(np.median(np.sqrt([r["d"] for r in pairs])))
-    settings = []
-    for width, count in product(WIDTHS, TABLES):
-        tables = random_tables(sample.shape[1], count, width * reach, len(_steps))
-        hit = np.sort(_visit_ranks(tables, sample, true, q).min(axis=0))
-        found_at = np.searchsorted(hit, np.arange(len(_steps)), side="right") / len(hit)
-        enough = int(np.searchsorted(found_at, recall))
-        if enough < len(_steps):
+    distances = np.sqrt([r["d"] for r in pairs])
+    widths = sorted({w * float(r) for r in np.quantile(distances, UPPER) for w in WIDTHS})
+    settings, least = [], 0.0
+    while not settings and least < count_rows:
+        least = np.inf
+        for width, count in product(widths, TABLES):
+            tables = random_tables(sample.shape[1], count, width, len(_steps))
+            hit = np.sort(_visit_ranks(tables, sample, true, q).min(axis=0))
+            found_at = np.searchsorted(hit, np.arange(len(_steps)), side="right") / len(hit)
+            enough = int(np.searchsorted(found_at, recall))
             read = (_visit_ranks(tables, sample, sample) <= enough).mean(axis=(1, 2)).sum() * count_rows
-            copies = COPY * count * count_rows / max(queries, 1)
-            settings.append((read + copies + count * enough, width, count, enough + 1))
-    _, width, count, probes = min(settings, default=(0, WIDTHS[-1], TABLES[-1], len(_steps)))
-    return random_tables(sample.shape[1], count, width * reach, probes)
+            least = min(least, read)
+            if enough < len(_steps):
+                copies = COPY * count * count_rows / max(queries, 1)
+                settings.append((read + copies + count * enough, width, count, enough + 1))
+        widths = [widths[-1] * WIDER]
+    _, width, count, probes = min(settings, default=(0, widths[-1], 1, 0))
+    return random_tables(sample.shape[1], count, width, probes)
 
 
 def _visit_ranks(tables: Tables, queries: np.ndarray, x: np.ndarray, q: np.ndarray | None = None) -> np.ndarray:
@@ -210,18 +220,6 @@ def search(
                         }
                     )
 
-    cells = index.mapInPandas(to_cells, f"vector {kind}, ids array<long>, tab int, grp long, cell long")
-    parts = F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts")
-    large = stored(cells.groupBy("tab", "grp", "cell").agg(parts).where("parts > 1"), "large-cells")
-    members = cells.join(large, ["tab", "grp", "cell"], "left").withColumn(
-        "part", F.pmod(F.xxhash64("vector"), F.coalesce("parts", F.lit(1))).cast("int")
-    )
-    most = large.groupBy("tab", "grp").agg(F.max("parts").alias("parts"))
-    visits = asked.mapInPandas(to_visits, f"id long, vector {kind}, tab int, grp long, cells array<long>")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
-    visits = visits.join(most, ["tab", "grp"], "left").select("id", "vector", "tab", "grp", "cells", every)
-    keys = ["tab", "grp", "part"]
-
     def nearest(found: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         """The k nearest of each query, among the vectors of the cells that it visits here or, without cells, all."""
         out = []
@@ -249,16 +247,34 @@ def search(
     def merge(found: DataFrame) -> DataFrame:
         return stored(found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), "neighbours")
 
-    merged = merge(members.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(nearest, result))
-    # Queries for which the tables hold fewer than k are compared with all rows, a part at a time.
-    full = merged.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
-    short = stored(asked.join(full.select(F.col("query_id").alias("id")), "id", "left_anti"), "short")
-    if not short.isEmpty():
-        asking = short.select("id", "vector", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
-        whole = index.withColumn("grp", F.pmod(F.xxhash64("vector"), F.lit(groups)).cast("int"))
-        more = merge(whole.groupBy("grp").cogroup(asking.groupBy("grp")).applyInPandas(nearest, result))
+    merged, short = None, stored(asked, "asked")
+    if tables.probes:
+        cells = index.mapInPandas(to_cells, f"vector {kind}, ids array<long>, tab int, grp long, cell long")
+        parts = F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts")
+        large = stored(cells.groupBy("tab", "grp", "cell").agg(parts).where("parts > 1"), "large-cells")
+        members = cells.join(large, ["tab", "grp", "cell"], "left").withColumn(
+            "part", F.pmod(F.xxhash64("vector"), F.coalesce("parts", F.lit(1))).cast("int")
+        )
+        most = large.groupBy("tab", "grp").agg(F.max("parts").alias("parts"))
+        visits = asked.mapInPandas(to_visits, f"id long, vector {kind}, tab int, grp long, cells array<long>")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+        visits = visits.join(most, ["tab", "grp"], "left").select("id", "vector", "tab", "grp", "cells", every)
+        keys = ["tab", "grp", "part"]
+        merged = merge(members.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(nearest, result))
+        # Queries for which the tables hold fewer than k are compared with all rows.
+        full = merged.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+        short = stored(short.join(full.select(F.col("query_id").alias("id")), "id", "left_anti"), "short")
+    if merged is None or not short.isEmpty():
+        # All pairs, a block of rows and a block of queries at a time.
+        turns = max(-(-short.count() // GROUP), 1)
+        turn = F.pmod(F.xxhash64("id", "vector"), F.lit(turns)).cast("int").alias("turn")
+        grp = F.pmod(F.xxhash64("vector"), F.lit(groups)).cast("int").alias("grp")
+        asking = short.select("id", "vector", turn, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
+        whole = index.select("vector", "ids", grp, F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"))
+        blocks = whole.groupBy("grp", "turn").cogroup(asking.groupBy("grp", "turn"))
+        more = merge(blocks.applyInPandas(nearest, result))
         ids = short.select(F.col("id").alias("query_id")).distinct()
-        merged = merged.join(ids, "query_id", "left_anti").unionByName(more)
+        merged = merged.join(ids, "query_id", "left_anti").unionByName(more) if merged is not None else more
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return merged.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 

@@ -356,3 +356,29 @@ def test_large_cells_are_split(spark, monkeypatch):
         wanted = {i for _, i in neighbours(rows, query_id, rows[query_id][1], 10)}
         hits += len(wanted & {r.vec_id for r in found if r.query_id == query_id})
     assert hits >= 270
+
+
+def test_recall_on_two_densities(spark):
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(4000, 16)) * np.where(rng.random(4000) < 0.45, 5.0, 1.0)[:, None]
+    vectors = spark.createDataFrame(list(enumerate(points.tolist())), "vec_id long, embedding array<double>").repartition(4)
+    hits = Counter()
+    for r in pstable_ann.search(vectors, vectors.where("vec_id < 200")).collect():
+        d = ((points - points[r.query_id]) ** 2).sum(axis=1)
+        hits[r.query_id] += r.vec_id in np.argsort(d)[1:11]
+    assert sum(hits.values()) / 2000 > 0.95
+
+
+def test_all_rows_where_no_tables_reach_the_recall(spark, monkeypatch):
+    monkeypatch.setattr(pstable_ann, "TABLES", (2,))
+    monkeypatch.setattr(pstable_ann, "GROUP", 40)
+    rng = np.random.default_rng(7)
+    spread = rng.choice([1.0, 30.0], 300)
+    rows = [(i, (rng.normal(size=24) * spread[i]).tolist()) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(pstable_ann, "_visit_ranks", lambda t, s, x, q=None: np.full((2, len(s), len(x)) if q is None else (2, len(x)), 729))
+    found = pstable_ann.search(vectors, vectors.where("vec_id < 60")).collect()
+    assert len(found) == 600
+    for r in found:
+        wanted = neighbours(rows, r.query_id, rows[r.query_id][1], 10)
+        assert r.vec_id == wanted[r["rank"] - 1][1]
