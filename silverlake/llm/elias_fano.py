@@ -21,6 +21,13 @@ def _u64(x: np.ndarray | int) -> np.ndarray:
     return np.asarray(x).astype(np.uint64)
 
 
+def _or(words: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
+    """Sets ``bits`` in the words ``at``, which do not decrease."""
+    if len(at):
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        words[at[first]] |= np.bitwise_or.reduceat(bits, first)
+
+
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     """The parts of the sequence of sorted ``values``, all below ``universe``."""
     values = _u64(values)
@@ -31,13 +38,13 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     if low_bits and n:
         bit = _u64(np.arange(n)) * _u64(low_bits)
         at, shift, part = (bit >> _u64(6)).astype(np.int64), bit & _u64(63), values & _u64(mask)
-        np.bitwise_or.at(low, at, part << shift)
+        _or(low, at, part << shift)
         over = shift + _u64(low_bits) > WORD
-        np.bitwise_or.at(low, at[over] + 1, part[over] >> (WORD - shift[over]))
+        _or(low, at[over] + 1, part[over] >> (WORD - shift[over]))
     places = (values >> _u64(low_bits)).astype(np.int64) + np.arange(n)
     size = (n + (universe >> low_bits) + 1) // 64 + 1
     high = np.zeros(size, np.uint64)
-    np.bitwise_or.at(high, places >> 6, ONE << _u64(places & 63))
+    _or(high, places >> 6, ONE << _u64(places & 63))
     ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)])
     return {"n": np.array([n, low_bits], np.int64), "low": low, "high": high, "ones": ones}
 
@@ -129,18 +136,25 @@ class EliasFano:
         return out
 
 
+_BYTES = _u64(0x0101010101010101)
+_HIGH = _u64(0x8080808080808080)
+_in_byte = np.zeros((256, 8), np.int64)  # the place of each one of a byte
+for _byte in range(256):
+    _ones = [i for i in range(8) if _byte >> i & 1]
+    _in_byte[_byte, : len(_ones)] = _ones
+
+
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The place of the ``rank``-th one (from 0) in each word."""
-    words, rank = words.copy(), rank.copy()
-    place = np.zeros(len(words), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        low = words & _u64((1 << width) - 1)
-        count = np.bitwise_count(low).astype(np.int64)
-        up = rank >= count
-        rank -= np.where(up, count, 0)
-        words = np.where(up, words >> _u64(width), low)
-        place += np.where(up, width, 0)
-    return place
+    rank = _u64(rank)
+    sums = words - ((words >> ONE) & _u64(0x5555555555555555))
+    sums = (sums & _u64(0x3333333333333333)) + ((sums >> _u64(2)) & _u64(0x3333333333333333))
+    sums = ((sums + (sums >> _u64(4))) & _u64(0x0F0F0F0F0F0F0F0F)) * _BYTES  # ones up to each byte
+    before = np.bitwise_count(((rank * _BYTES | _HIGH) - sums) & _HIGH)  # bytes that end before the one
+    shift = _u64(np.minimum(before, 7)) << _u64(3)
+    rank = rank - ((sums << _u64(8)) >> shift & _u64(255))
+    byte = words >> shift & _u64(255)
+    return shift.astype(np.int64) + _in_byte.ravel()[(byte << _u64(3) | rank & _u64(7)).astype(np.int64)]
 
 
 # ---------------------------------------------------------------- buffers of named arrays

@@ -5,17 +5,17 @@ count, to the shard that a hash of its first two words names. A shard therefore
 pairs and triples, however frequent a word or a pair is. Single words go, by their 64-bit hash, to shards of
 the vocabulary.
 
-Model. A trie has the levels first word, pair, triple; pairs and triples seen once are left to the smoothing.
-The children of a node lie side by side; monotone pointers give where they start, and a child's key is
-its parent's place and the child's 32-bit hash, so each level is one monotone sequence. Probabilities are
+Model. A trie has the levels first word, pair, triple. The query keeps all of them; ``train`` leaves to the
+smoothing what is seen less than ``least`` times.
+The children of a node lie side by side; a child's key is its parent's place and the child's 32-bit hash, so
+each level is one monotone sequence, whose high parts lead to the children of a place. Probabilities are
 discounted by ``DISCOUNT`` and interpolated with the shorter context's, whose weight is exactly the mass left
-over; they are stored as 16-bit logarithms. Words outside the vocabulary share the discounted mass of
+over; they are stored as 16-bit logarithms, of which each file holds the ``TOP`` most frequent as bytes. Words outside the vocabulary share the discounted mass of
 single words as one more word would. The probability of a text is the even mixture of the triple model's and
 the single words', so that text without known phrases costs no more than a factor of two.
 
 Files. Each shard is one flat file in the shared folder (``spark.checkpoint.dir``, through pyarrow's file
-systems); the tasks that score memory-map them and look words up in place: a word in its parent's range by
-successor search. The model grows with the corpus, but on disk; a worker holds the pages it touches. The
+systems); the tasks that score memory-map them and look keys up in place by successor search. The model grows with the corpus, but on disk; a worker holds the pages it touches. The
 driver sees the paths, one for each shard. A file's name is new for each attempt and only the names that
 finished tasks return are used, so lost executors leave nothing half-written in the model.
 
@@ -49,8 +49,9 @@ from silverlake.sources.scratch import scratch_path
 
 CHUNK = 2_000_000  # tokens sorted at once while counting
 BATCH = 400_000  # tokens scored at once
-LEAST = 2  # count of a pair or triple that is kept
+LEAST = 2  # count of a pair or triple that ``train`` keeps, if it is not told otherwise
 DISCOUNT = 0.75
+TOP = 255  # codes of a file that take a byte
 FOLDS, HELD_OUT = 7, 2
 WORDS = 300_000  # hashes of words that a worker remembers
 
@@ -179,10 +180,30 @@ def from_code(code: np.ndarray) -> np.ndarray:
     return np.exp2(code.astype(np.float64) / 512 - 60)
 
 
+def pack_codes(name: str, codes: np.ndarray) -> dict[str, np.ndarray]:
+    """A byte for each code; ``TOP`` stands for a code that is in the list of the rarer ones."""
+    values, at, n = np.unique(codes, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values))
+    short = np.minimum(rank[at], TOP).astype(np.uint8)
+    odd = np.flatnonzero(short == TOP)
+    parts = {"top": np.resize(values[order[:TOP]], TOP + 1) if len(values) else np.zeros(TOP + 1, np.uint16)}
+    return elias_fano.prefixed(name, parts | {"short": short, "odd": codes[odd], "odd_at": odd.astype(np.uint64)})
+
+
+def codes_at(name: str, arrays: dict[str, np.ndarray], places: np.ndarray) -> np.ndarray:
+    short = arrays[f"{name}.short"][places]
+    codes = arrays[f"{name}.top"][short]
+    odd = np.flatnonzero(short == TOP)
+    codes[odd] = arrays[f"{name}.odd"][np.searchsorted(arrays[f"{name}.odd_at"], places[odd].astype(np.uint64))]
+    return codes
+
+
 # ---------------------------------------------------------------- building shards
 
 
-def build_trie(blobs: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+def build_trie(blobs: list[bytes], least: int = LEAST) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The file image of a trie; and first words (their short hashes) with what their kept pairs sum to."""
     parts = [grow(b) for b in blobs]
     pair = np.concatenate([p["key"] for p in parts]) * UNMIX
@@ -196,10 +217,10 @@ def build_trie(blobs: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
 
     start = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     pairs, total = pair[start], np.add.reduceat(n, start)
-    kept = total >= LEAST
+    kept = total >= least
     node = np.cumsum(kept) - 1  # the place of a kept pair
     of = np.repeat(np.arange(len(pairs)), np.diff(np.append(start, len(pair))))
-    deep = (n >= LEAST) & ((pairs[of] & np.uint64(0xFFFFFFFF)) != np.uint64(END >> 32))
+    deep = (n >= least) & ((pairs[of] & np.uint64(0xFFFFFFFF)) != np.uint64(END >> 32))
     q3 = (n[deep] - DISCOUNT) / total[of[deep]]
     parent = node[of[deep]]
     pairs, total = pairs[kept], total[kept]
@@ -208,18 +229,16 @@ def build_trie(blobs: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     heads = pairs >> HALF
     new = np.concatenate([[True], heads[1:] != heads[:-1]]) if len(pairs) else np.zeros(0, bool)
     words, head = heads[new], np.cumsum(new) - 1
-    count = len(words), len(pairs), len(q3)
-    children = np.searchsorted(head, np.arange(count[0] + 1))
-    grandchildren = np.searchsorted(parent, np.arange(count[1] + 1))
+    count = len(words), len(pairs)
     keys = head.astype(np.uint64) << HALF | pairs & np.uint64(0xFFFFFFFF)
     deep_keys = parent.astype(np.uint64) << HALF | third[deep].astype(np.uint64)
     image = elias_fano.pack(
         elias_fano.prefixed("words", elias_fano.encode(words, 1 << 32))
-        | elias_fano.prefixed("pairs_at", elias_fano.encode(children, count[1] + 1))
         | elias_fano.prefixed("pairs", elias_fano.encode(keys, max(count[0], 1) << 32))
-        | elias_fano.prefixed("triples_at", elias_fano.encode(grandchildren, count[2] + 1))
         | elias_fano.prefixed("triples", elias_fano.encode(deep_keys, max(count[1], 1) << 32))
-        | {"pair_code": to_code(total - DISCOUNT), "left_code": to_code(left), "triple_code": to_code(q3)}
+        | pack_codes("pair_code", to_code(total - DISCOUNT))
+        | pack_codes("left_code", to_code(left))
+        | pack_codes("triple_code", to_code(q3))
     )
     return image, words.astype(np.uint64), np.bincount(head, total - DISCOUNT, count[0])
 
@@ -265,8 +284,11 @@ class Model:
     words: int
 
 
-def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) -> Model:
-    """Count and store the model of the whole texts. ``shards``: as many as the shuffle has partitions."""
+def train(docs: DataFrame, text_col: str = "text", shards: int | None = None, least: int = LEAST) -> Model:
+    """Count and store the model of the whole texts. ``shards``: as many as the shuffle has partitions.
+
+    With ``least`` = 1 all pairs and triples are kept.
+    """
     spark = docs.sparkSession
     text_batches(spark)
     folder = _uri(scratch_path(spark, "ngram-model"))
@@ -297,7 +319,7 @@ def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) ->
                 np.concatenate([m["key"] for m in merged]), np.concatenate([m["n"].astype(np.int64) for m in merged])
             )
             return _rows([(shard - shards, 0, shrink({"key": keys, "n": small(n)}))])
-        image, words, sums = build_trie(blobs)
+        image, words, sums = build_trie(blobs, least)
         out = [(shard, 2, write_file(folder, f"trie-{shard}", image).encode())]
         to = shard_of(words << HALF, shards)
         for s in np.unique(to):
@@ -368,7 +390,7 @@ class Reader:
             return None
         if shard not in self.open_files:
             arrays = self.arrays(self.model.tries[shard])
-            names = ("words", "pairs_at", "pairs", "triples_at", "triples")
+            names = ("words", "pairs", "triples")
             self.open_files[shard] = arrays | {name: elias_fano.opened(name, arrays) for name in names}
         return self.open_files[shard]
 
@@ -404,14 +426,13 @@ class Reader:
                 head = file["words"].find(heads)
                 known = np.flatnonzero(head[back] >= 0)
                 head = head[back][known]
-                ends = file["pairs_at"].access(np.stack([head, head + 1]).ravel()).astype(np.int64)
                 key = head.astype(np.uint64) << HALF | sorted_[known] & np.uint64(0xFFFFFFFF)
-                place = file["pairs"].find(key, ends[: len(head)], ends[len(head) :])
+                place = file["pairs"].find(key)
                 some = place >= 0
                 to = a + order[known[some]]
                 node[to] = place[some]
-                kept[to] = from_code(file["pair_code"][place[some]])
-                left[to] = from_code(file["left_code"][place[some]])
+                kept[to] = from_code(codes_at("pair_code", file, place[some]))
+                left[to] = from_code(codes_at("left_code", file, place[some]))
         return node, kept, left
 
     def triples(self, mixed: np.ndarray, node: np.ndarray, third: np.ndarray) -> np.ndarray:
@@ -422,11 +443,10 @@ class Reader:
             if not file["triples"].n:
                 continue
             key = node[a:b].astype(np.uint64) << HALF | third[a:b]
-            ends = file["triples_at"].access(np.stack([node[a:b], node[a:b] + 1]).ravel()).astype(np.int64)
-            wide = np.flatnonzero(ends[: b - a] < ends[b - a :])
-            place = file["triples"].find(key[wide], ends[: b - a][wide], ends[b - a :][wide])
+            order = np.argsort(key)
+            place = file["triples"].find(key[order])
             some = place >= 0
-            out[a + wide[some]] = from_code(file["triple_code"][place[some]])
+            out[a + order[some]] = from_code(codes_at("triple_code", file, place[some]))
         return out
 
     def score(self, texts: list[str | None], hashes: Hashes) -> dict[str, np.ndarray]:
@@ -516,4 +536,4 @@ def held_out(doc_id: Column) -> Column:
 
 def op3_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return score(docs, train(docs.where(~F.col("held_out"))), drop_text=True)
+    return score(docs, train(docs.where(~F.col("held_out")), least=1), drop_text=True)

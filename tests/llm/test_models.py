@@ -132,6 +132,40 @@ def test_model_against_dictionaries(spark):
         assert row.n_tokens == len(brute.words(new[row.i])) + 1
 
 
+def whole_score(texts, text):
+    """The smoothing with all pairs and triples, over plain dictionaries."""
+    single, pair, triple = counts_of(texts)
+    after2, after3 = Counter(a for a, _ in pair), Counter((a, b) for a, b, _ in triple)
+    n, v, d = sum(c for w, c in single.items() if w != "<s>"), len(single) - 1, trie_lm.DISCOUNT
+
+    def p1(w):
+        return max(single[w] - d, 0) / n + d * v / (v + 1) / n
+
+    def p2(a, w):
+        return (max(pair[a, w] - d, 0) + d * after2[a] * p1(w)) / single[a] if single[a] else p1(w)
+
+    def p3(a, b, w):
+        c = pair[a, b]
+        return (max(triple[a, b, w] - d, 0) + d * after3[a, b] * p2(b, w)) / c if c else p2(b, w)
+
+    row = ["<s>", *brute.words(text), "</s>"]
+    three = math.log10(p2(*row[:2])) + sum(math.log10(p3(*row[k - 2 : k + 1])) for k in range(2, len(row)))
+    one = sum(math.log10(p1(w)) for w in row[1:])
+    return max(three, one) + math.log10(1 + 10 ** -abs(three - one)) - math.log10(2)
+
+
+def test_query_knows_phrases_seen_once(spark, tmp_path):
+    rng = random.Random(5)
+    texts = {i: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(30)) for i in range(60)}
+    held = [i for i in texts if zlib.crc32(str(i).encode()) % 7 == 2]
+    train = [texts[i] for i in texts if i not in held]
+    texts[held[0]] = train[0]
+    texts[held[1]] = " ".join(train[1].split()[5:20])
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for row in trie_lm.op3_trie_lm(spark, str(tmp_path)).collect():
+        assert row.score == pytest.approx(whole_score(train, texts[row.doc_id]), rel=1e-3)
+
+
 def test_model_without_text(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     model = trie_lm.train(none)
