@@ -176,16 +176,21 @@ class Tokens:
     The pattern starts a piece at every space that something other than white space follows. A text where all
     are like that is a first word and then words with a space before them, each encoded by itself. Words not
     seen lately go to the library in one text; each one's ids start where a token starts with a space. All other
-    texts are encoded whole. Words are told apart by a 64-bit polynomial hash over their bytes, taken of all
+    texts are encoded whole, also those that hold a token which the file adds to the vocabulary. With
+    ``added_tokens`` such a token gets its own id, as the library does; without, it is text. Words are told apart by a 64-bit polynomial hash over their bytes, taken of all
     words of a batch at once from running sums.
     """
 
-    def __init__(self, tokenizer_file: bytes, most: int = KEPT):
+    def __init__(self, tokenizer_file: bytes, most: int = KEPT, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        if not added_tokens:
+            self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(len(t.split()) != 1 or t.strip() != t for t in self.added):
+            self.added = [""]  # one that spans words could arise where words are joined, so all texts go whole
         space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         self.starts = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, id_ in self.tokenizer.get_vocab().items():
@@ -246,7 +251,7 @@ class Tokens:
         heads, rest, tails = [], [], []
         for text in texts:
             head, tail = text, b""
-            if not any(b in text for b in BLANKS) and PLAIN.fullmatch(text):
+            if not any(b in text for b in (*BLANKS, *self.added)) and PLAIN.fullmatch(text):
                 if text.endswith(" "):
                     tail, text = self.space, text[:-1]
                 at = text.find(" ")
@@ -267,14 +272,14 @@ class Tokens:
         return [b"".join(x) for x in zip(self.whole(heads), bodies, tails, strict=True)]
 
 
-_tokens: dict[int, Tokens] = {}  # of this worker, so that the cache lives on between tasks
+_tokens: dict[tuple[int, bool], Tokens] = {}  # of this worker, so that the cache lives on between tasks
 
 
-def _tokens_of(tokenizer_file: Broadcast) -> Tokens:
-    key = hash(tokenizer_file.value)
+def _tokens_of(tokenizer_file: Broadcast, added_tokens: bool) -> Tokens:
+    key = hash(tokenizer_file.value), added_tokens
     if key not in _tokens:
         _tokens.clear()
-        _tokens[key] = Tokens(tokenizer_file.value)
+        _tokens[key] = Tokens(tokenizer_file.value, added_tokens=added_tokens)
     return _tokens[key]
 
 
@@ -289,8 +294,12 @@ def write_ids(
     text_col: str = "text",
     end: int = END,
     ids_per_file: int = IDS,
+    added_tokens: bool = False,
 ) -> None:
-    """Encode the documents and write them under ``path`` in ascending order of their ids."""
+    """Encode the documents and write them under ``path`` in ascending order of their ids.
+
+    ``added_tokens``: text that is one of the file's added tokens gets that token's id.
+    """
     spark = docs.sparkSession
     text_batches(spark)
     with open(tokenizer_path, "rb") as file:
@@ -298,7 +307,7 @@ def write_ids(
     close = np.array([end], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = _tokens_of(shared), TaskContext.get().partitionId()
+        tokens, part = _tokens_of(shared, added_tokens), TaskContext.get().partitionId()
         doc_ids, packed, held, before = [], [], 0, 0
 
         def image() -> pa.RecordBatch:
@@ -372,7 +381,7 @@ def read_ids(spark: SparkSession, path: str, as_bytes: bool = False) -> DataFram
 def op9_pfor_ids(spark: SparkSession, sf_dir: str, tokenizer_path: str = "") -> DataFrame:
     path = scratch_path(spark, "token-ids")
     tokenizer = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
-    write_ids(table(spark, sf_dir, "documents"), path, tokenizer)
+    write_ids(table(spark, sf_dir, "documents"), path, tokenizer, added_tokens=True)
     return read_ids(spark, path, as_bytes=True).select(
         "doc_id",
         "start",

@@ -153,6 +153,20 @@ def test_id_query_against_the_library(spark):
         at += len(ids)
 
 
+def test_added_tokens_as_in_the_library(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(JSON)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "a <|endoftext b", "plain text", None]
+    texts += [t for t in ODD if t]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in pfor_ids.op9_pfor_ids(spark, str(tmp_path)).collect()}
+    at = 0
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        assert (rows[i].start, rows[i].n_tokens) == (at, len(ids))
+        assert rows[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+
+
 def test_no_documents(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     pfor_ids.write_ids(docs, str(tmp_path / "none"), JSON)
