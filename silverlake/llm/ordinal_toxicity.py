@@ -7,7 +7,7 @@ the expected severity, the sum of P(grade >= k), and a text is toxic if P(grade
 Labels say toxic or not, so the grades above 0 are derived: the toxic texts of the training rows are
 split, at the quantiles, by how many words they hold that speak for toxicity in the training rows.
 
-Features are the lower-cased words, as 1 + log(count). Word counts by label are a Spark aggregate; the ``FEATURES`` with the strongest association are kept, and the
+Features are the lower-cased words, as 1 + log(count). Word counts by label are a Spark aggregate; the ``FEATURES`` with the strongest association are kept, however weak it is, and the
 regression is fitted on the driver over at most ``MOST_ROWS`` labelled texts (picked by a hash of the
 id), as rows of a few feature numbers each. Scoring reads every whole text.
 
@@ -34,7 +34,6 @@ from silverlake.llm.base import stored, table, text_batches
 
 MOST_ROWS = 20_000
 FEATURES = 1024
-LEAST_TEXTS, LEAST_CHI = 5, 20.0  # labelled texts with a feature, and its chi-square
 GRADES = 3  # above 0
 STEPS, RATE, DECAY = 1500, 0.1, 1e-5
 ROWS = 256
@@ -97,7 +96,8 @@ def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str,
             for text, mark in zip(batch["text"], batch["toxic"], strict=True):
                 seen[mark].update(features(text).keys())
             names = list(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame({"name": names, "a": [seen[1][w] for w in names], "b": [seen[0][w] for w in names]})
+            if names:
+                yield pd.DataFrame({"name": names, "a": [seen[1][w] for w in names], "b": [seen[0][w] for w in names]})
 
     counts = sample.where("toxic in (0, 1)").mapInPandas(each, "name string, a long, b long")
     a, b = F.col("a"), F.col("b")
@@ -107,9 +107,7 @@ def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str,
     found = (
         counts.groupBy("name")
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        .where(a + b >= LEAST_TEXTS)
         .select("name", chi.alias("chi"), odds.alias("odds"))
-        .where(F.col("chi") >= LEAST_CHI)
         .orderBy(F.desc("chi"), "name")
         .limit(most)
     )
@@ -118,8 +116,6 @@ def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str,
 
 def fit(sample: DataFrame, most: int = FEATURES) -> Model:
     chosen = choose_features(sample, most)
-    if not chosen:
-        return Model({}, np.zeros(0), np.zeros(0))
     vocabulary = {name: k for k, (name, _) in enumerate(chosen)}
     speaks = {name for name, odds in chosen if odds > 2}
 
@@ -136,6 +132,8 @@ def fit(sample: DataFrame, most: int = FEATURES) -> Model:
     # Bounded by the sample: at most MOST_ROWS rows of the chosen features.
     data = sample.where("toxic in (0, 1)").mapInPandas(rows, "toxic int, much double, at array<int>, n array<int>")
     data = data.toPandas()
+    if data["toxic"].nunique() < 2:
+        return Model({}, np.zeros(0), np.zeros(0))
     data = data.iloc[np.lexsort((data["at"].map(len), data["much"], data["toxic"]))]
     toxic, much = data["toxic"].to_numpy(), data["much"].to_numpy()
     edges = np.quantile(much[toxic == 1], np.arange(1, GRADES) / GRADES)

@@ -317,6 +317,20 @@ def test_no_toxic_labels(spark):
     assert ordinal_toxicity.keep_clean(none, labels.where(F.lit(False))).count() == 0
 
 
+def test_few_toxic_labels(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(8)) + " vile" * (i % 4 == 1) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    model = ordinal_toxicity.fit(ordinal_toxicity.labelled_sample(docs, labels))
+    assert len(model.thresholds)
+    assert all(r.toxic for r in ordinal_toxicity.score(docs, model).collect() if "vile" in r.text)
+    kept = ordinal_toxicity.keep_clean(docs, labels).collect()
+    assert kept and not any("vile" in r.text for r in kept)
+    empty = ordinal_toxicity.fit(ordinal_toxicity.labelled_sample(docs.withColumn("text", F.lit("")), labels))
+    assert len(empty.thresholds)
+
+
 def test_toxicity_query_is_whole(spark):
     assert ordinal_toxicity.op6_ordinal_toxicity(spark, SMALL).count() == read(spark, "documents").count()
 
