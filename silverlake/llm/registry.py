@@ -5,6 +5,7 @@ from __future__ import annotations
 from silverlake.llm import (
     byte_bpe,
     chunk_dedup,
+    merkle,
     mixing,
     ngram_join,
     ordinal_toxicity,
@@ -26,8 +27,10 @@ QUERIES = {
     "op8_chunk_dedup": chunk_dedup.op8_chunk_dedup,
     "op9_pfor_ids": pfor_ids.op9_pfor_ids,
     "op10_mixing": mixing.op10_mixing,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 SQL = {
     "op8_chunk_dedup": chunk_dedup.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }

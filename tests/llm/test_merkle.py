@@ -1,0 +1,140 @@
+import random
+import zlib
+from hashlib import sha256
+
+import pytest
+
+from oracle import connect, difference
+from silverlake.llm import merkle
+from silverlake.llm.base import stored
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def h(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    parts = [row["doc_id"], row["source"], row["lang"], row["n_chars"], row["text"]]
+    return h("".join("-" if p is None else f"{len(str(p).encode())}:{p}" for p in parts))
+
+
+def tree_of(leaves):
+    levels = [list(leaves)]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([h("".join(last[i : i + 2])) for i in range(0, len(last), 2)])
+    return levels
+
+
+def siblings(levels, i):
+    out = []
+    for level in levels[:-1]:
+        out.append((level[i ^ 1] if i ^ 1 < len(level) else "", i & 1))
+        i >>= 1
+    return out
+
+
+def brute(rows):
+    """The query's rows for dictionaries, in plain Python."""
+    low = lambda x: (x is not None, x.encode() if isinstance(x, str) else x)
+    langs = sorted({r["lang"] for r in rows}, key=low)
+    trees = {}
+    for lang in langs:
+        members = sorted((r for r in rows if r["lang"] == lang), key=lambda r: (low(r["doc_id"]), leaf(r)))
+        trees[lang] = (members, tree_of([leaf(r) for r in members]))
+    top = tree_of([trees[lang][1][-1][0] for lang in langs])
+    out = []
+    for number, lang in enumerate(langs):
+        members, levels = trees[lang]
+        for i, row in enumerate(members):
+            path = siblings(levels, i) + siblings(top, number)
+            hit = row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 7 == 0
+            now = leaf(row | {"n_chars": row["n_chars"] + 1}) if hit and row["n_chars"] is not None else leaf(row)
+            for other, first in path:
+                now = h(other + now if first else now + other)
+            root = top[-1][0]
+            proof = h("".join(other for other, _ in path))
+            out.append((row["doc_id"], leaf(row), levels[-1][0], root, proof, now, now == root))
+    return sorted(out, key=str)
+
+
+def queried(spark, rows, tmp_path, extra=()):
+    frame = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows], SCHEMA)
+    for name in extra:
+        frame = frame.withColumn(name, merkle.F.lit("x"))
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    found = merkle.op11_merkle_manifest(spark, str(tmp_path))
+    names = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return sorted((tuple(r[n] for n in names) for r in found.collect()), key=str)
+
+
+def doc(doc_id, text="t", lang="en", source="s", n_chars=1):
+    return {"doc_id": doc_id, "text": text, "lang": lang, "source": source, "n_chars": n_chars}
+
+
+def test_same_as_sql(spark):
+    assert difference(merkle.op11_merkle_manifest(spark, SMALL), connect(SMALL), merkle.SQL) == ""
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [doc(i, text=f"text {i}", lang=lang) for i, lang in enumerate(["en"] * 11 + ["de"] * 3 + [None] * 2 + ["fr"])]
+    rows += [doc(None), doc(None, text=None), doc(5, text="", source=None), doc(77, n_chars=None), doc(-3, text="é" * 300_000)]
+    rows += [doc(21, lang="xx")] * 9 + [doc(2**63 - 1, lang="ä"), doc(4, lang="Z", text="1:-")]
+    assert queried(spark, rows, tmp_path, extra=["Leaf", "tree", "position", "block", "ROOT"]) == brute(rows)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_few_rows(spark, tmp_path, n):
+    rows = [doc(i) for i in range(n)]
+    assert queried(spark, rows, tmp_path) == brute(rows)
+
+
+def test_a_tree_of_several_blocks(spark, tmp_path):
+    """Two rounds of building, most rows in one tree, many of them repeated."""
+    rng = random.Random(3)
+    rows = [doc(rng.randrange(6000), text=str(rng.randrange(9))) for _ in range(2 * merkle.BLOCK + 77)]
+    rows += [doc(7)] * 3000 + [doc(i, lang=f"l{i:02}") for i in range(40)]
+    assert queried(spark, rows, tmp_path) == brute(rows)
+
+
+def test_proofs_of_some_leaves(spark):
+    """Scattered leaves of two blocks: missing nodes come from leaves, inner levels and other trees."""
+    n = merkle.BLOCK + 50
+    rows = spark.range(n).selectExpr("id AS doc_id", "if(id % 10 < 7, 'a', 'b') AS lang", "sha2(string(id), 256) AS leaf")
+    built = merkle.manifest(rows, "lang", "doc_id", "leaf")
+    wanted = stored(built.leaves.where("position IN (0, 1, 6, 700, 2869) OR doc_id = 4000"), "wanted")
+    some = {r["doc_id"]: r for r in merkle.proofs(built, "leaf", wanted).collect()}
+    every = {r["doc_id"]: r for r in merkle.proofs(built, "leaf").collect()}
+    assert len(every) == n and 0 < len(some) < 13
+    for doc_id, row in some.items():
+        assert row == every[doc_id]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 8, 13])
+def test_missing_is_least(size):
+    """What is fetched is enough, and without any one of it the root does not follow."""
+    levels = tree_of([h(str(i)) for i in range(size)])
+    rng = random.Random(size)
+    for _ in range(20):
+        at = rng.sample(range(size), rng.randint(1, size))
+        known = {i: levels[0][i] for i in at}
+        fetched = {(level, i): levels[level][i] for level, i in merkle.missing(at, size)}
+        found = merkle.derive(known, fetched, size)
+        assert found[-1] == {0: levels[-1][0]}
+        for leave_out in fetched:
+            fewer = {k: v for k, v in fetched.items() if k != leave_out}
+            try:
+                assert merkle.derive(known, fewer, size)[-1] != found[-1]
+            except KeyError:
+                pass
+        for i, path in merkle.paths(found, at, []).items():
+            assert [p or "" for p in path] == [s for s, _ in siblings(levels, i)]
+
+
+def test_crc32_in_sql():
+    con = connect(SMALL)
+    for text in ["0", "-17", "123456789", "9223372036854775807"]:
+        assert con.execute(f"SELECT {merkle.crc32_sql(repr(text))}").fetchone()[0] == zlib.crc32(text.encode())
