@@ -5,6 +5,7 @@ from __future__ import annotations
 from silverlake.llm import (
     byte_bpe,
     chunk_dedup,
+    lang_centroids,
     merkle,
     mixing,
     ngram_join,
@@ -13,6 +14,7 @@ from silverlake.llm import (
     pstable_ann,
     pu_quality,
     trie_lm,
+    turn_repair,
     url_trees,
 )
 
@@ -28,9 +30,12 @@ QUERIES = {
     "op9_pfor_ids": pfor_ids.op9_pfor_ids,
     "op10_mixing": mixing.op10_mixing,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_lang_centroids": lang_centroids.op12_lang_centroids,
+    "op13_turn_repair": turn_repair.op13_turn_repair,
 }
 SQL = {
     "op8_chunk_dedup": chunk_dedup.SQL,
     "op10_mixing": mixing.SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op13_turn_repair": turn_repair.SQL,
 }

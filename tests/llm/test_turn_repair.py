@@ -1,0 +1,204 @@
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+from hashlib import sha256
+
+import pytest
+
+from oracle import connect, difference
+from silverlake.llm import turn_repair
+from silverlake.llm.survivors import Survivors
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "conv_id long, turn long, role string, text string"
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+
+
+def damaged(rows):
+    """(conv_id, turn, role, text) rows of one conversation after damage, in order."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return sorted(out, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+
+
+def faults(rows):
+    out, seen = [], set()
+    for _, role, text in rows:
+        said = re.findall(r"[^\x20\x09-\x0D]", text)
+        out.append("blank" if not said else "duplicate" if (role, text) in seen else "truncated" if said[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def cheapest(rows, marks):
+    """(cost, audit, repaired rows) by plain dynamic programming on whole texts, inserts at any place."""
+    best = {"": (0, "", [])}
+
+    def insert(best):
+        out = dict(best)
+        for _ in range(3):
+            for state, (cost, audit, said) in list(out.items()):
+                role = "assistant" if state == "u" else "user"
+                way = (cost + 2, audit + "I", [*said, f"{role}:"])
+                if role[0] not in out or way[:2] < out[role[0]][:2]:
+                    out[role[0]] = way
+        return out
+
+    for (_, role, text), mark in zip(rows, marks, strict=True):
+        after = {}
+
+        def offer(state, way, after=after):
+            if state not in after or way[:2] < after[state][:2]:
+                after[state] = way
+
+        for state, (cost, audit, said) in insert(best).items():
+            offer(state, (cost + 3, audit + "D", said))
+            if mark in ("blank", "duplicate"):
+                continue
+            extra = mark == "truncated"
+            follow = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+            if role[:1] and role[:1] in follow:
+                offer(role[0], (cost + extra, audit + "K", [*said, f"{role}:{text}"]))
+            for to in ("user", "assistant"):
+                if to[0] in follow:
+                    offer(to[0], (cost + extra + 2, audit + "R", [*said, f"{to}:{text}"]))
+        best = after
+    return min((way for state, way in insert(best).items() if state in ("", "a")), key=lambda w: w[:2])
+
+
+def brute(table):
+    out = []
+    for conv in {r[0] for r in table}:
+        rows = damaged([r for r in table if r[0] == conv])
+        marks = faults(rows)
+        count = Counter(marks)
+        turns = [t for t, _, _ in rows if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows))
+        cost, audit, said = cheapest(rows, marks)
+        assert GRAMMAR.fullmatch("".join(x[0] for x in said))
+        digest = sha256("\n".join(said).encode()).hexdigest()
+        out.append((conv, gaps, count["blank"], count["duplicate"], count["truncated"], pairs, cost, audit, digest))
+    return sorted(out, key=str)
+
+
+NAMES = ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def queried(spark, table, tmp_path, **extra):
+    frame = spark.createDataFrame(table, SCHEMA)
+    for name, value in extra.items():
+        frame = frame.withColumn(name, turn_repair.F.lit(value))
+    frame.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = turn_repair.op13_turn_repair(spark, str(tmp_path))
+    return sorted((tuple(r[n] for n in NAMES) for r in found.collect()), key=str)
+
+
+def conversation(rng, conv, n):
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "u2", "", None]
+    texts = ["Yes.", "no", "What?", "So  \n", "", " \t", "Done!", None, "a\x0bb.", "…", "ok.\n"]
+    return [(conv, rng.choice([i, i, i, i + 1, None]), rng.choice(roles), rng.choice(texts) or f"Say {i}.") for i in range(n)]
+
+
+def test_same_as_sql(spark):
+    assert difference(turn_repair.op13_turn_repair(spark, SMALL), connect(SMALL), turn_repair.SQL) == ""
+
+
+def test_odd_conversations(spark, tmp_path):
+    rng = random.Random(1)
+    table = [row for conv in range(150) for row in conversation(rng, conv, rng.randint(1, 9))]
+    table += conversation(rng, None, 7) + [(-5, 2**62, "user", "x"), (-5, -(2**62), "assistant", "é" * 400_000)]
+    table += [(900, None, None, None)] * 3 + [(901, 4, "user", "Same.")] * 50 + [(902, t, "user", "Same.") for t in range(50)]
+    assert queried(spark, table, tmp_path, copies="x", block=1, MARK=2, whole="y") == brute(table)
+
+
+def test_a_conversation_of_many_blocks(spark, tmp_path):
+    """Most rows are of one conversation, which every part of the data shares."""
+    rng = random.Random(2)
+    long = [(7, i, rng.choice(["user", "assistant", "user", "assistant", "system"]), f"Turn {rng.randrange(900)}{rng.choice('.!?x')}") for i in range(3500)]
+    table = long + [row for conv in range(100, 160) for row in conversation(rng, conv, 5)]
+    assert queried(spark, table, tmp_path) == brute(table)
+
+
+def test_no_conversation(spark, tmp_path):
+    assert queried(spark, [], tmp_path) == []
+
+
+def test_dropped_altogether(spark, tmp_path):
+    conv = next(c for c in range(1000) if zlib.crc32(f"{c}:1".encode()) % 20 == 0)
+    nothing = (conv, 0, 0, 0, 0, 0, 0, "", sha256(b"").hexdigest())
+    assert queried(spark, [(conv, 1, "user", "Hello.")], tmp_path) == [nothing]
+
+
+def test_repaired_rows(spark):
+    said = [("system", "Be brief."), ("assistant", "Hm."), ("user", "Why?"), ("user", "Why so?"), ("assistant", "So.")]
+    rows = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(said)], SCHEMA)
+    found = [(r["role"], r["text"]) for r in turn_repair.Repair(rows).turns().orderBy("place").collect()]
+    # Two rows put in, as cheap as two other roles, and the lesser audit.
+    assert found == [said[0], ("user", ""), said[1], said[2], ("assistant", ""), said[3], said[4]]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_least_of_all_edits(seed):
+    """The search against every possible edit of a few rows."""
+    rng = random.Random(seed)
+    for _ in range(15):
+        rows = [(rng.choice("suaxs"), rng.choice(["", "", "t", "x"]), 1) for _ in range(rng.randint(0, 4))]
+        ways = []
+        for edits in itertools.product("KRrD", repeat=len(rows)):
+            for inserts in itertools.product(["", "u", "a", "ua", "au"], repeat=len(rows) + 1):
+                roles, audit, cost = inserts[0], "I" * len(inserts[0]), 2 * len(inserts[0])
+                for (initial, fault, _), edit, more in zip(rows, edits, inserts[1:], strict=True):
+                    roles += {"K": initial, "R": "u", "r": "a", "D": ""}[edit] + more
+                    audit += edit.upper() + "I" * len(more)
+                    cost += {"K": 0, "D": 3}.get(edit, 2) + 2 * len(more)
+                    cost += 1000 * (fault == "x" and edit != "D") + (fault == "t" and edit != "D")
+                if GRAMMAR.fullmatch(roles):
+                    ways.append((cost, audit))
+        ((_, cost, audit),) = turn_repair._search(rows, turn_repair.NONE, closing=True)
+        assert (cost, audit) == min(ways)
+
+
+def test_memory_is_bounded():
+    """What is undecided stays small however long a conversation is."""
+    rng, search, out, most = random.Random(4), Survivors(turn_repair.NONE, turn_repair.EXTRA), "", 0
+    rows = [(rng.choice("uaua s"), rng.choice(["", "", "t", "x"]), 1) for _ in range(20_000)]
+    for row in rows:
+        out += "".join(label for _, label in search.step(turn_repair.row_edges(*row)))
+        most = max(most, search.undecided())
+    out += "".join(label for _, label in search.step(turn_repair.CLOSING))
+    assert sum(letter != "I" for letter in out) == len(rows)
+    assert most < 200
+
+
+@pytest.mark.parametrize("n", [2000, 2001])
+def test_what_the_end_decides(n):
+    """Rows of foreign roles: whether the first one goes depends on the number of all, so all is kept until then."""
+    search = Survivors(turn_repair.NONE, turn_repair.EXTRA)
+    assert not any(search.step(turn_repair.row_edges("x", "", 1)) for _ in range(n))
+    assert search.undecided() > n
+    assert "".join(label for _, label in search.step(turn_repair.CLOSING)) == "D" * (n % 2) + "R" * (n - n % 2)
+
+
+def test_dropping_survivors_changes_nothing():
+    rng = random.Random(5)
+    for _ in range(400):
+        rows = [(rng.choice("uaxs"), rng.choice(["", "t", "x"]), rng.choice([1, 1, 2])) for _ in range(rng.randint(1, 25))]
+        found = []
+        for extra in (turn_repair.EXTRA, None):
+            search, out = Survivors(turn_repair.NONE, extra), ""
+            for edges in [turn_repair.row_edges(*row) for row in rows] + [turn_repair.CLOSING]:
+                out += "".join(label for _, label in search.step(edges))
+            found.append((out, search.best[turn_repair.END][0]))
+        assert found[0] == found[1]
