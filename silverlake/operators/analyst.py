@@ -8,7 +8,7 @@ out. ``movies_unique`` says that a movie has one row, as in a table loaded with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverlake.plans.specs import NO_CREDIT, NO_ID
@@ -72,6 +72,97 @@ def release_revenue_correlation(movies: DataFrame) -> DataFrame:
     return movies.agg(F.round(F.corr(day, F.col("revenue")), 6).alias("correlation"))
 
 
+def release_rollup(movies: DataFrame) -> DataFrame:
+    """Movies, revenue and its trend by year, year and month, weekday (0 is Monday) and in all, in one pass.
+
+    ``level`` names the grouping; columns that it does not group by are null. ``slope`` is the change of revenue
+    per day in the group and ``r2`` how much of the revenue's spread it explains (both null for a single day).
+    """
+    day = F.col("release_date")
+    released = _paid(movies.where("release_date IS NOT NULL"), "release_date").select(
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.weekday(day).alias("weekday"),
+        F.unix_date(day).cast("double").alias("day"),
+        "revenue",
+    )
+    by = ["year", "month", "weekday"]
+    sets = {"all": [], "year": ["year"], "month": ["year", "month"], "weekday": ["weekday"]}
+    # One bit for each column, set where it is not grouped by.
+    number = {sum((c not in on) << (2 - i) for i, c in enumerate(by)): level for level, on in sets.items()}
+    level = F.element_at(F.create_map(*[F.lit(x) for pair in number.items() for x in pair]), F.grouping_id().cast("int"))
+    amount = F.col("revenue").cast("double")
+    return released.groupingSets([[F.col(c) for c in on] for on in sets.values()], *by).agg(
+        level.alias("level"),
+        F.count(F.lit(1)).alias("movies"),
+        F.round(F.sum("revenue").cast("double"), 2).alias("revenue"),
+        F.round(F.regr_slope(amount, "day"), 3).alias("slope"),
+        F.round(F.regr_r2(amount, "day"), 6).alias("r2"),
+    )
+
+
+#: Size of the quantile sketches. The share of movies below an estimate is off by less than SKETCH_ERROR.
+SKETCH_K, SKETCH_ERROR = 1000, 0.01
+
+
+def revenue_sketches(genres: DataFrame, movies: DataFrame, movies_unique: bool = False) -> DataFrame:
+    """``(name, day, sketch)``: for each genre and release day a sketch of the revenues, some kilobytes at most.
+
+    To be stored and added to day by day; ``revenue_quantiles`` merges what it is given, so a day's load
+    does not read the movies of other days again.
+    """
+    known = _one_per_movie(_paid(movies, "movie_id", "release_date"), movies_unique, "revenue", "release_date")
+    tagged = genres.where(F.col("id") != NO_ID).select("movie_id", "name")
+    return (
+        tagged.join(known, "movie_id")
+        .groupBy("name", F.col("release_date").alias("day"))
+        .agg(F.kll_sketch_agg_double(F.col("revenue").cast("double"), F.lit(SKETCH_K)).alias("sketch"))
+    )
+
+
+def revenue_quantiles(sketches: DataFrame, *by: str) -> DataFrame:
+    """Per ``by`` (as a rule the genre): number of movies, quartiles and median, from merged sketches."""
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    at = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    return merged.select(
+        *by,
+        F.kll_sketch_get_n_double("sketch").alias("movies"),
+        *[F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(name) for name, q in at.items()],
+    )
+
+
+def crew_turnover(crew: DataFrame, movies: DataFrame, job: str = "Director") -> DataFrame:
+    """How much of a director's crew stays from one movie to the next, by release date and movie id.
+
+    ``(director, movie_id, previous, crew, kept, usual)``: the people of the movie, those of them who were
+    in the director's previous movie (both null for the first), and the average share kept over this movie and the two
+    before. Only the director's list of movies is windowed. Crews are compared by joins on person and movie, so
+    neither pairs of people nor a crew as one value is ever made. Movies without a date come first.
+    """
+    people = _credited(crew).groupBy("movie_id", "id").agg(F.max(F.col("job") == job).alias("directs"))
+    sizes = people.groupBy("movie_id").agg(F.count(F.lit(1)).alias("crew"))
+    dates = movies.groupBy("movie_id").agg(F.max("release_date").alias("date"))
+    directed = people.where("directs").select(F.col("id").alias("director"), "movie_id").join(dates, "movie_id", "left")
+    career = Window.partitionBy("director").orderBy("date", "movie_id")
+    steps = directed.withColumn("previous", F.lag("movie_id").over(career))
+    pairs = steps.where("previous IS NOT NULL").select("movie_id", "previous").distinct()
+    there = people.select(F.col("movie_id").alias("previous"), "id")
+    kept = (
+        people.select("movie_id", "id")
+        .join(pairs, "movie_id")
+        .join(there, ["previous", "id"], "left_semi")
+        .groupBy("movie_id", "previous")
+        .agg(F.count(F.lit(1)).alias("kept"))
+    )
+    found = steps.join(sizes, "movie_id").join(kept, ["movie_id", "previous"], "left")
+    found = found.withColumn("kept", F.when(F.col("previous").isNotNull(), F.coalesce("kept", F.lit(0))))
+    share = F.col("kept") / F.col("crew")
+    return found.select(
+        "director", "movie_id", "previous", "crew", "kept",
+        F.round(F.avg(share).over(career.rowsBetween(-2, Window.currentRow)), 4).alias("usual"),
+    )
+
+
 def crew_loyalty(crew: DataFrame, job: str = "Director") -> DataFrame:
     """Does a director always work with the same crew? One row per director, by person id.
 

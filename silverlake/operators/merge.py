@@ -60,6 +60,7 @@ def upsert(
     order_by: Sequence[str] = (),
     source_unique: bool = False,
     target_unique: bool = False,
+    keys_complete: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it, with the columns of ``target``.
 
@@ -73,7 +74,8 @@ def upsert(
     after ``dedupe_latest``) leaves out the aggregate by key, and ``target_unique`` (a table
     loaded with ``latest``) rules out hot keys, so one full outer join does it, with a shuffle of
     each side. Otherwise target rows are updated in a left join, whose large partitions Spark may
-    split, and new rows are found against the target's distinct keys.
+    split, and new rows are found against the target's distinct keys. ``keys_complete`` (no source key is null)
+    leaves out the source's second reading for such rows.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {on_duplicate!r}")
@@ -85,7 +87,8 @@ def upsert(
     incoming = _as_latest(keyed, keys) if source_unique else _latest_by_key(keyed, keys, order_by)
     one_per_key = source_unique or on_duplicate == "latest"
     old = target.where(keys_present(keys))
-    unmatched = [side.where(keys_missing(keys)).select(*columns) for side in (target, source)]
+    keyless = [target] if keys_complete else [target, source]
+    unmatched = [side.where(keys_missing(keys)).select(*columns) for side in keyless]
 
     if one_per_key and target_unique:
         merged = _take_new(old.join(incoming, keys, "full_outer"), keys, columns)

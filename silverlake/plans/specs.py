@@ -30,6 +30,10 @@ class TableSpec:
     ``columns`` are ``(silver name, bronze name, type)``. A *flat* table has only those. A
     *nested* table also has ``list_column``, a JSON-text list in bronze, whose ``element``
     fields (DDL) follow ``columns``; ``sentinel`` is ``(key field, value for null)``.
+
+    Stored rows are partitioned by the first key: whole numbers by ranges of ``part_width``, other
+    keys by hash into ``part_hashes``. Choose them so that a partition has some hundred megabytes, and
+    keep them for the life of the table.
     """
 
     name: str
@@ -39,6 +43,8 @@ class TableSpec:
     list_column: str | None = None
     element: str = ""
     sentinel: tuple[str, str | int] | None = None
+    part_width: int = 100_000
+    part_hashes: int = 16
 
     def __post_init__(self) -> None:
         names = self.schema.fieldNames()
@@ -48,6 +54,10 @@ class TableSpec:
             raise ValueError(f"{self.name}: keys {missing} are not columns")
         if not self.keys:
             raise ValueError(f"{self.name}: at least one key is needed")
+        if self.part_width < 1 or self.part_hashes < 1:
+            raise ValueError(f"{self.name}: part_width and part_hashes must be positive")
+        if "silver_part" in [n.lower() for n in names]:
+            raise ValueError(f"{self.name}: the column name 'silver_part' is taken by the partitions")
         if self.sentinel:
             field, value = self.sentinel
             if field not in names:

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import quote
 
+import pandas as pd
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyarrow.fs import FileSystem, LocalFileSystem
+from pyarrow.parquet import read_schema
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
 OBJECT_KEY = "object_key"
@@ -89,14 +96,18 @@ def scan_day(
     return read_objects(spark, root, day_objects(spark, root, prefix, day, pattern))
 
 
-def read_objects(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame:
+def read_objects(
+    spark: SparkSession, root: str, paths: Sequence[str], arrived: str | None = None
+) -> DataFrame:
+    """All rows of these objects, plus ``object_key`` and, if named, the time of arrival."""
     if not paths:
-        return spark.createDataFrame([], f"{OBJECT_KEY} string")
+        return spark.createDataFrame([], f"{OBJECT_KEY} string" + (f", {arrived} timestamp" if arrived else ""))
     groups = _by_schema(spark, paths)
     kinds = defaultdict(set)
     for schema, _ in groups:
         for field in schema:
             kinds[field.name].add(field.dataType.simpleString())
+    when = [F.col("_metadata.file_modification_time").alias(arrived)] if arrived else []
     parts = []
     for schema, files in groups:
         rows = spark.read.schema(schema).parquet(*files)
@@ -104,21 +115,69 @@ def read_objects(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFr
             F.col(f"`{f.name}`").cast("string").alias(f.name) if len(kinds[f.name]) > 1 else F.col(f"`{f.name}`")
             for f in schema
         ]
-        parts.append(rows.select(*columns, object_key(F.col("_metadata.file_path"), root).alias(OBJECT_KEY)))
+        parts.append(rows.select(*columns, *when, object_key(F.col("_metadata.file_path"), root).alias(OBJECT_KEY)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def object_schemas(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame:
+    """``(object_key, column, type)``: a row for every file and column, in the file's own types.
+
+    A file whose footer the tasks cannot read (a store or a type that Arrow does not know) has one row of nulls.
+    """
+    footers = _footers(spark, paths)
+    key = object_key(F.col("path"), root, encoded=False).alias(OBJECT_KEY)
+    fields = F.from_json("schema", "struct<fields:array<struct<name:string,type:string>>>")["fields"]
+    return footers.select(key, F.inline_outer(fields)).select(
+        OBJECT_KEY, F.col("name").alias("column"), "type"
+    )
+
+
+def _footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(path, schema)``: each file's Spark schema as JSON, read from its footer in a task."""
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    tasks = min(len(paths), spark.sparkContext.defaultParallelism * 4)
+    return listed.repartition(max(tasks, 1)).mapInPandas(_read_footers, "path string, schema string")
+
+
+def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        with ThreadPoolExecutor(8) as pool:
+            yield batch.assign(schema=list(pool.map(_footer, batch["path"])))
+
+
+def _footer(path: str) -> str | None:
+    """None for a store or a type that Arrow does not know, or a file that it cannot read."""
+    try:
+        if path.startswith("file:"):
+            files, name = LocalFileSystem(), re.sub(SCHEME, "", path)
+        else:
+            files, name = FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", quote(path, safe=":/")))
+        schema = read_schema(name, filesystem=files)
+        written = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+        found = StructType.fromJson(json.loads(written)) if written else from_arrow_schema(schema)
+    except (pa.ArrowException, OSError, PySparkException, ValueError):
+        return None
+    return _nullable(found).json()
+
+
+def _nullable(schema: StructType) -> StructType:
+    """Spark reads every column of a file as nullable, so that does not tell schemas apart."""
+    text = re.sub(r'"(nullable|containsNull|valueContainsNull)":\s*false', r'"\1":true', schema.json())
+    return StructType.fromJson(json.loads(text))
+
+
 def _by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
-    """Files of equal schema. An object that is a folder was written at once, so one footer tells."""
-    folders = defaultdict(list)
-    for path in paths:
-        parent = path.rpartition("/")[0]
-        folders[parent if parent.endswith(".parquet") else path].append(path)
+    """Files of equal schema, by the footer of each; what tasks cannot read Spark's own reader looks at."""
+    found: dict[str, tuple[StructType, list[str]]] = {}
+    unknown = []
+    for path, schema in sorted(tuple(r) for r in _footers(spark, paths).collect()):
+        if schema is None:
+            unknown.append(path)
+        else:
+            found.setdefault(schema, (StructType.fromJson(json.loads(schema)), []))[1].append(path)
     with ThreadPoolExecutor(16) as pool:
-        schemas = pool.map(lambda files: spark.read.parquet(files[0]).schema, folders.values())
-        found: dict[str, tuple[StructType, list[str]]] = {}
-        for schema, files in zip(schemas, folders.values(), strict=True):
-            found.setdefault(schema.json(), (schema, []))[1].extend(files)
+        for path, schema in zip(unknown, pool.map(lambda p: spark.read.parquet(p).schema, unknown), strict=True):
+            found.setdefault(schema.json(), (schema, []))[1].append(path)
     return list(found.values())
 
 

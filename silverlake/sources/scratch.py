@@ -33,3 +33,9 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
     path = scratch_path(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system; a read of what is not there would be a failed query."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)

@@ -1,72 +1,60 @@
-"""Silver tables as plain Parquet: a load rewrites the files that hold its keys and adds new ones.
-
-    <root>/<table>/data/load=<label>/*.parquet   rows written by one load, clustered by key
-    <root>/<table>/commits/version=<v>/*.parquet   the files that make up the table
-
-Files that are being read are never replaced, and a load that dies half-way leaves the table as
-it was. A table takes one writer at a time: the commit of a second one finds its version taken.
-Where the cluster has a table format with its own MERGE, ``silverlake.sources.catalog`` hands
-the work to it instead.
+"""Silver tables as plain Parquet, partitioned by ranges of the merge key.
+
+    <root>/<table>/silver_part=n<width>-<i>/*.parquet     whole-number keys from i * width on
+    <root>/<table>/silver_part=h<hashes>-<i>/*.parquet    other keys, by hash
+    <root>/<table>/silver_part=null-<load>/*.parquet      rows of one load with a null key, which match nothing
+
+The partition of a row follows from its first key and the table's spec alone, so nothing else is kept
+about a table. A merge reads the partitions that its source falls into, by dynamic partition pruning, and
+replaces these by dynamic partition overwrite; the others are not touched. A load goes to a staging folder
+below the table first, and its partitions are moved into place at the end. A job that fails before
+that leaves the table as it was; one that dies while moving leaves some partitions old and some new, and the
+partition then being moved may be found in the staging folder only. The same load run again puts
+all of them right, as a merge applied twice changes nothing.
+
+A table takes one writer at a time, and a reader should not run while partitions are moved. Where the
+cluster has a table format with its own MERGE, ``silverlake.sources.catalog`` hands the work to it instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from silverlake.operators.merge import ON_DUPLICATE, dedupe_latest, upsert
+from silverlake.operators.merge import ON_DUPLICATE, dedupe_latest, keys_missing, upsert
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec
-from silverlake.sources.scratch import staged
-
-COMMIT_SCHEMA = "file string, keys_unique boolean, writers map<string,bigint>"
-# Rows in a file: a thousandth of the load, within these bounds.
-FEWEST_ROWS, MOST_ROWS = 100_000, 2_000_000
-
-
-@dataclass(frozen=True)
-class TableState:
-    """The newest commit of a table. ``writers`` has the last batch of each stream."""
-
-    version: int
-    keys_unique: bool
-    files: list[str]
-    writers: dict[str, int] = field(default_factory=dict)
-
-
-def table_state(spark: SparkSession, root: str, table: str) -> TableState | None:
-    """The newest commit, or None if the table was never loaded."""
-    path = f"{root}/{table}/commits"
-    try:
-        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    number = F.regexp_extract("path", r"/version=(\d+)/", 1).cast("long")
-    version = listing.select("path").agg(F.max(number)).first()[0]
-    if version is None:
-        return None
-    # A row for each file of the table.
-    rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/version={version}").collect()
-    files = [r["file"] for r in rows if r["file"] is not None]
-    return TableState(version, rows[0]["keys_unique"], files, rows[0]["writers"] or {})
+from silverlake.sources.scratch import path_exists, staged
+
+PART = "silver_part"
+# Greater than every partition of rows with keys, and not greater than those of rows without.
+KEYLESS = "null-"
+
+
+def part_of(spec: TableSpec, load: str) -> Column:
+    """The partition of a row; ``load`` names the partition of the rows whose key is null."""
+    first = F.col(spec.keys[0]).cast("string")
+    number = F.floor(first.try_cast("bigint") / F.lit(spec.part_width)).cast("string")
+    by_hash = F.pmod(F.xxhash64(first), F.lit(spec.part_hashes)).cast("string")
+    return (
+        F.when(keys_missing(spec.keys), F.lit(KEYLESS + load))
+        .when(number.isNotNull(), F.concat(F.lit(f"n{spec.part_width}-"), number))
+        .otherwise(F.concat(F.lit(f"h{spec.part_hashes}-"), by_hash))
+        .alias(PART)
+    )
 
 
 def table_exists(spark: SparkSession, root: str, table: str) -> bool:
-    return table_state(spark, root, table) is not None
+    return path_exists(spark, f"{root}/{table}")
 
 
 def read_silver(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """The table's current rows."""
-    state = table_state(spark, root, spec.name)
-    if state is None:
+    if not table_exists(spark, root, spec.name):
         raise ValueError(f"silver table {spec.name!r} does not exist under {root}")
-    return _read_files(spark, root, spec, state.files)
+    return _parts(spark, root, spec).drop(PART)
 
 
 def register_views(
@@ -89,87 +77,58 @@ def upsert_table(
     on_duplicate: str = "latest",
     order_by: Sequence[str] = (),
     keys_complete: bool = False,
-    txn: tuple[str, int] | None = None,
+    load: str | None = None,
 ) -> int:
     """Merge ``source`` into the table, or create it; returns the number of rows written.
 
     ``order_by`` may name source columns beyond the table's: they rank duplicates and are not
-    stored. ``keys_complete`` says that no source key is null. ``txn`` is ``(writer, number)``: a
-    number that this writer has already committed is skipped, so a repeated micro-batch does nothing.
+    stored. ``keys_complete`` says that no source key is null. A load that is repeated under the same
+    name ``load`` replaces its rows without a key; without a name they are added.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {on_duplicate!r}")
-    spark = source.sparkSession
-    state = table_state(spark, root, spec.name)
-    writers = dict(state.writers) if state else {}
-    if txn and writers.get(txn[0], -1) >= txn[1]:
-        return 0
-    writers |= dict([txn] if txn else [])
-    unique = on_duplicate == "latest"
+    spark, unique = source.sparkSession, on_duplicate == "latest"
     if unique:
         source = dedupe_latest(source, spec.keys, order_by, keys_complete)
-    source = staged(source.select(*spec.schema.fieldNames()), f"{spec.name}-source")
-    rows = source.count()
-    if state is None:
-        files, written = _write_load(source, root, spec, rows)
-        _commit(spark, root, spec.name, TableState(0, unique, files, writers))
-        return written
-    if not rows:
-        return 0
-    touched = _touched(spark, root, spec, state, source)
-    target = _read_files(spark, root, spec, touched)
+    source = source.select(*spec.schema.fieldNames(), part_of(spec, load or uuid4().hex))
+    if not table_exists(spark, root, spec.name):
+        return _replace(source, root, spec)
+    parts = _parts(spark, root, spec)
+    _check_layout(parts, spec)
+    # Read twice: for the partitions that it touches, and for the merge.
+    source = staged(source, f"{spec.name}-source")
+    touched = source.where(F.col(PART) < KEYLESS).select(PART).distinct()
+    # One short text for each partition of the table that is touched, as many as it has at most.
+    target = parts.join(F.broadcast(touched), PART, "left_semi")
     merged = upsert(
         target,
         source,
-        spec.keys,
+        [PART, *spec.keys],
         on_duplicate=on_duplicate,
         source_unique=unique,
-        target_unique=state.keys_unique,
+        # A full join also updates every copy where an earlier load kept several rows of one key.
+        target_unique=unique,
+        keys_complete=keys_complete,
     )
-    added, written = _write_load(merged, root, spec, rows + target.count())
-    files = sorted(set(state.files) - set(touched)) + added
-    _commit(spark, root, spec.name, TableState(state.version + 1, state.keys_unique and unique, files, writers))
-    return written
+    return _replace(merged, root, spec)
 
 
-def _touched(spark: SparkSession, root: str, spec: TableSpec, state: TableState, source: DataFrame) -> list[str]:
-    """The files that hold a key of the source; only key columns are read.
+def _parts(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    return spark.read.schema(spec.schema.add(PART, "string")).parquet(f"{root}/{spec.name}")
 
-    The range of the source's first key goes to the scan, which skips files and row groups by
-    their statistics, as files are clustered by key.
-    """
-    first = spec.keys[0]
-    low, high = source.agg(F.min(first), F.max(first)).first()
-    if low is None or not state.files:
-        return []
-    name = F.substring_index(F.url_decode(F.col("_metadata.file_path")), f"/{spec.name}/data/", -1)
-    keys = _read_files(spark, root, spec, state.files).select(*spec.keys, name.alias("file"))
-    near = keys.where(F.col(first).between(low, high))
-    found = near.join(source.select(*spec.keys), list(spec.keys), "left_semi")
-    return [r["file"] for r in found.select("file").distinct().collect()]
-
-
-def _read_files(spark: SparkSession, root: str, spec: TableSpec, files: Sequence[str]) -> DataFrame:
-    if not files:
-        return spark.createDataFrame([], spec.schema)
-    return spark.read.schema(spec.schema).parquet(*[f"{root}/{spec.name}/data/{f}" for f in files])
-
-
-def _write_load(rows: DataFrame, root: str, spec: TableSpec, count: int) -> tuple[list[str], int]:
-    """Rows as new files, each a range of keys; the files' names and the number of rows."""
-    spark, label = rows.sparkSession, f"load={uuid4().hex}"
-    path = f"{root}/{spec.name}/data/{label}"
-    per_file = min(MOST_ROWS, max(FEWEST_ROWS, count // 1000))
-    clustered = rows.repartitionByRange(-(-max(count, 1) // per_file), *spec.keys)
-    clustered.sortWithinPartitions(*spec.keys).write.option("maxRecordsPerFile", 2 * per_file).parquet(path)
-    listing = spark.read.format("binaryFile").load(path).select("path").collect()
-    files = sorted(f"{label}/{r['path'].rpartition('/')[2]}" for r in listing)
-    return files, spark.read.schema(spec.schema).parquet(path).count()
-
-
-def _commit(spark: SparkSession, root: str, table: str, state: TableState) -> None:
-    rows = [(file, state.keys_unique, state.writers) for file in state.files or [None]]
-    # One task writes one file, so a commit is visible as a whole or not at all.
-    spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.parquet(
-        f"{root}/{table}/commits/version={state.version}"
-    )
+
+def _check_layout(parts: DataFrame, spec: TableSpec) -> None:
+    """A key must be looked for where earlier loads put it; files are opened only if there is another layout."""
+    ours = [F.col(PART).startswith(p) for p in (f"n{spec.part_width}-", f"h{spec.part_hashes}-", KEYLESS)]
+    if other := parts.where(~(ours[0] | ours[1] | ours[2])).select(PART).first():
+        raise ValueError(f"table {spec.name!r} was loaded with another part_width or part_hashes, see {other[0]!r}")
+
+
+def _replace(rows: DataFrame, root: str, spec: TableSpec) -> int:
+    """Write the rows' partitions anew, each row once; returns the number of rows."""
+    written = Observation()
+    # Rows are dealt out by partition; a partition of many rows is split over several tasks and files.
+    dealt = rows.hint("rebalance", PART).observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(PART).parquet(f"{root}/{spec.name}")
+    return written.get["rows"]

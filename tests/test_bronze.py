@@ -1,3 +1,10 @@
+import json
+import os
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from conftest import rows
 from movie_data import AVATAR, movie, movies
 from pyspark.sql import functions as F
@@ -7,7 +14,10 @@ from silverlake.sources.bronze import (
     NOT_ENOUGH,
     UNREACHABLE,
     check_day,
+    day_objects,
     inventory,
+    object_schemas,
+    read_objects,
     readiness,
     scan_day,
 )
@@ -80,3 +90,55 @@ def test_pattern_narrows_the_listing(spark, root):
     assert inventory(spark, root, ["movies", "credits"], "*20221105*").count() == 1
     assert scan_day(spark, root, "movies", 20221105, "*20221105*").count() == 1
     assert scan_day(spark, root, "movies", 20221106, "*20221106*").isEmpty()
+
+
+def test_a_folder_whose_files_differ(spark, root):
+    """Written by two versions: a column more, and another type. Every file is read with its own columns."""
+    folder = f"{root}/movies/movies_part_20221104-120000.parquet"
+    spark.range(3).selectExpr("id", "'a' title").coalesce(1).write.parquet(folder)
+    spark.range(3, 5).selectExpr("id", "'b' title", "1.5D score").coalesce(1).write.mode("append").parquet(folder)
+    spark.range(5, 6).selectExpr("CAST(id AS STRING) id", "'c' title").coalesce(1).write.mode("append").parquet(folder)
+    found = scan_day(spark, root, "movies", 20221104)
+    assert rows(found.select("id", "title", "score")) == sorted(
+        [("0", "a", None), ("1", "a", None), ("2", "a", None), ("3", "b", 1.5), ("4", "b", 1.5), ("5", "c", None)], key=str
+    )
+
+
+def test_schemas_of_objects(spark, root):
+    df = spark.range(2).selectExpr("id", "named_struct('a', 1) deep", "array('x') list", "DATE '2020-01-01' day", "1.5BD money")
+    df.coalesce(1).write.parquet(f"{root}/movies/with space+%.parquet")
+    paths = [r["path"] for r in inventory(spark, root, ["movies"]).collect()]
+    found = object_schemas(spark, root, paths).collect()
+    assert {r.object_key.split("/")[1] for r in found} == {"with space+%.parquet"}
+    types = {r.column: r.type for r in found}
+    assert types["id"] == "long" and types["day"] == "date" and types["money"] == "decimal(2,1)"
+    assert json.loads(types["deep"])["type"] == "struct" and json.loads(types["list"])["type"] == "array"
+
+
+def test_files_of_other_writers(spark, root):
+    """No Spark schema in the footer, and a type that Arrow gives and Spark's footer reading does not know."""
+    os.makedirs(f"{root}/movies")
+    pq.write_table(pa.table({"id": pa.array([1, 2], pa.int32()), "t": pa.array(["a", "b"])}), f"{root}/movies/x_20221104.parquet")
+    pq.write_table(pa.table({"id": pa.array([3], pa.int32()), "u": pa.array([7], pa.uint8())}), f"{root}/movies/y_20221104.parquet")
+    found = scan_day(spark, root, "movies", 20221104)
+    assert rows(found.select("id", "t", "u")) == [(1, "a", None), (2, "b", None), (3, None, 7)]
+
+
+def test_a_broken_object_is_told_by_name(spark, root):
+    os.makedirs(f"{root}/movies")
+    Path(f"{root}/movies/x_20221104.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="x_20221104"):
+        scan_day(spark, root, "movies", 20221104).collect()
+
+
+def test_all_footers_are_read_by_one_job(spark, root):
+    for i in range(30):
+        spark.range(i, i + 1).coalesce(1).write.parquet(f"{root}/movies/movies_part_20221104-{i:06}.parquet")
+    paths = day_objects(spark, root, "movies", 20221104)
+    tracker, group = spark.sparkContext.statusTracker(), "footers"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        assert read_objects(spark, root, paths).schema["id"].dataType.simpleString() == "bigint"
+        assert len(tracker.getJobIdsForGroup(group)) <= 2  # AQE gives its shuffle a job of its own
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -1,15 +1,18 @@
 import json
 import os
+import shutil
 
 import pytest
 from conftest import rows
 from movie_data import AVATAR, AVATAR_CREDITS, credits, movie, movies
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from silverlake.plans.daily import PROBLEM, SUCCEEDED, read_log, run_day, run_status, run_summary
+from silverlake.plans.daily import PROBLEM, SUCCEEDED, read_log, retry_failed, run_day, run_status, run_summary
 from silverlake.plans.specs import MOVIE_TABLES, find
 from silverlake.sources.silver import read_silver
-from silverlake.streaming.ingest import ingest_available
+from silverlake.streaming import ingest
+from silverlake.streaming.ingest import ingest_available, read_progress, read_stream_log
 
 
 def land(df, root, prefix, stamp):
@@ -87,6 +90,32 @@ def test_lost_values_are_logged(spark, root):
     assert log.first().objects == 1
 
 
+def test_lost_lists_are_logged(spark, root):
+    lists = ['[{"id":1,"name":"a"}]', "[{", "7", '[{"id":"x","name":"b"}]']
+    frame = spark.createDataFrame(list(enumerate(lists)), "id int, genres string")
+    land(frame, root, "movies", "20221104-120000")
+    log = run(spark, root, 20221104, tables={"genres": find("genres")}).first()
+    assert log.lost == {"unreadable": 1, "not_a_list": 1, "bad_elements": 1} and log.lost_values == 3
+    assert (log.rows_in, log.rows_written) == (4, 4)
+
+
+def test_failed_tables_of_a_run_are_retried(spark, root):
+    """Only they are loaded again, under the same run, until none has failed."""
+    land(movies(spark, AVATAR).drop("keywords"), root, "movies", "20221104-120000")
+    land(credits(spark, AVATAR_CREDITS), root, "credits", "20221104-120000")
+    run_id = run(spark, root, 20221104).first().run_id
+    retry = lambda: retry_failed(spark, f"{root}/bronze", f"{root}/silver", run_id)
+    assert [(r.table, r.status, r.attempt) for r in retry().collect()] == [("keywords", "transform_failed", 2)]
+    shutil.rmtree(f"{root}/bronze/movies/movies_part_20221104-120000.parquet")
+    land(movies(spark, AVATAR), root, "movies", "20221104-120000")
+    assert [(r.table, r.status, r.attempt) for r in retry().collect()] == [("keywords", "written", 3)]
+    log = read_log(spark, f"{root}/silver")
+    assert log.count() == 10 and run_status(log) == SUCCEEDED
+    assert retry().isEmpty() and read_log(spark, f"{root}/silver").count() == 10
+    with pytest.raises(ValueError, match="no run"):
+        retry_failed(spark, f"{root}/bronze", f"{root}/silver", "another")
+
+
 def test_a_prefix_that_cannot_be_read_does_not_stop_the_others(spark, root):
     land(movies(spark, AVATAR), root, "movies", "20221104-120000")
     spark.createDataFrame([("no parquet",)], "t string").write.text(f"{root}/bronze/credits/credits_part_20221104.parquet")
@@ -163,6 +192,80 @@ def test_stream_equals_batch_and_reads_nothing_twice(spark, root):
     assert table(spark, root, "genres").where("movie_id = '3'").count() == 1
 
 
+def test_objects_of_two_schemas_in_a_stream(spark, root):
+    """One id is a number, the other a text, and one object has a column that the other lacks."""
+    only = {"movies": find("movies")}
+    land(movies(spark, movie(1, "a", tagline="x")), root, "movies", "20221104-120000")
+    land(movies(spark, movie(2, "b")).withColumn("id", F.col("id").cast("string")).drop("tagline"), root, "movies", "20221104-130000")
+    for per_batch in (None, 1):
+        silver = f"{root}/silver-{per_batch}"
+        files = {"tables": only, "files_per_batch": per_batch}
+        if per_batch:  # alone in its batch, an object must have every column
+            with pytest.raises(StreamingQueryException, match="tagline"):
+                ingest_available(spark, f"{root}/bronze", silver, "movies", f"{root}/check-{per_batch}", **files)
+            continue
+        ingest_available(spark, f"{root}/bronze", silver, "movies", f"{root}/check-{per_batch}", **files)
+        run(spark, root, 20221104, tables=only)
+        assert rows(read_silver(spark, silver, find("movies"))) == rows(table(spark, root, "movies"))
+
+
+def test_an_object_delivered_again_is_left_out(spark, root):
+    only = {"movies": find("movies")}
+    folder = f"{root}/bronze/movies"
+
+    def arrive(stamp, copy_of=None, **changes):
+        path = f"{folder}/movies_part_{stamp}.parquet"
+        if copy_of:
+            shutil.copytree(f"{folder}/movies_part_{copy_of}.parquet", path)
+        else:
+            land(movies(spark, movie(1, **changes)), root, "movies", stamp)
+        ingest_available(
+            spark, f"{root}/bronze", f"{root}/silver", "movies", f"{root}/check", tables=only, redelivered_within="1 day"
+        )
+        return table(spark, root, "movies").first().title
+
+    assert arrive("20221104-120000", title="old") == "old"
+    assert arrive("20221104-130000", title="new") == "new"
+    assert arrive("20221104-140000", copy_of="20221104-120000") == "new"
+    progress = read_progress(spark, f"{root}/silver")
+    assert progress.agg(F.sum("objects"), F.sum("dropped")).first() == (3, 1)
+
+
+def test_progress_and_merges_of_a_stream_are_logged(spark, root):
+    tables = {n: find(n) for n in ("movies", "genres")}
+    land(movies(spark, AVATAR), root, "movies", "20221104-120000")
+    land(movies(spark, movie(2, "b"), movie(3, "c")), root, "movies", "20221104-130000")
+    query = ingest_available(
+        spark, f"{root}/bronze", f"{root}/silver", "movies", f"{root}/check", tables=tables, files_per_batch=1
+    )
+    log = read_stream_log(spark, f"{root}/silver")
+    assert {r.query_id for r in log.collect()} == {str(query.id)}
+    assert rows(log.groupBy("table").agg(F.sum("rows_in"), F.count("batch"))) == [("genres", 3, 2), ("movies", 3, 2)]
+    progress = read_progress(spark, f"{root}/silver")
+    assert rows(progress.select("prefix", "batch", "objects", "dropped")) == [("movies", 0, 1, 0), ("movies", 1, 1, 0)]
+
+
+def test_a_batch_that_is_repeated_merges_what_is_left(spark, root, monkeypatch):
+    """The second table fails; the batch comes again, and the first table, which is logged, is left alone."""
+    tables = {n: find(n) for n in ("movies", "genres")}
+    land(movies(spark, AVATAR, movie(None, "no id")), root, "movies", "20221104-120000")
+    args = (spark, f"{root}/bronze", f"{root}/silver", "movies", f"{root}/check")
+    whole = ingest.upsert_table
+
+    def failing(source, silver, spec, **how):
+        if spec.name == "genres":
+            raise RuntimeError("no space")
+        return whole(source, silver, spec, **how)
+
+    monkeypatch.setattr(ingest, "upsert_table", failing)
+    with pytest.raises(StreamingQueryException, match="no space"):
+        ingest_available(*args, tables=tables)
+    monkeypatch.setattr(ingest, "upsert_table", whole)
+    ingest_available(*args, tables=tables)
+    assert table(spark, root, "movies").count() == 2 and table(spark, root, "genres").count() == 3
+    assert rows(read_stream_log(spark, f"{root}/silver").select("batch", "table")) == [(0, "genres"), (0, "movies")]
+
+
 def test_specs_of_other_shapes_work(spark, root):
     from silverlake.plans.specs import TableSpec
 

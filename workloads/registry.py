@@ -4,32 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlake.functions import parse_list
+from silverlake.functions import open_elements, parse_list
 from silverlake.operators import analyst
 from silverlake.operators.merge import ambiguous_keys, dedupe_latest, upsert
+from silverlake.operators.transform import list_losses as count_list_losses
 from silverlake.operators.transform import lost_values, transform
-from silverlake.plans.daily import read_log, run_day, run_summary
+from silverlake.plans.daily import read_log, retry_failed, run_day, run_summary
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec, find
+from silverlake.sources.bronze import check_day, day_objects, inventory, scan_day
+from silverlake.sources.bronze import object_schemas as read_schemas
 from silverlake.sources.bronze import readiness as check_readiness
-from silverlake.sources.bronze import check_day, inventory, scan_day
-from silverlake.sources.scratch import scratch_path
+from silverlake.sources.bucketed import merge_into_bucketed
+from silverlake.sources.scratch import scratch_path, staged
 from silverlake.sources.silver import (
     read_silver,
     register_views,
     table_exists,
     upsert_table,
 )
+from silverlake.sources.sql_functions import register_functions
 from silverlake.streaming.ingest import ingest_available
 from workloads.standins import (
     DAY,
     OBJECT,
     SILVER_SQL,
     bronze_root,
+    copy_objects,
+    credits_bronze,
     element,
     json_list,
     land,
@@ -287,6 +295,70 @@ def explode_via_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TAGS = TableSpec(
+    name="tags",
+    prefix="orders",
+    keys=("order_id", "id"),
+    columns=(("order_id", "o_orderkey", "string"),),
+    list_column="tags",
+    element="id int, name string",
+    sentinel=("id", -9999),
+)
+
+
+def tagged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of every kind, by the customer: cut off, JSON null, a single record, fractions, a number, none, good."""
+    kind, status = F.col("o_custkey") % 7, F.col("o_orderstatus")
+    good = json_list(element(id=F.col("o_custkey"), name=status), element(id=F.lit(None).cast("int"), name=status))
+    fraction = F.concat(F.lit('[{"id":1.5,"name":"'), status, F.lit('"},{"id":2,"name":3},{"name":"x"}]'))
+    tags = (
+        F.when(kind == 0, F.lit('[{"id": 1'))
+        .when(kind == 1, F.lit("null"))
+        .when(kind == 2, F.lit('{"id":"x","name":"a"}'))
+        .when(kind == 3, fraction)
+        .when(kind == 4, F.col("o_orderkey").cast("string"))
+        .when(kind == 5, F.lit(None))
+        .otherwise(good)
+    )
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", tags.alias("tags"))
+
+
+@query(
+    """SELECT 'tags' AS "column", count(*) FILTER (o_custkey % 7 <> 5) AS present,
+              count(*) FILTER (o_custkey % 7 = 0) AS unreadable,
+              count(*) FILTER (o_custkey % 7 IN (2, 4)) AS not_a_list,
+              count(*) FILTER (o_custkey % 7 IN (2, 3)) AS bad_elements
+       FROM orders"""
+)
+def list_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lists lose. A number as a name is read as text, so only the fraction is a bad value."""
+    return count_list_losses(tagged_orders(spark, sf_dir), TAGS)
+
+
+@query(
+    """SELECT CAST(l_orderkey AS VARCHAR) AS movie_id, CAST(l_linenumber AS INTEGER) AS "order",
+              CAST(l_partkey AS BIGINT) AS id, 'Part ' || l_partkey AS name, 'character,credit_id' AS texts
+       FROM lineitem WHERE l_quantity <= 45 AND l_returnflag <> 'R'
+       UNION ALL
+       SELECT CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS INTEGER), CAST(l_partkey AS BIGINT),
+              'Part ' || l_partkey, 'character'
+       FROM lineitem WHERE l_quantity <= 45 AND l_returnflag = 'R'
+       UNION ALL
+       SELECT CAST(l_orderkey AS VARCHAR), CAST(l_linenumber + 1 AS INTEGER), CAST(l_suppkey AS BIGINT),
+              'Supplier ' || l_suppkey, 'character,credit_id'
+       FROM lineitem WHERE l_quantity <= 45
+       UNION ALL
+       SELECT CAST(l_orderkey AS VARCHAR), NULL, NULL, NULL, '' FROM lineitem WHERE l_quantity > 45"""
+)
+def explode_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements with fields that no spec declares: the place in the billing, and which texts an element has."""
+    credits = bronze(spark, sf_dir, "credits").select(F.col("movie_id").cast("string"), "cast")
+    fields = {"order": ("$.order", "int"), "id": ("$.id", "bigint"), "name": ("$.name", "string")}
+    opened = open_elements(credits, "cast", fields, rest="whole")
+    has = [F.when(F.get_json_object("whole", f"$.{c}").isNotNull(), F.lit(c)) for c in ("character", "credit_id")]
+    return opened.select("movie_id", *fields, F.concat_ws(",", *has).alias("texts"))
+
+
 # ---------------------------------------------------------------- bronze objects by day
 
 SCAN_DAY = "20240115"
@@ -359,6 +431,16 @@ TYPED = TableSpec(
 )
 
 
+def two_kinds(orders: DataFrame) -> dict[str, DataFrame]:
+    """Odd orders with a number as id and without notes, even ones with texts and notes."""
+    id_, price = F.col("o_orderkey"), F.col("o_totalprice").alias("price")
+    odd = orders.where(id_ % 2 != 0).select(id_.cast("long").alias("id"), price)
+    even = orders.where(id_ % 2 == 0).select(
+        id_.cast("string").alias("id"), price.cast("string"), F.col("o_orderpriority").alias("note")
+    )
+    return {"a": odd, "b": even}
+
+
 @query(
     """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_totalprice AS DOUBLE) AS price,
               CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS note
@@ -369,12 +451,8 @@ def objects_of_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The first two days have one kind each, the third both, in a folder named as its prefix.
     """
-    orders, root = table(spark, sf_dir, "orders"), scratch_path(spark, "bronze")
-    id_, price = F.col("o_orderkey"), F.col("o_totalprice").alias("price")
-    odd = orders.where(id_ % 2 != 0).select(id_.cast("long").alias("id"), price)
-    even = orders.where(id_ % 2 == 0).select(
-        id_.cast("string").alias("id"), price.cast("string"), F.col("o_orderpriority").alias("note")
-    )
+    root = scratch_path(spark, "bronze")
+    odd, even = two_kinds(table(spark, sf_dir, "orders")).values()
     odd.write.parquet(f"{root}/orders/orders_part_20221104-120000.parquet")
     even.write.parquet(f"{root}/orders/orders_part_20221105-120000.parquet")
     odd.write.parquet(f"{root}/orders/20221106/orders/odd.parquet")
@@ -387,6 +465,37 @@ def objects_of_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prices.join(read_silver(spark, at_once, TYPED).select("order_id", "note"), "order_id")
 
 
+@query(
+    """WITH kinds AS (SELECT o_orderkey % 2 AS odd, count(*) AS n FROM orders GROUP BY 1),
+            columns(odd, "column", type) AS (VALUES (1, 'id', 'long'), (1, 'price', 'double'),
+                (0, 'id', 'string'), (0, 'price', 'string'), (0, 'note', 'string'))
+       SELECT CASE odd WHEN 1 THEN 'a' ELSE 'b' END AS object, "column", type
+       FROM kinds JOIN columns USING (odd) WHERE n > 0"""
+)
+def object_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns and types of one object whose files were written by two versions, read from their footers."""
+    root = scratch_path(spark, "bronze")
+    for name, part in two_kinds(table(spark, sf_dir, "orders")).items():
+        part.write.parquet(f"{root}/orders/orders_part_20221104-120000.parquet/{name}.parquet")
+    found = read_schemas(spark, root, day_objects(spark, root, "orders", "20221104"))
+    name = F.regexp_extract("object_key", r"/([ab])\.parquet/", 1).alias("object")
+    return found.select(name, "column", "type").distinct()
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_totalprice AS DOUBLE) AS price,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS note
+       FROM orders"""
+)
+def folder_of_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An object that is a folder, appended to with a new column and another type."""
+    root, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    for part in two_kinds(table(spark, sf_dir, "orders")).values():
+        part.write.mode("append").parquet(f"{root}/orders/orders_part_20221104-120000.parquet")
+    run_day(spark, root, silver_root, "20221104", tables={"typed": TYPED})
+    return read_silver(spark, silver_root, TYPED)
+
+
 # ---------------------------------------------------------------- merge
 
 
@@ -412,6 +521,35 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(old, new, ["o_orderkey"], target_unique=True)
 
 
+PRICED = TableSpec(
+    name="priced",
+    prefix="orders",
+    keys=("order_id",),
+    columns=(("order_id", "o_orderkey", "string"), ("status", "o_orderstatus", "string"), ("price", "o_totalprice", "double")),
+)
+
+
+@query(
+    """WITH old AS (SELECT * FROM orders WHERE o_orderdate < DATE '1996-01-01'),
+            new AS (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice, 'U' AS o_orderstatus)
+                    FROM orders WHERE o_orderdate >= DATE '1995-01-01')
+       SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderstatus AS status, o_totalprice AS price FROM new
+       UNION ALL
+       SELECT CAST(o_orderkey AS VARCHAR), o_orderstatus, o_totalprice FROM old
+       WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.o_orderkey = old.o_orderkey)"""
+)
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change, into a table that is bucketed by its key and is not shuffled."""
+    orders, root = table(spark, sf_dir, "orders"), scratch_path(spark, "bucketed")
+    name = f"priced_{uuid4().hex}"
+    new = orders.where("o_orderdate >= DATE '1995-01-01'").withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 1, "o_orderstatus": F.lit("U")}
+    )
+    for load in (orders.where("o_orderdate < DATE '1996-01-01'"), new):
+        merge_into_bucketed(transform(load, PRICED), name, PRICED, root, keys_complete=True)
+    return spark.table(name)
+
+
 @query(
     """WITH old AS (SELECT nullif(o_custkey % 7, 0) AS part, o_orderkey AS id, o_totalprice AS price
                     FROM orders WHERE o_orderdate < DATE '1997-01-01'),
@@ -536,19 +674,24 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, keys)
 
 
+# Dates and counts of pending orders do not convert, and their list of companies is cut off.
+LOST_SQL = {
+    "movies": "(SELECT 2 * count(*) FROM orders WHERE o_orderstatus = 'P')",
+    "production_companies": "(SELECT count(*) FROM orders WHERE o_orderstatus = 'P')",
+}
 LOGGED_SQL = {
     spec.name: f"""
         SELECT '{spec.name}' AS "table", 'written' AS status,
                (SELECT count(*) FROM {"lineitem" if spec.prefix == "credits" else "orders"}) AS rows_in,
                (SELECT count(*) FROM (SELECT DISTINCT {", ".join(spec.keys)} FROM ({SILVER_SQL[spec.name]}))) AS rows_written,
-               {"(SELECT 2 * count(*) FROM orders WHERE o_orderstatus = 'P')" if spec.name == "movies" else "CAST(NULL AS BIGINT)"} AS lost_values"""
+               {LOST_SQL.get(spec.name, "0")} AS lost_values"""
     for spec in MOVIE_TABLES.values()
 }
 
 
 @query(" UNION ALL ".join(LOGGED_SQL.values()))
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the log says of each table: rows in, rows written, values lost in casts."""
+    """What the log says of each table: rows in, rows written, values and lists lost."""
     log = read_log(spark, load_all(spark, sf_dir))
     return log.select("table", "status", "rows_in", "rows_written", "lost_values")
 
@@ -610,6 +753,27 @@ def two_day_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, silver_root, find("movies")).select("movie_id", "revenue", "status")
 
 
+@query(
+    """SELECT 3 AS expected, 3 AS transformed, count(DISTINCT k) AS written,
+              CASE WHEN count(DISTINCT k) = 3 THEN 'transformation_and_save_succeeded' ELSE 'some_problem_occurred' END AS status,
+              count(DISTINCT k) + (SELECT count(DISTINCT k) FROM (SELECT 1 AS k FROM lineitem UNION SELECT 2 FROM lineitem)) AS entries
+       FROM (SELECT 0 AS k FROM orders UNION SELECT 1 FROM lineitem UNION SELECT 2 FROM lineitem)"""
+)
+def retry_of_a_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The credits cannot be read at first; once they are there, only their two tables are loaded again."""
+    root, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    land(movies_bronze(orders), root, "movies")
+    broken = f"{root}/{OBJECT.format(prefix='credits', day=DAY)}"
+    lines.limit(1).select("l_returnflag").write.text(broken)
+    tables = {name: find(name) for name in ("movies", "cast", "crew")}
+    run_id = run_day(spark, root, silver_root, DAY, tables=tables).first()["run_id"]
+    credits_bronze(lines).write.mode("overwrite").parquet(broken)
+    retry_failed(spark, root, silver_root, run_id, tables=tables)
+    log = read_log(spark, silver_root)
+    return run_summary(log).drop("run_id", "objects").crossJoin(log.agg(F.count(F.lit(1)).alias("entries")))
+
+
 @query(
     f"""SELECT name, count(*) AS movies, max(revenue) AS top_revenue
         FROM ({SILVER_SQL["genres"]}) g JOIN ({SILVER_SQL["movies"]}) m USING (movie_id)
@@ -679,6 +843,49 @@ def stream_late_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, silver_root, EVENTS)
 
 
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_totalprice AS DOUBLE) AS price,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS note
+       FROM orders"""
+)
+def stream_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of two schemas through the stream, as the daily batch loads them."""
+    bronze_dir, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    for name, part in two_kinds(table(spark, sf_dir, "orders")).items():
+        part.repartition(2).write.parquet(f"{bronze_dir}/orders/{name}.parquet")
+    checkpoint = scratch_path(spark, "checkpoint")
+    ingest_available(spark, bronze_dir, silver_root, "orders", checkpoint, tables={"typed": TYPED}, files_per_batch=3)
+    return read_silver(spark, silver_root, TYPED)
+
+
+@query(
+    f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+               CASE WHEN strftime(ts, '%Y%m%d') <= '{SCAN_DAY}' THEN value + 1 ELSE value END AS value, props
+        FROM events"""
+)
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events land, those of the first days again with other values, and then the first delivery of
+    these days once more, byte by byte under new names: the newer values stay."""
+    bronze_dir, silver_root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    checkpoint = scratch_path(spark, "checkpoint")
+    events = table(spark, sf_dir, "events")
+    early = F.date_format("ts", "yyyyMMdd") <= SCAN_DAY
+
+    def arrive() -> None:
+        ingest_available(
+            spark, bronze_dir, silver_root, "events", checkpoint, tables={"events": EVENTS}, redelivered_within="30 days"
+        )
+
+    events.where(early).write.parquet(f"{bronze_dir}/events/first.parquet")
+    events.where(~early).write.parquet(f"{bronze_dir}/events/rest.parquet")
+    arrive()
+    events.where(early).withColumn("value", F.col("value") + 1).write.parquet(f"{bronze_dir}/events/changed.parquet")
+    arrive()
+    copy_objects(spark, f"{bronze_dir}/events/first.parquet", f"{bronze_dir}/events/again.parquet")
+    arrive()
+    return read_silver(spark, silver_root, EVENTS)
+
+
 @query(
     """SELECT o_orderkey, o_totalprice AS old_price, o_totalprice + o_custkey % 3 AS new_price
        FROM orders WHERE o_custkey % 3 > 0"""
@@ -817,3 +1024,103 @@ def q2_odd_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT movie_id, title, department, job FROM ({SILVER_SQL["crew"]}) WHERE name = '{PERSON}'""")
 def q5_member_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyst.crew_credits(*stored(spark, sf_dir, "crew"), PERSON)
+
+
+# ---------------------------------------------------------------- SQL functions, sketches, rollups, frames
+
+
+@query(
+    f"""SELECT 'top_movie_of' AS question, movie_id, title, revenue AS amount FROM (
+            SELECT movie_id, title, revenue FROM ({SILVER_SQL["movies"]})
+            WHERE movie_id IN (SELECT movie_id FROM ({SILVER_SQL["cast"]}) WHERE name = '{PERSON}')
+            ORDER BY revenue DESC, movie_id LIMIT 1)
+        UNION ALL
+        SELECT 'credits_of', movie_id, title, NULL FROM ({SILVER_SQL["crew"]}) WHERE name = '{PERSON}'
+        UNION ALL
+        SELECT 'released_between', movie_id, title, revenue FROM ({SILVER_SQL["movies"]})
+        WHERE release_date BETWEEN DATE '1995-03-01' AND DATE '1995-03-31'
+        UNION ALL
+        SELECT 'revenue_of_genre', '1-URGENT', CAST(count(*) AS VARCHAR), max(revenue)
+        FROM ({SILVER_SQL["genres"]}) g JOIN ({SILVER_SQL["movies"]}) m USING (movie_id) WHERE name = '1-URGENT'
+        UNION ALL
+        SELECT 'colleagues_of', CAST(id AS VARCHAR), NULL, count(DISTINCT movie_id)
+        FROM ({SILVER_SQL["crew"]}) WHERE id <> 7
+          AND movie_id IN (SELECT movie_id FROM ({SILVER_SQL["crew"]}) WHERE id = 7) GROUP BY id"""
+)
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The questions as table functions of SQL, with their arguments as named parameters."""
+    stored(spark, sf_dir, "cast", "crew", "genres", "movies")
+    register_views(spark, _stored[spark.sparkContext.applicationId, sf_dir])
+    register_functions(spark)
+    return spark.sql(
+        """SELECT 'top_movie_of' AS question, movie_id, title, revenue AS amount FROM top_movie_of(:person)
+           UNION ALL SELECT 'credits_of', movie_id, title, NULL FROM credits_of(:person)
+           UNION ALL SELECT 'released_between', movie_id, title, revenue FROM released_between(:first, :last)
+           UNION ALL SELECT 'revenue_of_genre', :genre, CAST(movies AS STRING), max_revenue FROM revenue_of_genre(:genre)
+           UNION ALL SELECT 'colleagues_of', CAST(id AS STRING), NULL, CAST(shared AS DOUBLE) FROM colleagues_of(:id)""",
+        args={"person": PERSON, "first": date(1995, 3, 1), "last": date(1995, 3, 31), "genre": "1-URGENT", "id": 7},
+    )
+
+
+@query(
+    f"""SELECT name, count(*) AS movies, 3 AS quantiles_in_bounds, true AS merged_as_recomputed
+        FROM ({SILVER_SQL["genres"]}) g JOIN ({SILVER_SQL["movies"]}) m USING (movie_id)
+        WHERE id <> -9999 GROUP BY name"""
+)
+def q2_revenue_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles and median of each genre from sketches that are stored by day, held against the exact ranks."""
+    genres, movies = stored(spark, sf_dir, "genres", "movies")
+    by_day = staged(analyst.revenue_sketches(genres, movies, movies_unique=True), "sketches")
+    at_once = analyst.revenue_quantiles(analyst.revenue_sketches(genres, movies.withColumn("release_date", F.lit(None).cast("date")), True), "name")
+    found = analyst.revenue_quantiles(by_day, "name")
+    revenues = genres.where("id <> -9999").join(movies.select("movie_id", "revenue"), "movie_id")
+    ranks = revenues.join(found, "name").groupBy("name").agg(
+        *[
+            ((F.count_if(F.col("revenue") < F.col(q)) / F.count(F.lit(1)) <= share + analyst.SKETCH_ERROR)
+             & (F.count_if(F.col("revenue") <= F.col(q)) / F.count(F.lit(1)) >= share - analyst.SKETCH_ERROR)).cast("int").alias(q)
+            for q, share in (("q25", 0.25), ("median", 0.5), ("q75", 0.75))
+        ]
+    )
+    both = found.select("name", "movies").join(at_once.select("name", F.col("movies").alias("again")), "name")
+    return both.join(ranks, "name").select(
+        "name",
+        "movies",
+        (F.col("q25") + F.col("median") + F.col("q75")).alias("quantiles_in_bounds"),
+        (F.col("movies") == F.col("again")).alias("merged_as_recomputed"),
+    )
+
+
+@query(
+    f"""WITH m AS (SELECT CAST(year(release_date) AS INTEGER) AS year, CAST(month(release_date) AS INTEGER) AS month,
+                          CAST(isodow(release_date) - 1 AS INTEGER) AS weekday, revenue,
+                          CAST(date_diff('day', DATE '1970-01-01', release_date) AS DOUBLE) AS day
+                   FROM ({SILVER_SQL["movies"]}) WHERE release_date IS NOT NULL)
+        SELECT year, month, weekday,
+               CASE grouping(year, month, weekday) WHEN 7 THEN 'all' WHEN 3 THEN 'year' WHEN 1 THEN 'month' ELSE 'weekday' END AS level,
+               count(*) AS movies, round(CAST(sum(CAST(revenue AS DECIMAL(28, 4))) AS DOUBLE), 2) AS revenue,
+               CASE WHEN min(day) < max(day) THEN round(regr_slope(revenue, day), 3) END AS slope,
+               CASE WHEN min(day) < max(day) THEN round(regr_r2(revenue, day), 6) END AS r2
+        FROM m GROUP BY GROUPING SETS ((), (year), (year, month), (weekday))"""
+)
+def q3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analyst.release_rollup(*stored(spark, sf_dir, "movies"))
+
+
+@query(
+    f"""WITH crew AS (SELECT DISTINCT movie_id, id FROM ({SILVER_SQL["crew"]})),
+             directed AS (SELECT DISTINCT movie_id, id AS director FROM ({SILVER_SQL["crew"]}) WHERE job = 'Director'),
+             steps AS (SELECT director, movie_id, release_date,
+                              lag(movie_id) OVER (PARTITION BY director ORDER BY release_date NULLS FIRST, movie_id) AS previous
+                       FROM directed LEFT JOIN ({SILVER_SQL["movies"]}) USING (movie_id)),
+             sized AS (SELECT *, (SELECT count(*) FROM crew WHERE crew.movie_id = steps.movie_id) AS crew,
+                              CASE WHEN previous IS NOT NULL THEN
+                                (SELECT count(*) FROM crew a JOIN crew b ON a.id = b.id
+                                 WHERE a.movie_id = steps.movie_id AND b.movie_id = steps.previous) END AS kept
+                       FROM steps)
+        SELECT director, movie_id, previous, crew, kept,
+               round(avg(kept / CAST(crew AS DOUBLE)) OVER (PARTITION BY director ORDER BY release_date NULLS FIRST, movie_id
+                     ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS usual
+        FROM sized"""
+)
+def q4_crew_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analyst.crew_turnover(*stored(spark, sf_dir, "crew", "movies"))

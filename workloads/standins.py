@@ -113,6 +113,14 @@ def credits_bronze(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def copy_objects(spark: SparkSession, source: str, target: str) -> None:
+    """The same bytes under another name, in whatever store the scratch folder is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    hadoop.FileUtil.copy(old.getFileSystem(conf), old, new.getFileSystem(conf), new, False, conf)
+
+
 _landed: dict[tuple[str, str], str] = {}
 
 
