@@ -12,7 +12,7 @@ Python is used because merging is a loop whose length depends on the data. Worke
 file (given as a broadcast of its bytes, about 1 MB) and a bounded cache of pieces. Defined results: a
 null text counts as empty, an empty text has no ids and decodes to no bytes; special-token strings are
 ordinary text; null ids decode as none; an empty table gives an empty result; all other columns pass
-through, and an ``ids`` column that is already there is replaced.
+through, and a column that is already there under the name of a result, in any case, is replaced.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from silverlake.llm.pieces import PieceEncoder, slices
 NONE = 1 << 62
 LONG = 64  # bytes of a piece that is merged with others
 MANY = 8192  # pieces merged at once
+TOGETHER = 1 << 20  # ids decoded at once
 
 
 def read_ranks(rank_file: bytes) -> dict[bytes, int]:
@@ -176,9 +177,12 @@ class Codec:
         self.ranks = read_ranks(rank_file)
         self.pairs = Pairs(self.ranks)
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
+        tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            self.tokens[rank] = token
+            tokens[rank] = token
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
         self.encode = PieceEncoder(pattern, self._encode_new).encode
 
     def _encode_new(self, pieces: list[str]) -> list[bytes]:
@@ -196,8 +200,22 @@ class Codec:
                 out.update(zip(part, merge_many(part, self.single, self.pairs), strict=True))
         return [out[piece] for piece in data]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+        """The bytes of lists of ids, given one after the other with the place where each ends.
+
+        All bytes of ``TOGETHER`` ids are gathered at once from those of the vocabulary.
+        """
+        sizes = self.sizes[ids]
+        to = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.empty(to[-1], np.uint8)
+        for at in range(0, len(ids), TOGETHER):
+            part, size = ids[at : at + TOGETHER], sizes[at : at + TOGETHER]
+            shift = self.first[part] - to[at : at + len(part)]
+            a, b = to[at], to[at + len(part)]
+            out[a:b] = self.bytes[np.arange(a, b) + np.repeat(shift, size)]
+        cuts = to[np.concatenate([[0], ends])].astype(np.int32)
+        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(out)]
+        return pa.Array.from_buffers(pa.binary(), len(ends), buffers)
 
 
 _codecs: dict[tuple[int, str], Codec] = {}  # of this worker, so that the cache lives on between tasks
@@ -217,6 +235,12 @@ def packed_lists(packed: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
 
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all lists, and where each ends; a null list is an empty one."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes, dtype=np.int64)
+
+
 def share_ranks(spark: SparkSession, path: str) -> Broadcast:
     """The rank file's bytes for all workers; a vocabulary, so its size does not follow the data."""
     with open(path, "rb") as file:
@@ -235,7 +259,8 @@ def encode(
     """``docs`` with the ids of each whole text; with ``bytes_col`` also the bytes these ids decode to."""
     text_batches(docs.sparkSession)
     added = [ids_col, bytes_col] if bytes_col else [ids_col]
-    kept = [c for c in docs.columns if c not in added and not (drop_text and c == text_col)]
+    taken = {c.lower() for c in added}
+    kept = [c for c in docs.columns if c.lower() not in taken and not (drop_text and c == text_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(rank_file, pattern)
@@ -243,7 +268,7 @@ def encode(
             ids = packed_lists(codec.encode([text or "" for text in batch.column(text_col).to_pylist()]))
             columns = [*(batch.column(c) for c in kept), ids]
             if bytes_col:
-                columns.append(pa.array([codec.decode(x) for x in ids.to_pylist()], pa.binary()))
+                columns.append(codec.decode(*_flat(ids)))
             yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
     schema = _schema(docs, kept).add(ids_col, ArrayType(IntegerType()))
@@ -259,13 +284,12 @@ def decode(
 ) -> DataFrame:
     """``docs`` with the bytes that the ids stand for."""
     text_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c != bytes_col]
+    kept = [c for c in docs.columns if c.lower() != bytes_col.lower()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(rank_file, pattern)
         for batch in slices(batches):
-            decoded = [codec.decode(ids or []) for ids in batch.column(ids_col).to_pylist()]
-            columns = [*(batch.column(c) for c in kept), pa.array(decoded, pa.binary())]
+            columns = [*(batch.column(c) for c in kept), codec.decode(*_flat(batch.column(ids_col)))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, bytes_col])
 
     return docs.mapInArrow(run, _schema(docs, kept).add(bytes_col, BinaryType()))
