@@ -41,7 +41,7 @@ BLOCK, PERCENT, IDS = 4096, 99, 1 << 18
 END = 2
 MAGIC = b"PFR1"
 BLANKS = ("  ", " \t", " \n", " \r")
-KEPT = 1_500_000  # words whose ids a worker holds, about 40 bytes each
+KEPT = 4_000_000  # words whose ids a worker holds, about 40 bytes each
 JOINED = 20_000  # words encoded as one text
 TOGETHER = 1 << 20  # bytes of text worked on at once
 BASE = 0x9E3779B97F4A7C15
@@ -60,8 +60,11 @@ def pack_block(ids: np.ndarray, percent: int = PERCENT) -> bytes:
     within = np.searchsorted(np.sort(gaps), 1 << np.arange(33, dtype=np.int64))
     width = int(np.searchsorted(within, -(-len(ids) * percent // 100)))
     odd = np.flatnonzero(gaps >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-    bits = np.unpackbits(_bytes(gaps, width), axis=1, bitorder="little")[:, :width]
-    packed = np.packbits(bits, axis=None, bitorder="little").tobytes()
+    if width % 8:
+        bits = np.unpackbits(_bytes(gaps, width), axis=1, bitorder="little")[:, :width]
+        packed = np.packbits(bits, axis=None, bitorder="little").tobytes()
+    else:  # whole bytes
+        packed = gaps.view(np.uint8).reshape(-1, 4)[:, : width // 8].tobytes()
     high = (gaps[odd] >> np.uint32(width)).astype("<u4")
     return struct.pack("<IBH", low, width, len(odd)) + packed + odd.astype("<u2").tobytes() + high.tobytes()
 
@@ -75,9 +78,12 @@ def unpack_block(data: memoryview, n: int) -> np.ndarray:
     low, width, odd = struct.unpack_from("<IBH", data)
     size = -(-n * width // 8)
     packed = np.frombuffer(data, np.uint8, size, 7)
-    rows = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
     gaps = np.zeros(n, "<u4")
-    _bytes(gaps, width)[:, : -(-width // 8)] = np.packbits(rows, axis=1, bitorder="little")
+    if width % 8:
+        rows = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
+        _bytes(gaps, width)[:, : -(-width // 8)] = np.packbits(rows, axis=1, bitorder="little")
+    else:
+        gaps.view(np.uint8).reshape(-1, 4)[:, : width // 8] = packed.reshape(n, width // 8)
     places = np.frombuffer(data, "<u2", odd, 7 + size)
     high = np.frombuffer(data, "<u4", odd, 7 + size + 2 * odd)
     gaps[places] |= (high.astype(np.uint64) << np.uint64(width)).astype(np.uint32)
@@ -176,18 +182,16 @@ class Tokens:
     The pattern starts a piece at every space that something other than white space follows. A text where all
     are like that is a first word and then words with a space before them, each encoded by itself. Words not
     seen lately go to the library in one text; each one's ids start where a token starts with a space. All other
-    texts are encoded whole, also those that hold a token which the file adds to the vocabulary. With
-    ``added_tokens`` such a token gets its own id, as the library does; without, it is text. Words are told apart by a 64-bit polynomial hash over their bytes, taken of all
+    texts are encoded whole, also those that hold a token which the file adds to the vocabulary, as the library
+    gives it its own id. Words are told apart by a 64-bit polynomial hash over their bytes, taken of all
     words of a batch at once from running sums.
     """
 
-    def __init__(self, tokenizer_file: bytes, most: int = KEPT, added_tokens: bool = False):
+    def __init__(self, tokenizer_file: bytes, most: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer_file)
-        if not added_tokens:
-            self.tokenizer.encode_special_tokens = True
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if any(len(t.split()) != 1 or t.strip() != t for t in self.added):
             self.added = [""]  # one that spans words could arise where words are joined, so all texts go whole
@@ -272,14 +276,14 @@ class Tokens:
         return [b"".join(x) for x in zip(self.whole(heads), bodies, tails, strict=True)]
 
 
-_tokens: dict[tuple[int, bool], Tokens] = {}  # of this worker, so that the cache lives on between tasks
+_tokens: dict[int, Tokens] = {}  # of this worker, so that the cache lives on between tasks
 
 
-def _tokens_of(tokenizer_file: Broadcast, added_tokens: bool) -> Tokens:
-    key = hash(tokenizer_file.value), added_tokens
+def _tokens_of(tokenizer_file: Broadcast) -> Tokens:
+    key = hash(tokenizer_file.value)
     if key not in _tokens:
         _tokens.clear()
-        _tokens[key] = Tokens(tokenizer_file.value, added_tokens=added_tokens)
+        _tokens[key] = Tokens(tokenizer_file.value)
     return _tokens[key]
 
 
@@ -294,12 +298,8 @@ def write_ids(
     text_col: str = "text",
     end: int = END,
     ids_per_file: int = IDS,
-    added_tokens: bool = False,
 ) -> None:
-    """Encode the documents and write them under ``path`` in ascending order of their ids.
-
-    ``added_tokens``: text that is one of the file's added tokens gets that token's id.
-    """
+    """Encode the documents and write them under ``path`` in ascending order of their ids."""
     spark = docs.sparkSession
     text_batches(spark)
     with open(tokenizer_path, "rb") as file:
@@ -307,7 +307,7 @@ def write_ids(
     close = np.array([end], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = _tokens_of(shared, added_tokens), TaskContext.get().partitionId()
+        tokens, part = _tokens_of(shared), TaskContext.get().partitionId()
         doc_ids, packed, held, before = [], [], 0, 0
 
         def image() -> pa.RecordBatch:
@@ -332,9 +332,11 @@ def write_ids(
     schema = pa.schema([*kinds.items(), ("image", pa.binary())])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions(
+    # Rows that repeat an id and a text may be many, and their order is all one: a number of the row deals them out.
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    numbered.repartitionByRange(parts, "doc_id", F.xxhash64("text"), "row").sortWithinPartitions(
         "doc_id", F.xxhash64("text"), "text"
-    ).mapInArrow(run, "part int, before long, n_docs long, n_ids long, image binary").write.option(
+    ).select("doc_id", "text").mapInArrow(run, "part int, before long, n_docs long, n_ids long, image binary").write.option(
         "compression", "uncompressed"
     ).parquet(path)
 
@@ -381,7 +383,7 @@ def read_ids(spark: SparkSession, path: str, as_bytes: bool = False) -> DataFram
 def op9_pfor_ids(spark: SparkSession, sf_dir: str, tokenizer_path: str = "") -> DataFrame:
     path = scratch_path(spark, "token-ids")
     tokenizer = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
-    write_ids(table(spark, sf_dir, "documents"), path, tokenizer, added_tokens=True)
+    write_ids(table(spark, sf_dir, "documents"), path, tokenizer)
     return read_ids(spark, path, as_bytes=True).select(
         "doc_id",
         "start",

@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from silverlake.llm import byte_bpe, pfor_ids
@@ -100,6 +101,27 @@ def test_outliers_are_exceptions():
     assert len(pfor_ids.pack_block(ids)) < 4096 * 4 / 8 + 100
 
 
+@pytest.mark.parametrize("width", range(33))
+def test_blocks_of_every_width(width):
+    rng = np.random.default_rng(width)
+    top = (1 << width) - 1
+    ids = rng.integers(0, top + 1, 333, dtype=np.uint64).astype(np.uint32)
+    ids[:3] = top, 0, 2**32 - 1 if width == 32 else top
+    assert (pfor_ids.unpack_block(memoryview(pfor_ids.pack_block(ids, 100)), 333) == ids).all()
+    ids[5] = 2**32 - 1  # an exception
+    assert (pfor_ids.unpack_block(memoryview(pfor_ids.pack_block(ids)), 333) == ids).all()
+
+
+def test_repeated_rows_are_dealt_out(spark, tmp_path):
+    """Rows that repeat an id and a text, most of all rows, are written by several tasks."""
+    docs = spark.createDataFrame([(7, "the same text")] * 900 + [(i, f"text {i}") for i in range(300)], "doc_id long, text string")
+    pfor_ids.write_ids(docs.repartition(4), str(tmp_path / "ids"), JSON)
+    parts = spark.read.parquet(str(tmp_path / "ids")).groupBy("part").agg(F.sum("n_docs").alias("n")).collect()
+    assert sum(r["n"] for r in parts) == 1200 and max(r["n"] for r in parts) < 600
+    rows = pfor_ids.read_ids(spark, str(tmp_path / "ids")).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == sorted([7] * 900 + list(range(300)))
+
+
 def test_file_is_read_by_place():
     ids = np.arange(20_000, dtype=np.uint32)
     file = pfor_ids.IdFile(pfor_ids.pack_file([3, None], [15_000, 5_000], ids))
@@ -120,7 +142,6 @@ def test_words_are_encoded_like_whole_texts():
 
 def test_ids_written_and_read(spark, tmp_path):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     docs = spark.createDataFrame(
         [(None if i == 3 else i % 9, t, i) for i, t in enumerate(ODD)], "doc_id long, text string, part int"
     )
@@ -167,6 +188,29 @@ def test_added_tokens_as_in_the_library(spark, tmp_path):
         at += len(ids)
 
 
+def test_columns_with_the_names_of_results(spark):
+    ranks = byte_bpe.share_ranks(spark, RANKS)
+    docs = spark.createDataFrame([(1, "a b", "x", 3), (2, None, "y", 4)], "doc_id int, text string, IDS string, Decoded int")
+    both = byte_bpe.encode(docs, ranks, bytes_col="decoded")
+    assert both.columns == ["doc_id", "text", "ids", "decoded"]
+    assert [bytes(r.decoded) for r in both.orderBy("doc_id").collect()] == [b"a b", b""]
+    again = byte_bpe.decode(both.withColumnRenamed("decoded", "DECODED"), ranks)
+    assert again.columns == ["doc_id", "text", "ids", "decoded"]
+    nulls = byte_bpe.decode(spark.createDataFrame([(None,), ([],), ([64, 65],)], "ids array<int>"), ranks)
+    assert [bytes(r.decoded) for r in nulls.collect()][:2] == [b"", b""]
+
+
+def test_decoding_many_ids_in_pieces(monkeypatch):
+    with open(RANKS, "rb") as file:
+        codec = byte_bpe.Codec(file.read(), byte_bpe.public_tokenizers.PATTERN)
+    texts = [t or "" for t in ODD] + ["é" * 3000, "", "x y z"]
+    ids = [np.frombuffer(p, np.uint32) for p in codec.encode(texts)]
+    ends = np.cumsum([len(x) for x in ids])
+    for together in (1, 7, 1 << 20):
+        monkeypatch.setattr(byte_bpe, "TOGETHER", together)
+        assert codec.decode(np.concatenate(ids), ends).to_pylist() == [t.encode() for t in texts]
+
+
 def test_no_documents(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     pfor_ids.write_ids(docs, str(tmp_path / "none"), JSON)
