@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from silverlake.sources.scratch import scratch_path
 
@@ -45,3 +46,16 @@ def fresh(rows: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def one_row_each(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each of ``keys`` (one column, ``key``) that ``key`` has.
+
+    Rows are numbered, and a key's least number is found in the map tasks first, so that rows which repeat a
+    key, however many, do not meet in one task with their texts; the numbers that are kept pick the rows.
+    """
+    row = fresh(docs, "row_number")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    least = numbered.select(key.alias("key"), F.col(row)).groupBy("key").agg(F.min(row).alias(row))
+    kept = stored(least.join(keys, "key", "left_semi").select(row), "kept-rows")
+    return numbered.join(kept, row, "left_semi").drop(row)

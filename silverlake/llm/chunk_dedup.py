@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverlake.llm.base import fresh, stored, table
+from silverlake.llm.base import one_row_each, stored, table
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 CHUNK = rf"(?s).{{{MIN_CHUNK},{MAX_CHUNK}}}?(?:\n|[.!?] )|.{{1,{MAX_CHUNK}}}"
@@ -115,13 +115,10 @@ def decisions(
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    key = fresh(docs, "dedup_key")
     kept = decisions(docs, id_col, text_col).where("kept")
-    keys = kept.select(_row_key(F.col("doc_id"), F.col("text_sha256")).alias(key))
+    keys = kept.select(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("key"))
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    keyed = docs.withColumn(key, _row_key(F.col(id_col), sha))
-    # Rows that repeat an id and a text have one key; the aggregate uses the join's partitioning.
-    return keyed.join(keys, key, "left_semi").dropDuplicates([key]).drop(key)
+    return one_row_each(docs, _row_key(F.col(id_col), sha), keys)
 
 
 def _row_key(doc_id: Column, sha: Column) -> Column:

@@ -80,18 +80,22 @@ class EliasFano:
         at = np.where(k < 0, 0, word * 64 + bit + 1)
         first = at - high
         # Ones from there to the next zero: within the word, and on from word to word while it is full.
-        count = np.zeros(len(high), np.int64)
-        open_ = np.arange(len(high))
+        count = self._run(at)
+        open_ = np.flatnonzero((count == 64 - (at & 63)) & (at >> 6 < len(self.high) - 1))
         while len(open_):
-            shift = _u64(at[open_] & 63)
-            off = ~(self.high[at[open_] >> 6] >> shift)
-            ones = np.bitwise_count((off & (~off + ONE)) - ONE).astype(np.int64)
-            ones = np.minimum(ones, 64 - shift.astype(np.int64))
-            count[open_] += ones
-            at[open_] += ones
-            open_ = open_[(ones > 0) & (at[open_] & 63 == 0) & (at[open_] >> 6 < len(self.high))]
+            more = self._run(at[open_] + count[open_])
+            count[open_] += more
+            next_ = at[open_] + count[open_]
+            open_ = open_[(more == 64) & (next_ >> 6 < len(self.high))]
         return first, np.minimum(first + count, self.n)
 
+    def _run(self, at: np.ndarray) -> np.ndarray:
+        """How many ones follow each other from the bit ``at`` on, up to the end of its word."""
+        shift = _u64(at & 63)
+        off = ~(self.high[at >> 6] >> shift)
+        ones = np.bitwise_count((off & (~off + ONE)) - ONE).astype(np.int64)
+        return np.minimum(ones, 64 - (at & 63))
+
     def successor(
         self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None
     ) -> np.ndarray:
@@ -126,11 +130,24 @@ class EliasFano:
         """The place of x, or -1."""
         if not self.n:
             return np.full(len(x), -1, np.int64)
-        place, end = self._search(x, first, last)
-        # Before the end the high parts are equal, so only the low parts are left to compare.
+        x = _u64(x)
+        place, end = self._alike((x >> _u64(self.low_bits)).astype(np.int64))
+        wanted = x & _u64((1 << self.low_bits) - 1)
+        if first is not None:
+            place, end = np.clip(place, first, last), np.clip(end, first, last)
+        # High parts are equal between the two places, so only low parts are compared; a single number needs no search.
+        active = np.flatnonzero(end - place > 1)
+        lo, hi, low = place[active], end[active], wanted[active]
+        while len(active):
+            middle = (lo + hi) >> 1
+            less = self._low(middle) < low
+            lo, hi = np.where(less, middle + 1, lo), np.where(less, hi, middle)
+            place[active] = lo
+            more = np.flatnonzero(lo < hi)
+            if len(more) < len(active):
+                active, lo, hi, low = active[more], lo[more], hi[more], low[more]
         some = np.flatnonzero(place < end)
-        wanted = _u64(x)[some] & _u64((1 << self.low_bits) - 1)
-        found = some[self._low(place[some]) == wanted]
+        found = some[self._low(place[some]) == wanted[some]]
         out = np.full(len(place), -1, np.int64)
         out[found] = place[found]
         return out

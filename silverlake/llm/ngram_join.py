@@ -38,10 +38,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlake.llm.base import fresh, stored, table, text_batches
+from silverlake.llm.base import one_row_each, stored, table, text_batches
 from silverlake.llm.components import components
 from silverlake.llm.pieces import slices
-from silverlake.llm.trie_lm import Hashes, grow, shard_of, shrink, summed
+from silverlake.llm.trie_lm import grow, shard_of, shrink, summed, word_edges, word_hashes
 
 WORDS, PERCENT = 5, 75
 ORDERS = 3
@@ -51,18 +51,18 @@ COLUMNS = 16_384  # shingles in one matrix product
 HEAVY = 64  # sets of a task's chunk that have a shingle, from which on only their number is gathered
 CHUNK = 500_000  # shingles sent at once by a task
 SHARD = 2_000_000  # shingles in a shard
-HASHES = 150_000  # hashes of words that a worker remembers
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str | None, hashes: Hashes, words: int = WORDS) -> np.ndarray:
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """The distinct shingles of a whole text, as sorted hashes."""
-    found = (text or "").encode().lower().split()
-    if not found:
+    data = np.frombuffer((text or "").encode().lower() + b" ", np.uint8)
+    starts, ends = word_edges(data)
+    if not len(starts):
         return np.zeros(0, np.uint64)
-    words = min(words, len(found))
-    each = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-    n = len(found) - words + 1
+    words = min(words, len(starts))
+    each = word_hashes(data, starts, ends)
+    n = len(starts) - words + 1
     mixed = np.full(n, words, np.uint64)
     for k in range(words):
         mixed = (mixed ^ each[k : k + n]) * MIX
@@ -82,11 +82,11 @@ def links(both: Column, n: Column, m: Column, percent: int) -> Column:
 # ---------------------------------------------------------------- 1. sets
 
 
-def send(ids: list, marks: list, texts: list, hashes: Hashes, words: int, shards: int) -> Iterator[tuple]:
+def send(ids: list, marks: list, texts: list, words: int, shards: int) -> Iterator[tuple]:
     """(shard, blob): shingles by range, once for each distinct set; and the documents themselves."""
     sets, n, name = {}, [], []
     for text in texts:
-        own = shingles(text, hashes, words)
+        own = shingles(text, words)
         n.append(len(own))
         name.append(xxhash.xxh3_64_intdigest(own.tobytes(), seed=len(own)))
         if len(own):
@@ -247,10 +247,10 @@ def collect_sets(docs: DataFrame, id_col: str, text_col: str, words: int, percen
     shards = size // (6 * SHARD) + 1  # a word and its space take about six characters
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, count = Hashes(HASHES), ([], [], []), 0
+        held, count = ([], [], []), 0
 
         def flush() -> pa.RecordBatch:
-            names, blobs = zip(*send(held[0], held[2], held[1], hashes, words, shards), strict=True)
+            names, blobs = zip(*send(held[0], held[2], held[1], words, shards), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
         for batch in slices(batches):
@@ -347,7 +347,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def find_clusters(entries: DataFrame) -> DataFrame:
     """``name``, ``cluster``: sets that prefix shingles of large groups connect."""
     many = entries.where(F.col("sets") > GROUP)
-    centre = many.groupBy("at", "shingle").agg(F.min("name").alias("centre"))
+    centre = stored(many.groupBy("at", "shingle").agg(F.min("name").alias("centre")), "centres")
     ties = many.join(centre, ["at", "shingle"]).select("name", "centre").distinct()
     return components(ties, "name", "centre").select(F.col("node").alias("name"), F.col("root").alias("cluster"))
 
@@ -442,7 +442,8 @@ def near_duplicates(
     """
     found = collect_sets(docs, id_col, text_col, words, percent)
     entries = stored(prefixes(found.sets, percent), "prefixes")
-    counts = entries.groupBy("at", "shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    # Stored, so that the join deals out its rows by itself and Spark may split a frequent shingle.
+    counts = stored(entries.groupBy("at", "shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "counts")
     entries = stored(entries.join(counts, ["at", "shingle"]), "entries")
     clusters = stored(find_clusters(entries), "clusters")
     ties = verified(candidates(entries, clusters, percent), found.sets, percent)
@@ -463,12 +464,10 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, with all their columns."""
-    key = fresh(docs, "join_key")
     rows = near_duplicates(docs, id_col, text_col)
-    keys = rows.select(_row_key(F.col("keeper.doc_id"), F.col("keeper.mark")).alias(key)).distinct()
+    keys = rows.select(_row_key(F.col("keeper.doc_id"), F.col("keeper.mark")).alias("key")).distinct()
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.withColumn(key, _row_key(F.col(id_col).cast("long"), mark))
-    return keyed.join(stored(keys, "kept"), key, "left_semi").dropDuplicates([key]).drop(key)
+    return one_row_each(docs, _row_key(F.col(id_col).cast("long"), mark), keys)
 
 
 def _row_key(doc_id: Column, mark: Column) -> Column:

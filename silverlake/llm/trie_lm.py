@@ -5,8 +5,7 @@ count, to the shard that a hash of its first two words names. A shard therefore
 pairs and triples, however frequent a word or a pair is. Single words go, by their 64-bit hash, to shards of
 the vocabulary.
 
-Model. A trie has the levels first word, pair, triple. The query keeps all of them; ``train`` leaves to the
-smoothing what is seen less than ``least`` times.
+Model. A trie has the levels first word, pair, triple, and keeps all of them.
 The children of a node lie side by side; a child's key is its parent's place and the child's 32-bit hash, so
 each level is one monotone sequence, whose high parts lead to the children of a place. Probabilities are
 discounted by ``DISCOUNT`` and interpolated with the shorter context's, whose weight is exactly the mass left
@@ -30,7 +29,6 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -48,49 +46,79 @@ from silverlake.llm.pieces import slices
 from silverlake.sources.scratch import scratch_path
 
 CHUNK = 2_000_000  # tokens sorted at once while counting
-BATCH = 400_000  # tokens scored at once
-LEAST = 2  # count of a pair or triple that ``train`` keeps, if it is not told otherwise
+BATCH = 1_000_000  # tokens scored at once
 DISCOUNT = 0.75
 TOP = 255  # codes of a file that take a byte
 FOLDS, HELD_OUT = 7, 2
-WORDS = 300_000  # hashes of words that a worker remembers
+PIECE = 1 << 20  # bytes hashed at once
+SHARD_BYTES = 8 << 20  # text whose triples are one shard, about
 
 # None of these can be a word, as they are made of white space.
 START, END, PAD = (xxhash.xxh3_64_intdigest(mark) for mark in (b" ", b"\n", b"\t"))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 HALF = np.uint64(32)
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2 and so on, modulo 2^64."""
+    factors = np.full(n, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_TABLES = _powers(int(MIX), PIECE + 1), _powers(int(UNMIX), PIECE + 1)
 ADDED = {"n_tokens": LongType(), "n_known": LongType(), "train_tokens": LongType()} | {
     "base_score": DoubleType(),
     "score": DoubleType(),
 }
 
 
-class Hashes(dict):
-    """word -> its 64-bit hash, of at most ``most`` words"""
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``data`` start and end; its last byte is a blank."""
+    blank = _BLANK[data]
+    change = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    edges = change if blank[0] else np.concatenate([[0], change])
+    return edges[::2], edges[1::2]
 
-    def __init__(self, most: int = WORDS):
-        super().__init__()
-        self.most = most
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[start:end]``: polynomials of their bytes, from running sums of a piece.
 
-
-def sequences(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    A word of more than ``PIECE`` bytes is hashed by itself.
+    """
+    out = np.empty(len(starts), np.uint64)
+    powers, inverse = _TABLES
+    i = 0
+    while i < len(starts):
+        origin = int(starts[i])
+        j = int(np.searchsorted(ends, origin + PIECE, side="right"))
+        if j == i:
+            out[i] = xxhash.xxh3_64_intdigest(data[origin : int(ends[i])].tobytes())
+            i += 1
+            continue
+        piece = data[origin : int(ends[j - 1])]
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * powers[: len(piece)], out=sums[1:])
+        first, last = starts[i:j] - origin, ends[i:j] - origin
+        found = (sums[last] - sums[first]) * inverse[first]
+        out[i:j] = (found ^ (found >> HALF)) * MIX + (last - first).astype(np.uint64)
+        i = j
+    return out
+
+
+def sequences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """START, the words, END and PAD of each text, as hashes; and how many words each has."""
-    words = [(text or "").encode().lower().split() for text in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    out = np.empty(counts.sum() + 3 * len(words), np.uint64)
+    lower = [(text or "").encode().lower() for text in texts]
+    data = np.frombuffer(b"\n".join(lower) + b"\n", np.uint8)
+    starts, ends = word_edges(data)
+    offsets = np.cumsum([0] + [len(t) + 1 for t in lower])
+    counts = np.diff(np.searchsorted(starts, offsets))
+    out = np.empty(len(starts) + 3 * len(lower), np.uint64)
     first = np.cumsum(counts + 3) - counts - 3
     out[first], out[first + counts + 1], out[first + counts + 2] = START, END, PAD
     inside = np.ones(len(out), bool)
     inside[first] = inside[first + counts + 1] = inside[first + counts + 2] = False
-    each = map(hashes.__getitem__, chain.from_iterable(words))
-    out[inside] = np.fromiter(each, np.uint64, counts.sum())
+    out[inside] = word_hashes(data, starts, ends)
     return out, counts
 
 
@@ -140,13 +168,21 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
 
 
+def ordered(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The order by 64-bit numbers and then by 32-bit ones: two sorts of single numbers, faster than one of pairs."""
+    order = np.argsort(first)
+    sorted_ = first[order]
+    rank = np.cumsum(np.concatenate([[False], sorted_[1:] != sorted_[:-1]])[: len(first)], dtype=np.uint64)
+    return order[np.argsort(rank << HALF | second[order])]
+
+
 def small(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32 if counts.max() < 1 << 32 else np.uint64)
 
 
-def count_chunk(texts: list[str | None], hashes: Hashes, shards: int) -> Iterator[tuple[int, bytes]]:
+def count_chunk(texts: list[str | None], shards: int) -> Iterator[tuple[int, bytes]]:
     """(shard, blob) of the distinct triples, and (shards + vocabulary shard, blob) of the words."""
-    sequence, counts = sequences(texts, hashes)
+    sequence, counts = sequences(texts)
     inside = sequence != np.uint64(PAD)
     words, n = np.unique(sequence[inside], return_counts=True)
     cuts = np.searchsorted(shard_of(words, shards), np.arange(shards + 1))
@@ -155,7 +191,7 @@ def count_chunk(texts: list[str | None], hashes: Hashes, shards: int) -> Iterato
         yield shards + int(s), shrink({"key": words[a:b], "n": small(n[a:b])})
     _, pair, third = triples(sequence, counts)
     key = pair * MIX
-    order = np.lexsort((third, key))
+    order = ordered(key, third)
     key, third = key[order], third[order]
     first = np.flatnonzero(
         np.concatenate([[True], (key[1:] != key[:-1]) | (third[1:] != third[:-1])]) if len(key) else []
@@ -203,27 +239,25 @@ def codes_at(name: str, arrays: dict[str, np.ndarray], places: np.ndarray) -> np
 # ---------------------------------------------------------------- building shards
 
 
-def build_trie(blobs: list[bytes], least: int = LEAST) -> tuple[bytes, np.ndarray, np.ndarray]:
+def build_trie(blobs: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The file image of a trie; and first words (their short hashes) with what their kept pairs sum to."""
     parts = [grow(b) for b in blobs]
     pair = np.concatenate([p["key"] for p in parts]) * UNMIX
     third = np.concatenate([p["third"] for p in parts])
     n = np.concatenate([p["n"].astype(np.int64) for p in parts])
     del parts
-    order = np.lexsort((third, pair))
+    order = ordered(pair, third)
     pair, third, n = pair[order], third[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (third[1:] != third[:-1])]))
     n, pair, third = np.add.reduceat(n, first), pair[first], third[first]
 
     start = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     pairs, total = pair[start], np.add.reduceat(n, start)
-    kept = total >= least
-    node = np.cumsum(kept) - 1  # the place of a kept pair
     of = np.repeat(np.arange(len(pairs)), np.diff(np.append(start, len(pair))))
-    deep = (n >= least) & ((pairs[of] & np.uint64(0xFFFFFFFF)) != np.uint64(END >> 32))
-    q3 = (n[deep] - DISCOUNT) / total[of[deep]]
-    parent = node[of[deep]]
-    pairs, total = pairs[kept], total[kept]
+    # What follows the end is no token.
+    deep = (pairs[of] & np.uint64(0xFFFFFFFF)) != np.uint64(END >> 32)
+    parent = of[deep]
+    q3 = (n[deep] - DISCOUNT) / total[parent]
     left = 1 - np.bincount(parent, q3, len(pairs))
 
     heads = pairs >> HALF
@@ -284,21 +318,20 @@ class Model:
     words: int
 
 
-def train(docs: DataFrame, text_col: str = "text", shards: int | None = None, least: int = LEAST) -> Model:
-    """Count and store the model of the whole texts. ``shards``: as many as the shuffle has partitions.
-
-    With ``least`` = 1 all pairs and triples are kept.
-    """
+def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) -> Model:
+    """Count and store the model of the whole texts: a shard for every ``SHARD_BYTES`` of them, if not said otherwise."""
     spark = docs.sparkSession
     text_batches(spark)
     folder = _uri(scratch_path(spark, "ngram-model"))
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not shards:
+        size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+        shards = 1 + size // SHARD_BYTES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, texts, held = Hashes(), [], 0
+        texts, held = [], 0
 
         def flush() -> pa.RecordBatch:
-            names, blobs = zip(*count_chunk(texts, hashes, shards), strict=True)
+            names, blobs = zip(*count_chunk(texts, shards), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
         for batch in slices(batches):
@@ -319,7 +352,7 @@ def train(docs: DataFrame, text_col: str = "text", shards: int | None = None, le
                 np.concatenate([m["key"] for m in merged]), np.concatenate([m["n"].astype(np.int64) for m in merged])
             )
             return _rows([(shard - shards, 0, shrink({"key": keys, "n": small(n)}))])
-        image, words, sums = build_trie(blobs, least)
+        image, words, sums = build_trie(blobs)
         out = [(shard, 2, write_file(folder, f"trie-{shard}", image).encode())]
         to = shard_of(words << HALF, shards)
         for s in np.unique(to):
@@ -442,15 +475,16 @@ class Reader:
             file = self.trie(shard)
             if not file["triples"].n:
                 continue
-            key = node[a:b].astype(np.uint64) << HALF | third[a:b]
-            order = np.argsort(key)
-            place = file["triples"].find(key[order])
+            key, back = np.unique(node[a:b].astype(np.uint64) << HALF | third[a:b], return_inverse=True)
+            place = file["triples"].find(key)
             some = place >= 0
-            out[a + order[some]] = from_code(codes_at("triple_code", file, place[some]))
+            found = np.zeros(len(key))
+            found[some] = from_code(codes_at("triple_code", file, place[some]))
+            out[a:b] = found[back]
         return out
 
-    def score(self, texts: list[str | None], hashes: Hashes) -> dict[str, np.ndarray]:
-        sequence, counts = sequences(texts, hashes)
+    def score(self, texts: list[str | None]) -> dict[str, np.ndarray]:
+        sequence, counts = sequences(texts)
         vocabulary, index = np.unique(sequence, return_inverse=True)
         count, left = self.words(vocabulary)
         n = self.model.tokens
@@ -503,18 +537,18 @@ def _reader(model: Model) -> Reader:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bool = False) -> DataFrame:
     """``docs`` with n_tokens, n_known, train_tokens, base_score and score."""
-    kept = [c for c in docs.columns if c not in ADDED and not (drop_text and c == text_col)]
+    kept = [c for c in docs.columns if c.lower() not in ADDED and not (drop_text and c == text_col)]
     schema = StructType([docs.schema[c] for c in kept])
     for name, kind in ADDED.items():
         schema = schema.add(name, kind)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a file name for each shard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, hashes, held, size = _reader(shared.value), Hashes(), [], 0
+        reader, held, size = _reader(shared.value), [], 0
 
         def flush() -> pa.RecordBatch:
             whole = pa.Table.from_batches(held).combine_chunks()
-            found = reader.score(whole.column(text_col).to_pylist(), hashes)
+            found = reader.score(whole.column(text_col).to_pylist())
             columns = [*(whole.column(c) for c in kept), *(pa.array(found[c]) for c in ADDED)]
             return pa.Table.from_arrays(columns, names=[*kept, *ADDED])
 
@@ -536,4 +570,4 @@ def held_out(doc_id: Column) -> Column:
 
 def op3_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return score(docs, train(docs.where(~F.col("held_out")), least=1), drop_text=True)
+    return score(docs, train(docs.where(~F.col("held_out"))), drop_text=True)
