@@ -99,6 +99,21 @@ def test_lost_lists_are_logged(spark, root):
     assert (log.rows_in, log.rows_written) == (4, 4)
 
 
+def test_objects_without_rows(spark, root):
+    """They are counted as such, on a first load and on a merge, by day and by stream."""
+    land(movies(spark, AVATAR).limit(0), root, "movies", "20221104-120000")
+    land(movies(spark, AVATAR), root, "movies", "20221105-120000")
+    tables = {n: find(n) for n in ("movies", "genres")}
+    for day, n in ((20221104, 0), (20221105, 1), (20221104, 0)):
+        log = run(spark, root, day, tables=tables).collect()
+        assert [(r.status, r.rows_in, r.lost_values) for r in log] == [("written", n, 0)] * 2
+    assert table(spark, root, "movies").count() == 1
+    ingest_available(
+        spark, f"{root}/bronze", f"{root}/stream", "movies", f"{root}/check", tables=tables, files_per_batch=1
+    )
+    assert read_silver(spark, f"{root}/stream", find("movies")).count() == 1
+
+
 def test_failed_tables_of_a_run_are_retried(spark, root):
     """Only they are loaded again, under the same run, until none has failed."""
     land(movies(spark, AVATAR).drop("keywords"), root, "movies", "20221104-120000")
