@@ -19,7 +19,8 @@ A document is the set of its word shingles. Two documents link if their sets' Ja
 
 Shingle hashes are 64 bits, so a similarity could be off only where two of a pair's shingles collide. Memory of
 a task is bounded by about ``SHARD`` occurrences and by two blocks: of a shingle that ``HEAVY`` or more sets of a
-task's chunk have, only the number is gathered in its shard, and the occurrences are dealt out by set. Defined results: a null text is empty; a text without words has no shingles and is linked
+task's chunk have, only the number is gathered in its shard, the occurrences are dealt out by set, and the
+total goes to the buckets whose sets hold the shingle. Defined results: a null text is empty; a text without words has no shingles and is linked
 with nothing, not even with its like; one with fewer words than a shingle has one shingle of all; null ids are
 larger than others and name a component only if it has no other id; rows that repeat an id are in one class
 each; an empty table gives an empty result; other columns are ignored by ``near_duplicates`` and passed
@@ -113,6 +114,10 @@ def send(ids: list, marks: list, texts: list, words: int, shards: int) -> Iterat
     to = (names % np.uint64(shards)).astype(np.int64)[owner[often]]
     for s, part in _parts(to, shards):
         yield s, OCCURS + _pack(key[often][part], owner[often][part], names, sizes)
+    # And the shard is told which buckets have it, as only they need its total.
+    number = np.repeat(np.arange(len(heavy[0]), dtype=np.uint64), heavy[1])
+    places = np.unique(number << np.uint64(32) | to.astype(np.uint64))
+    place_key, place = heavy[0][(places >> np.uint64(32)).astype(np.int64)], (places & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     key, owner = key[~often], owner[~often]
     cuts, hot = (np.searchsorted(shard_of(k, shards), np.arange(shards + 1)) for k in (key, heavy[0]))
     for s in np.flatnonzero(np.diff(cuts) + np.diff(hot)):
@@ -121,10 +126,14 @@ def send(ids: list, marks: list, texts: list, words: int, shards: int) -> Iterat
             yield int(s), COUNTED + _pack(key[one], owner[one], names, sizes)
         if hot[s] < hot[s + 1]:
             yield int(s), HOT + shrink({"key": heavy[0][two], "often": heavy[1][two]})
+            a = np.searchsorted(place_key, heavy[0][hot[s]])
+            b = np.searchsorted(place_key, heavy[0][hot[s + 1] - 1], side="right")
+            yield int(s), PLACES + shrink({"key": place_key[a:b], "bucket": place[a:b]})
 
 
-# What a blob holds: occurrences that the shard counts, or passes on; shingles' numbers; counted occurrences.
-COUNTED, OCCURS, HOT, KNOWN = b"C", b"O", b"H", b"K"
+# What a blob holds: occurrences that the shard counts, or passes on; shingles' numbers; the buckets that have
+# these shingles; counted occurrences.
+COUNTED, OCCURS, HOT, PLACES, KNOWN = b"C", b"O", b"H", b"P", b"K"
 
 
 def _starts(sorted_: np.ndarray) -> np.ndarray:
@@ -194,10 +203,14 @@ def shared(blobs: list[bytes], buckets: int) -> Iterator[tuple[int, bytes]]:
     to = (names % np.uint64(buckets)).astype(np.int64)[owner]
     for bucket, part in _parts(to, buckets):
         yield bucket, KNOWN + _pack(key[part], owner[part], names, n, often=often[part])
-    if len(heavy):
-        data = HOT + shrink({"key": heavy, "often": total.astype(np.uint32)})
-        for bucket in range(buckets):
-            yield bucket, data
+    places = [grow(b[1:]) for b in blobs if b[:1] == PLACES]
+    if places:
+        at = np.searchsorted(heavy, np.concatenate([p["key"] for p in places])).astype(np.uint64)
+        pairs = np.unique(np.concatenate([p["bucket"] for p in places]).astype(np.uint64) << np.uint64(32) | at)
+        bucket, at = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        for start, end in zip((cuts := np.append(_starts(bucket), len(bucket)))[:-1], cuts[1:], strict=True):
+            mine = at[start:end]
+            yield int(bucket[start]), HOT + shrink({"key": heavy[mine], "often": total[mine].astype(np.uint32)})
 
 
 def assemble(blobs: list[bytes], percent: int) -> pa.Table:

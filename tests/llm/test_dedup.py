@@ -153,6 +153,33 @@ def test_heavy_shingles_are_counted_apart(spark, texts, monkeypatch):
     assert classes(found) == brute.near_duplicates(rows)
 
 
+def test_totals_of_heavy_shingles_go_where_they_are_needed(monkeypatch):
+    """A bucket gets the totals of heavy shingles that its own sets hold, however many others there are."""
+    monkeypatch.setattr(ngram_join, "HEAVY", 4)
+    rng, buckets = random.Random(9), 50
+    groups = [prose(rng, 12) for _ in range(60)]  # sixty passages, of five texts each
+    texts = [f"{passage} own{k} {prose(rng, 5)}" for passage in groups for k in range(5)]
+    n = len(texts)
+    blobs = list(ngram_join.send(list(range(n)), [0] * n, texts, 5, buckets))
+    held = {}  # the buckets of each heavy shingle
+    for bucket, blob in blobs:
+        if blob[:1] == ngram_join.OCCURS:
+            for key in ngram_join.grow(blob[1:])["key"].tolist():
+                held.setdefault(key, set()).add(bucket)
+    assert len(held) >= 60 * 7
+    sent = {}
+    for shard in range(buckets):
+        mine = [b for s, b in blobs if s == shard and b[:1] != ngram_join.OCCURS]
+        for bucket, blob in ngram_join.shared(mine, buckets):
+            if blob[:1] == ngram_join.HOT:
+                part = ngram_join.grow(blob[1:])
+                assert (part["often"] == 5).all()
+                for key in part["key"].tolist():
+                    sent.setdefault(key, set()).add(bucket)
+    assert sent == held
+    assert sum(map(len, sent.values())) <= 5 * len(held) < buckets * len(held)
+
+
 def test_keep_one(spark, texts):
     rows = [*enumerate(texts), (3, texts[3])]
     docs = spark.createDataFrame([(d, t, d) for d, t in rows], "doc_id long, text string, join_key int")
