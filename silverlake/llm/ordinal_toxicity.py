@@ -7,14 +7,14 @@ the expected severity, the sum of P(grade >= k), and a text is toxic if P(grade
 Labels say toxic or not, so the grades above 0 are derived: the toxic texts of the training rows are
 split, at the quantiles, by how many words they hold that speak for toxicity in the training rows.
 
-Features are the lower-cased words, as 1 + log(count). Word counts by label are a Spark aggregate; the ``FEATURES`` with the strongest association are kept, however weak it is, and the
-regression is fitted on the driver over at most ``MOST_ROWS`` labelled texts (picked by a hash of the
+Features are the lower-cased words, as 1 + log(count). Word counts by label are a Spark aggregate; the
+``FEATURES`` with the strongest association are kept, however weak it is, and the regression is fitted on the driver over at most ``MOST_ROWS`` labelled texts (picked by a hash of the
 id), as rows of a few feature numbers each. Scoring reads every whole text.
 
 Defined results: a null text counts as empty, and an empty text gets the severity that the thresholds
-alone give; ids that are null or repeated are scored row by row; labels that are null are left out; if
-the labels hold no toxic or no clean text, severity is 0 and nothing is toxic; an empty table gives an
-empty result; other columns pass through, and the columns added replace any of the same name.
+alone give; ids that are null or repeated are scored row by row, and a repeated id is one row of the
+sample; labels that are null are left out, and an id that is labelled both ways counts as toxic; if the labels hold no toxic or no clean text, severity is 0 and nothing is toxic; an empty table gives an
+empty result; other columns pass through, and the columns added replace any of the same name in any case.
 """
 
 from __future__ import annotations
@@ -74,13 +74,21 @@ def labelled_sample(
     label_col: str = "toxic",
     most: int = MOST_ROWS,
 ) -> DataFrame:
-    """``text`` and ``toxic`` of at most ``most`` labelled documents, picked by a hash of the id."""
+    """``text`` and ``toxic`` of at most ``most`` labelled documents, picked by a hash of the id.
+
+    A row for each id: toxic if any of its labels says so, with the text of least hash if it has several.
+    """
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
-    marks = marks.dropna().dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    marks = marks.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("doc_id IS NOT NULL")
+    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     text_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # At most ``most`` rows of two numbers.
-    return stored(texts.join(F.broadcast(marks), "doc_id"), "toxic-labels")
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    texts = docs.select(F.col(id_col).alias("doc_id"), text)
+    # At most ``most`` rows of two numbers; an id's rows are reduced to one in the map tasks.
+    found = texts.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    )
+    return stored(found.select("doc_id", "toxic", F.col("least.text").alias("text")), "toxic-labels")
 
 
 def choose_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str, float]]:
@@ -194,7 +202,7 @@ def regress(
 def score(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bool = False) -> DataFrame:
     """``docs`` with severity (0 to GRADES), p_toxic, grade (the likeliest) and toxic."""
     added = {"severity": DoubleType(), "p_toxic": DoubleType(), "grade": IntegerType(), "toxic": BooleanType()}
-    kept = [c for c in docs.columns if c not in added and not (drop_text and c == text_col)]
+    kept = [c for c in docs.columns if c.lower() not in added and not (drop_text and c == text_col)]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FEATURES
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
