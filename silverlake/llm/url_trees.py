@@ -3,7 +3,8 @@
 URLs that a rule covers are the labelled ones. Trees are trained on lexical features of these: length,
 depth, digit ratio, entropy of the characters, hyphens, labels of the host, parameters, and suffix
 statistics, the smoothed share of blocked URLs among those labelled with the same top-level domain, the
-same last two host labels, and the same first path segment. Features are DataFrame expressions; the trees
+same last two host labels, and the same first path segment. A row that is trained on has the shares of the other
+``FOLDS`` - 1 parts of the URLs, as its own part's would tell its label. Features are DataFrame expressions; the trees
 are MLlib's, trained on at most ``MOST_ROWS`` labelled URLs picked by a hash; statistics cover all of them.
 
 A rule is a host and a path: it fits the host itself and its subdomains if the path starts with the
@@ -30,7 +31,7 @@ from silverlake.llm.base import stored, table
 
 MOST_ROWS = 50_000
 TREES, DEPTH, SEED = 20, 4, 7
-SMOOTH = 10.0
+SMOOTH, FOLDS = 10.0, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -115,19 +116,34 @@ def lexical(pages: DataFrame) -> DataFrame:
     )
 
 
+def fold() -> Column:
+    """A part of the URLs, by a hash, so that rows which repeat one are in the same."""
+    return F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(FOLDS))
+
+
 @dataclass(frozen=True)
 class Trees:
-    """The suffix statistics by kind, the share of blocked URLs, and the trees (None: one verdict only)."""
+    """The suffix statistics by kind (labelled and blocked URLs in each fold), the share of blocked URLs, and the
+    trees (None: one verdict only)."""
 
     stats: dict[str, DataFrame]
     prior: float
     model: GBTClassificationModel | None
 
-    def features(self, pages: DataFrame) -> DataFrame:
-        rows = pages
+    def features(self, pages: DataFrame, learning: bool = False) -> DataFrame:
+        """``learning``: the rows are in the statistics, and those of a row's own fold are left out of its rates."""
+        rows = pages.withColumn("fold", fold()) if learning else pages
         for kind in SUFFIXES:
-            rate = F.coalesce(F.col(f"{kind}_rate"), F.lit(self.prior))
-            rows = rows.join(self.stats[kind], kind, "left").withColumn(f"{kind}_rate", rate)
+            stats = self.stats[kind]
+            whole = stats.groupBy(kind).agg(F.sum("blocked").alias("blocked"), F.sum("n").alias("n"))
+            rows = rows.join(whole, kind, "left")
+            blocked, n = F.coalesce("blocked", F.lit(0.0)), F.coalesce("n", F.lit(0))
+            if learning:
+                own = stats.select(kind, "fold", F.col("blocked").alias("own_blocked"), F.col("n").alias("own_n"))
+                rows = rows.join(own, [kind, "fold"], "left")
+                blocked, n = blocked - F.coalesce("own_blocked", F.lit(0.0)), n - F.coalesce("own_n", F.lit(0))
+            rate = (blocked + SMOOTH * self.prior) / (n + SMOOTH)
+            rows = rows.withColumn(f"{kind}_rate", rate).drop("blocked", "n", "own_blocked", "own_n")
         columns = [*PLAIN, *(f"{kind}_rate" for kind in SUFFIXES)]
         return VectorAssembler(inputCols=columns, outputCol="features").transform(rows)
 
@@ -146,12 +162,12 @@ def train(marked: DataFrame, most: int = MOST_ROWS, trees: int = TREES, depth: i
     prior = counts["blocked"] / counts["n"] if counts["n"] else 0.0
     stats = {}
     for kind in SUFFIXES:
-        rate = (F.sum("label") + SMOOTH * prior) / (F.count(F.lit(1)) + SMOOTH)
-        stats[kind] = stored(labelled.groupBy(kind).agg(rate.alias(f"{kind}_rate")), f"url-{kind}")
+        sums = F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n")
+        stats[kind] = stored(labelled.groupBy(kind, fold().alias("fold")).agg(*sums), f"url-{kind}")
     if prior in (0.0, 1.0):
         return Trees(stats, prior, None)
     sample = labelled.orderBy(F.xxhash64("url"), "url").limit(most)
-    rows = stored(Trees(stats, prior, None).features(sample).select("features", "label"), "url-train")
+    rows = stored(Trees(stats, prior, None).features(sample, learning=True).select("features", "label"), "url-train")
     booster = GBTClassifier(maxIter=trees, maxDepth=depth, seed=SEED, stepSize=0.2)
     return Trees(stats, prior, booster.fit(rows))
 
@@ -163,11 +179,14 @@ def verdicts(
     url_col: str = "url",
     most: int = MOST_ROWS,
 ) -> DataFrame:
-    """page_id, host, path, rule, verdict and score (the trees' probability of block)."""
+    """page_id, host, path, rule, verdict and score (the trees' probability of block, null where a rule decides)."""
     rows = stored(lexical(by_rules(parts(pages, id_col, url_col), rules)), "urls")
-    judged = train(rows, most).judge(rows)
+    # Only what no rule decides is joined with the statistics and judged.
+    judged = train(rows, most).judge(rows.where("marked is null"))
+    decided = rows.where("marked is not null").withColumn("score", F.lit(None).cast("double"))
+    wanted = ["page_id", "host", "path", "rule", "marked", "score"]
     by_trees = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
-    return judged.select(
+    return judged.select(*wanted).unionByName(decided.select(*wanted)).select(
         "page_id", "host", "path", "rule", F.coalesce("marked", by_trees).alias("verdict"), "score"
     )
 
