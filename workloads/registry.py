@@ -1112,11 +1112,14 @@ def q3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
              steps AS (SELECT director, movie_id, release_date,
                               lag(movie_id) OVER (PARTITION BY director ORDER BY release_date NULLS FIRST, movie_id) AS previous
                        FROM directed LEFT JOIN ({SILVER_SQL["movies"]}) USING (movie_id)),
-             sized AS (SELECT *, (SELECT count(*) FROM crew WHERE crew.movie_id = steps.movie_id) AS crew,
-                              CASE WHEN previous IS NOT NULL THEN
-                                (SELECT count(*) FROM crew a JOIN crew b ON a.id = b.id
-                                 WHERE a.movie_id = steps.movie_id AND b.movie_id = steps.previous) END AS kept
-                       FROM steps)
+             sizes AS (SELECT movie_id, count(*) AS crew FROM crew GROUP BY movie_id),
+             pairs AS (SELECT DISTINCT movie_id, previous FROM steps WHERE previous IS NOT NULL),
+             same AS (SELECT p.movie_id, p.previous, count(*) AS n
+                      FROM pairs p JOIN crew a ON a.movie_id = p.movie_id JOIN crew b ON b.movie_id = p.previous AND b.id = a.id
+                      GROUP BY p.movie_id, p.previous),
+             sized AS (SELECT steps.*, crew, CASE WHEN steps.previous IS NOT NULL THEN coalesce(n, 0) END AS kept
+                       FROM steps JOIN sizes USING (movie_id)
+                       LEFT JOIN same ON same.movie_id = steps.movie_id AND same.previous = steps.previous)
         SELECT director, movie_id, previous, crew, kept,
                round(avg(kept / CAST(crew AS DOUBLE)) OVER (PARTITION BY director ORDER BY release_date NULLS FIRST, movie_id
                      ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS usual
