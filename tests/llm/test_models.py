@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -55,6 +56,87 @@ def test_quality_fold_and_odd_texts(spark):
     assert pu_quality.score(none, pu_quality.learn(none, labels.where(F.lit(False)))).count() == 0
 
 
+def plain_measures(text):
+    """The measures one by one, over characters and words of the UTF-8 bytes."""
+    data = (text or "").encode()
+    words, size = data.split(), max(len(data), 1)
+    share = lambda test: sum(map(test, data)) / size
+    among = lambda chars: share(lambda b: b in chars)
+    count = Counter(words)
+    n = max(len(words), 1)
+    return [
+        share(lambda b: 65 <= b <= 90), share(lambda b: 97 <= b <= 122), share(lambda b: b >= 128),
+        share(lambda b: 48 <= b <= 57), among(b" \t"), among(b"\n\r"), among(b".,;:?'\"-()"),
+        among(b"!*&%$#@~^_=+<>/\\[]{}`"), among(b"|"),
+        math.log(1 + len(words)), sum(len(w) for w in words) / n, len(count) / n,
+        sum(a == b for a, b in zip(words, words[1:])) / n, max(count.values(), default=0) / n,
+        sum(w[-1] in b"!*&%$#@~^_=+<>|" for w in words) / n, len(words) / (data.count(b"\n") + 1),
+    ]
+
+
+def test_measures_against_plain_python(spark):
+    texts = [None, "", " ", "A b! b! | 9\n\né {x}", "!!! a* b_\r\n", "w " * 3000]
+    texts += [r.text for r in read(spark, "documents").limit(60).collect()]
+    for text in texts:
+        assert pu_quality.measures(text) == pytest.approx(plain_measures(text))
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.95])
+def test_gradient_of_the_risk(prior):
+    """Against differences of the risk itself, where it is unbiased and where its second part is reversed."""
+    rng = np.random.default_rng(3)
+    width = len(pu_quality.MEASURES)
+    good, all_ = (rng.integers(0, pu_quality.BINS, (n, width)) for n in (40, 90))
+    weights = rng.normal(0, 0.4, width * pu_quality.BINS + 1)
+
+    def parts(w):
+        f = [w[:-1][x + np.arange(width) * pu_quality.BINS].sum(axis=1) + w[-1] for x in (good, all_)]
+        p, u = (1 / (1 + np.exp(-x)) for x in f)  # l(-f); l(f) is one less it
+        return prior * (1 - p).mean(), u.mean() - prior * p.mean()
+
+    first, second = parts(weights)
+    found = pu_quality.gradient(pu_quality.sums(weights, good), pu_quality.sums(weights, all_), prior)
+    for k in [*rng.choice(len(weights), 40), len(weights) - 1]:
+        by = np.zeros_like(weights)
+        by[k] = 1e-5
+        up, down = parts(weights + by), parts(weights - by)
+        slope = [(a - b) / 2e-5 for a, b in zip(up, down, strict=True)]
+        assert found[k] == pytest.approx(sum(slope) if second >= 0 else -slope[1], abs=1e-7)
+
+
+def test_sums_of_all_rows_are_those_of_one_place(spark):
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, pu_quality.BINS, (500, len(pu_quality.MEASURES)))
+    good = rng.random(500) < 0.2
+    rows = [(bool(g), bytearray(b.astype(np.uint8).tobytes())) for g, b in zip(good, bins, strict=True)]
+    data = spark.createDataFrame(rows, "good boolean, bins binary").repartition(7)
+    weights = rng.normal(0, 1, len(pu_quality.MEASURES) * pu_quality.BINS + 1)
+    found = pu_quality._sums_of_all(data, weights)
+    for one, side in zip(found, (bins[good], bins), strict=True):
+        assert one.tolist() == pu_quality.sums(weights, side).tolist()
+
+
+def test_quality_where_all_rows_are_labelled(spark):
+    """The unlabelled side is all training rows, so a table without unlabelled rows is learned as well."""
+    labels = read(spark, "labels", MIDDLE)
+    docs = read(spark, "documents", MIDDLE).join(labels.select("doc_id"), "doc_id", "left_semi")
+    rows = pu_quality.score(docs, pu_quality.learn(docs, labels)).join(labels, "doc_id").toPandas()
+    assert rows["score"].nunique() > 0.5 * len(rows)
+    good, bad = (rows["score"][rows["quality"] == q].to_numpy() for q in (1, 0))
+    assert np.mean([(good > x).mean() for x in bad]) > 0.95
+
+
+def test_quality_of_one_id_many_times(spark):
+    """No more rows than the bound are collected, whatever an id's number of rows."""
+    docs = read(spark, "documents").limit(100).select("doc_id", "text")
+    many = docs.unionByName(docs.limit(1).crossJoin(spark.range(3000)).drop("id"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    labels = labels.unionByName(labels.limit(3).withColumn("quality", F.lit(0)))
+    model = pu_quality.learn(many, labels, most=50)
+    assert np.isfinite(model.weights).all()
+    assert pu_quality.score(many, model).count() == 3100
+
+
 def test_risk_stays_non_negative():
     rng = np.random.default_rng(1)
     good = rng.normal(1, 1, (300, len(pu_quality.MEASURES)))
@@ -78,40 +160,6 @@ def counts_of(texts):
     return single, pair, triple
 
 
-def brute_score(texts, text):
-    """The same smoothing over plain dictionaries."""
-    single, pair, triple = counts_of(texts)
-    real = {w: c for w, c in single.items() if w != "<s>"}
-    n, v, d = sum(real.values()), len(real), trie_lm.DISCOUNT
-    floor = d * v / (v + 1) / n
-    kept2, kept3 = Counter(), Counter()
-    for (a, _), c in pair.items():
-        kept2[a] += (c - d) * (c >= 2)
-    for (a, b, _), c in triple.items():
-        kept3[a, b] += (c - d) * (c >= 2)
-
-    def p1(w):
-        return max(real.get(w, 0) - d, 0) / n + floor
-
-    def p2(a, w):
-        if not single[a]:
-            return p1(w)
-        return (pair[a, w] - d) * (pair[a, w] >= 2) / single[a] + (1 - kept2[a] / single[a]) * p1(w)
-
-    def p3(a, b, w):
-        if pair[a, b] < 2:
-            return p2(b, w)
-        c = triple[a, b, w]
-        return (c - d) * (c >= 2) / pair[a, b] + (1 - kept3[a, b] / pair[a, b]) * p2(b, w)
-
-    row = ["<s>", *brute.words(text), "</s>"]
-    best = math.log10(p2("<s>", row[1]))
-    best += sum(math.log10(p3(*row[k - 2 : k + 1])) for k in range(2, len(row)))
-    one = sum(math.log10(p1(w)) for w in row[1:])
-    top = max(best, one)
-    return top + math.log10(10 ** (best - top) + 10 ** (one - top)) - math.log10(2)
-
-
 def base(texts, text):
     count = Counter(w for t in texts for w in [*brute.words(t), None])
     n, v = sum(count.values()), len(count)
@@ -127,7 +175,7 @@ def test_model_against_dictionaries(spark):
     model = trie_lm.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), shards=5)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(new)], "i int, text string, score string")
     for row in trie_lm.score(docs, model).collect():
-        assert row.score == pytest.approx(brute_score(texts, new[row.i]), rel=1e-3)
+        assert row.score == pytest.approx(whole_score(texts, new[row.i]), rel=1e-3)
         assert row.base_score == pytest.approx(base(texts, new[row.i]), rel=1e-9)
         assert row.n_tokens == len(brute.words(new[row.i])) + 1
 
@@ -166,6 +214,47 @@ def test_query_knows_phrases_seen_once(spark, tmp_path):
         assert row.score == pytest.approx(whole_score(train, texts[row.doc_id]), rel=1e-3)
 
 
+def test_words_have_one_hash_wherever_they_are(monkeypatch):
+    """In any text, behind any other, short or longer than what is hashed at once; other words have others."""
+    rng = random.Random(8)
+    words = [bytes(rng.choice(b"abc\xc3\x89") for _ in range(rng.randint(1, 9))).decode("latin1") for _ in range(400)]
+    words += ["x" * 5000, "x" * 5001, "y" * 4096, "a", "aa", "aaa"]
+    for piece in (trie_lm.PIECE, 4096, 100):
+        monkeypatch.setattr(trie_lm, "PIECE", piece)
+        seen = {}
+        for _ in range(3):
+            rng.shuffle(words)
+            texts = [" \x0b".join(words[:200]) + "\n", None, "", "\t " + "\r".join(words[200:])]
+            sequence, counts = trie_lm.sequences(texts)
+            assert counts.tolist() == [len(brute.words(t)) for t in texts] and len(sequence) == counts.sum() + 12
+            found, at = sequence.tolist(), 0
+            for text, n in zip(texts, counts.tolist(), strict=True):
+                row = found[at : at + n + 3]
+                assert (row[0], row[-2], row[-1]) == (trie_lm.START, trie_lm.END, trie_lm.PAD)
+                for word, value in zip(brute.words(text), row[1:-2], strict=True):
+                    assert seen.setdefault(word, value) == value
+                at += n + 3
+        assert len(set(seen.values())) == len(seen) and len({v >> 32 for v in seen.values()}) == len(seen)
+
+
+def test_order_of_two_numbers():
+    rng = np.random.default_rng(2)
+    first = rng.integers(0, 40, 5000).astype(np.uint64) * trie_lm.MIX
+    second = rng.integers(0, 2**32, 5000).astype(np.uint64)
+    order = trie_lm.ordered(first, second)
+    assert (order == np.lexsort((second, first))).all()
+    assert len(trie_lm.ordered(first[:0], second[:0])) == 0
+
+
+def test_model_with_odd_rows(spark):
+    """A null id, columns whose names differ from the results' in their case only, repeated rows."""
+    rows = [(None, "a b c", 1), (3, "a b c", 1), (3, "a b c", 2), (4, None, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, SCORE int")
+    found = trie_lm.score(docs, trie_lm.train(docs)).collect()
+    assert [r.n_tokens for r in found] == [4, 4, 4, 1] and len({r.score for r in found[:3]}) == 1
+    assert found[0].asDict().keys() == {"doc_id", "text", *trie_lm.ADDED}
+
+
 def test_model_without_text(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     model = trie_lm.train(none)
@@ -253,6 +342,53 @@ def test_url_trees_learn(spark):
     assert judged.agg(F.avg(right.cast("int"))).first()[0] > 0.95
 
 
+def test_lexical_features_against_plain_python(spark):
+    urls = ["", "http://a.b-c.org/x1//y?k=1&l=&=z#f", "x://É.com", "no scheme", "http://a.com/" + "ab1-" * 4000, "h://host/p?a=b?c=d"]
+    urls += [r.url for r in read(spark, "pages").limit(80).collect()]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    for row in url_trees.lexical(url_trees.parts(pages)).collect():
+        url, (host, path) = urls[row.page_id], url_parts(urls[row.page_id])
+        count = Counter(url)
+        entropy = -sum(c / len(url) * math.log2(c / len(url)) for c in count.values())
+        plain = {
+            "length": len(url), "host_length": len(host), "path_length": len(path),
+            "depth": sum(1 for x in path.split("/") if x), "labels": sum(1 for x in host.split(".") if x),
+            "digits": sum(c in "0123456789" for c in url) / max(len(url), 1), "hyphens": url.count("-"),
+            "parameters": len(re.findall(r"[?&][^?&=#]+=", url)), "entropy": entropy,
+        }
+        assert plain == {k: pytest.approx(row[k]) for k in plain}
+        names = host.split(".")
+        assert (row.tld, row.domain) == (names[-1], ".".join(names[-2:]))
+        assert row.segment == (path[1:].split("/")[0] if path.startswith("/") else "")
+
+
+def test_a_row_is_left_out_of_its_own_rates(spark):
+    """With all of its fold: rates are those of labelled URLs in other folds."""
+    hosts = [(f"{'abc'[i % 3]}.{'org' if i % 2 else 'net'}", int(i % 5 < 2)) for i in range(60)]
+    pages = [(i, f"http://{host}/s{i % 7}", "block" if y else "allow") for i, (host, y) in enumerate(hosts)]
+    given = spark.createDataFrame(pages, "page_id int, url string, marked string")
+    marked = url_trees.lexical(url_trees.parts(given)).join(given.drop("url"), "page_id")
+    trees = url_trees.train(marked)
+    folds = {r.page_id: r.fold for r in marked.select("page_id", url_trees.fold().alias("fold")).collect()}
+    prior = sum(y for _, y in hosts) / len(hosts)
+    assert len(set(folds.values())) > 2
+    for learning in (True, False):
+        for row in trees.features(marked, learning).collect():
+            same = [k for k, (host, _) in enumerate(hosts) if host[-3:] == hosts[row.page_id][0][-3:]]
+            others = [hosts[k][1] for k in same if not learning or folds[k] != folds[row.page_id]]
+            expected = (sum(others) + url_trees.SMOOTH * prior) / (len(others) + url_trees.SMOOTH)
+            assert row.tld_rate == pytest.approx(expected)
+
+
+def test_urls_of_hosts_left_out(spark):
+    """Trained without any URL of a third of the hosts, and measured on these hosts' labelled URLs."""
+    rows = url_trees.lexical(url_trees.by_rules(url_trees.parts(read(spark, "pages", LARGE)))).where("marked is not null")
+    fold = F.pmod(F.xxhash64("host", F.lit(2)), F.lit(3)) == 0
+    judged = url_trees.train(rows.where(~fold)).judge(rows.where(fold))
+    right = (F.col("score") >= 0.5) == (F.col("marked") == "block")
+    assert judged.agg(F.avg(right.cast("int"))).first()[0] > 0.9
+
+
 def test_urls_of_one_kind_or_none(spark):
     one = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://b.net/"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in url_trees.verdicts(one).collect()} == {"allow"}
@@ -308,6 +444,45 @@ def test_toxicity_rows_and_odd_texts(spark):
     assert kept.count() == sum("foul" not in (t or "").lower() for _, t, _ in rows)
 
 
+def test_features_and_association_against_plain_python(spark):
+    texts = [(i, f"{'vile ' * (i % 4)}word{i % 3} Ünd x_{i % 2}, don't", int(i % 4 > 1)) for i in range(60)] + [(99, None, 0)]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id int, text string")
+    labels = spark.createDataFrame([(t[0], t[2]) for t in texts], "doc_id int, toxic int")
+    found = ordinal_toxicity.choose_features(ordinal_toxicity.labelled_sample(docs, labels), 8)
+    words = {i: set(re.findall(r"\w+", (t or "").lower())) for i, t, _ in texts}
+    assert all(set(ordinal_toxicity.features(t)) == words[i] for i, t, _ in texts)
+    toxic, clean = (sum(y == k for *_, y in texts) for k in (1, 0))
+    scores = {}
+    for word in set().union(*words.values()):
+        a, b = (sum(word in words[i] for i, _, y in texts if y == k) for k in (1, 0))
+        n = toxic + clean
+        chi = n * (a * clean - b * toxic) ** 2 / (toxic * clean * (a + b) * (n - a - b + 1))
+        scores[word] = chi, math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
+    best = sorted(scores, key=lambda w: (-scores[w][0], w.encode()))[:8]
+    assert [w for w, _ in found] == best
+    assert [odds for _, odds in found] == pytest.approx([scores[w][1] for w in best])
+
+
+def test_labels_that_differ_and_ids_that_repeat(spark):
+    """An id labelled both ways is toxic, an id is one row of the sample, and the bound holds for rows."""
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (3, None), (None, "d")] + [(4, "e")] * 500, "doc_id int, text string")
+    marks = [(1, 0), (1, 1), (2, 0), (3, 1), (None, 1), (4, 0), (4, None), (2, 7)]
+    labels = spark.createDataFrame(marks, "doc_id int, toxic int")
+    rows = ordinal_toxicity.labelled_sample(docs, labels).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.toxic) for r in rows] == [(1, 1), (2, 0), (3, 1), (4, 0)]
+    assert rows[0].text in ("a", "b") and rows[2].text == ""
+    again = ordinal_toxicity.labelled_sample(docs.repartition(5), labels).orderBy("doc_id").collect()
+    assert again == rows
+    assert ordinal_toxicity.labelled_sample(docs, labels, most=2).count() == 2
+
+
+def test_toxicity_columns_that_differ_in_case(spark):
+    docs = spark.createDataFrame([(1, "x", 5, "y")], "doc_id int, text string, Severity int, TOXIC string")
+    none = spark.createDataFrame([], "doc_id int, toxic int")
+    found = ordinal_toxicity.score(docs, ordinal_toxicity.fit(ordinal_toxicity.labelled_sample(docs, none)))
+    assert found.columns == ["doc_id", "text", "severity", "p_toxic", "grade", "toxic"] and found.count() == 1
+
+
 def test_no_toxic_labels(spark):
     docs = spark.createDataFrame([(1, "foul"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")

@@ -5,6 +5,7 @@ import brute
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
@@ -58,10 +59,41 @@ def test_empty_documents(spark, whole):
         assert stage(spark, none, SMALL).count() == 0
 
 
+def test_odd_documents(spark, tmp_path):
+    """Nulls in every column, repeated rows, very long and empty texts, and columns with names that the stages use."""
+    rows = [
+        (1, None, None, None, None), (1, None, None, None, None), (None, "no id here", "en", "a", 10),
+        (2, "", "en", "a", 0), (3, "same words in both of these", "en", "a", 27), (4, "same words in both of these", "de", None, 27),
+        (5, "long " * 60_000, "en", "b", 300_000), (6, "x" * 200_000, "en", "b", 1), (7, " \n\t", "en", "b", 3),
+    ] + [(8, "one row many times over again", "en", "c", 29)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("key", "Row_Number", "kept", "ids", "copies", "Toxic", "n_shingles"):
+        docs = docs.withColumn(name, F.lit(name))
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1, 0), (8, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    texts = {(r.doc_id, r.text) for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.dtypes == docs.dtypes
+        found = [(r.doc_id, r.text) for r in out.collect()]
+        assert set(found) <= texts and found
+    exact = [(r.doc_id, r.text) for r in corpus_pipeline.drop_copies(spark, docs, str(tmp_path)).collect()]
+    # Null and empty texts are equal, of equal texts the largest id stays, and repeated rows are one.
+    assert sorted(exact, key=str) == sorted(
+        [(2, ""), (None, "no id here"), (4, rows[5][1]), (5, rows[6][1]), (6, rows[7][1]), (7, " \n\t"), (8, rows[9][1])], key=str
+    )
+    near = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()]
+    assert sorted(d for d, t in near if t and t.split() and d) == [3, 5, 6, 8]
+    for row in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        assert (row.doc_id, row.decoded) in {(d, t or "") for d, t in texts} and row.n_tokens == len(row.ids)
+
+
 def test_registered():
     names = entry.queries().keys()
     assert names == others.QUERIES.keys() | registry.QUERIES.keys() | {"pipeline"}
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
     assert entry.oracle_sql().keys() == others.SQL.keys() | registry.SQL.keys()
 
 
