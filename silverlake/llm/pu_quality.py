@@ -201,13 +201,7 @@ def learn_from(
     good = marks.where("good = 1").select("doc_id", F.lit(True).alias("good"))
     marked = train.join(good, "doc_id", "left").select(F.coalesce("good", F.lit(False)).alias("good"), "x")
     data = stored(marked.mapInPandas(bin_, "good boolean, bins binary"), "quality-bins")
-    # Of each side at most ``most`` rows of a few bytes.
-    number = F.monotonically_increasing_id()
-    picked = [
-        side.select("bins", F.xxhash64("bins", number).alias("order")).orderBy("order", "bins").limit(most).collect()
-        for side in (data.where("good"), data)
-    ]
-    some, any_ = (_unpacked([r["bins"] for r in side]) for side in picked)
+    some, any_ = (_unpacked(_some(side, most)) for side in (data.where("good"), data))
     if not len(some):
         return constant(prior)
     descent = Descent(len(MEASURES))
@@ -218,6 +212,16 @@ def learn_from(
     return descent.model(edges, prior)
 
 
+def _some(side: DataFrame, most: int) -> list[bytes]:
+    """The bins of at most ``most`` rows, those of least hash."""
+    hashed = side.select("bins", F.xxhash64("bins", F.monotonically_increasing_id()).alias("hash"))
+    share = (F.col("hash").cast("double") + 2.0**63) / 2.0**64
+    total = side.count()
+    # Hashes are even, so the rows wanted are among some twice as many; the others stay where they are.
+    near = hashed.where(share * total < 2.0 * most + 1000) if total > most else hashed
+    return [r["bins"] for r in near.orderBy("hash", "bins").limit(most).collect()]
+
+
 def _unpacked(bins: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(bins), np.uint8).reshape(-1, len(MEASURES)).astype(np.int64)
 
