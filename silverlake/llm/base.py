@@ -49,13 +49,11 @@ def fresh(rows: DataFrame, name: str) -> str:
 
 
 def one_row_each(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """One row of ``docs``, with all its columns, for each of ``keys`` (one column, ``key``) that ``key`` has.
+    """One row of ``docs``, with all its columns, for each of ``keys`` (one column, ``key``, without repeats) that it has.
 
-    Rows are numbered, and a key's least number is found in the map tasks first, so that rows which repeat a
-    key, however many, do not meet in one task with their texts; the numbers that are kept pick the rows.
+    Rows that repeat a key are reduced in the map tasks before anything moves, so that however many they are, they do
+    not meet in one task with their texts. A semi join would be moved below that reduction; this one stays.
     """
-    row = fresh(docs, "row_number")
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    least = numbered.select(key.alias("key"), F.col(row)).groupBy("key").agg(F.min(row).alias(row))
-    kept = stored(least.join(keys, "key", "left_semi").select(row), "kept-rows")
-    return numbered.join(kept, row, "left_semi").drop(row)
+    name = fresh(docs, "row_key")
+    once = docs.withColumn(name, key).dropDuplicates([name])
+    return once.join(keys.withColumnRenamed("key", name), name).select(*docs.columns)
