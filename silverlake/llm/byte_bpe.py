@@ -35,7 +35,7 @@ from silverlake.llm.pieces import PieceEncoder, slices
 NONE = 1 << 62
 LONG = 64  # bytes of a piece that is merged with others
 MANY = 8192  # pieces merged at once
-TOGETHER = 1 << 20  # ids decoded at once
+TOGETHER = 1 << 17  # ids decoded at once
 
 
 def read_ranks(rank_file: bytes) -> dict[bytes, int]:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import regex
 
-KEPT = 200_000  # pieces in each of the two generations of a cache
+KEPT = 100_000  # pieces in each of the two generations of a cache
 LONGEST = 64  # characters of a piece that is kept
 ROWS = 256  # documents worked on at once
 

@@ -50,7 +50,7 @@ BATCH = 1_000_000  # tokens scored at once
 DISCOUNT = 0.75
 TOP = 255  # codes of a file that take a byte
 FOLDS, HELD_OUT = 7, 2
-PIECE = 1 << 20  # bytes hashed at once
+PIECE = 1 << 17  # bytes hashed at once
 SHARD_BYTES = 8 << 20  # text whose triples are one shard, about
 
 # None of these can be a word, as they are made of white space.
