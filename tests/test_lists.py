@@ -4,8 +4,10 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from silverlake.functions import list_faults, open_elements, parse_list
+from silverlake.functions.json_lists import _nothing_unread
 from silverlake.operators.transform import list_losses, transform
 from silverlake.plans.specs import find
 
@@ -99,3 +101,25 @@ def test_observing_changes_no_row(spark, edges):
     assert rows(observed) == rows(transform(bronze, genres))
     faults = [sum(e[2][i] for e in EDGES) for i in range(3)]
     assert counts.get == {"rows_in": len(EDGES), "unreadable": faults[0], "not_a_list": faults[1], "bad_elements": faults[2]}
+
+
+def test_a_field_that_is_not_there_is_told_without_variants(spark):
+    """The text names no field more often than it was read; anything doubtful is still parsed again."""
+    element = "id int, name string"
+    cases = [
+        ('[{"id": 1, "name": "a"}, {"name": "b"}]', True, (0, 0, 0)),
+        ('  [{"id": 1}, {"x": {"y": 2}, "id": 2}]', True, (0, 0, 0)),
+        ('[{"id": "x", "name": "b"}]', False, (0, 0, 1)),
+        ('[{"\\u0069d": "x", "name": "b"}]', False, (0, 0, 1)),
+        ('[{"id": null, "name": "a"}, {"name": "b"}]', False, (0, 0, 0)),
+        ('[{"name": "id"}, {"name": "b"}]', False, (0, 0, 0)),
+        ('{"name": "b"}', False, (0, 1, 0)),
+        # The number makes the whole list unreadable to from_json, so the record before it is lost as well.
+        ('[{"name": "b"}, 5]', False, (0, 0, 2)),
+        ('[{"other": 1}]', False, (0, 0, 0)),
+    ]
+    frame = spark.createDataFrame([(i, text) for i, (text, *_) in enumerate(cases)], "n int, list string")
+    parsed = frame.select("n", "list", parse_list("list", element).alias("p"))
+    quick = _nothing_unread(F.col("list"), F.col("p"), ["id", "name"])
+    found = parsed.select(quick, list_faults("list", F.col("p"), element).alias("f"), "n").orderBy("n").collect()
+    assert [(bool(q), tuple(f)) for q, f, _ in found] == [(quick, faults) for _, quick, faults in cases]
