@@ -200,3 +200,19 @@ def test_catalog_table_is_created_from_one_row_per_key(spark, monkeypatch):
     )
     merge_into_catalog(data, "db.items", SPEC)
     assert written == [("db.items", [("1", "a", 2)])]
+
+
+def test_a_first_load_shuffles_once(spark, root, monkeypatch):
+    """The latest row of a key is found where the shuffle by partition has put it; the newest wins."""
+    data = spark.range(3000).selectExpr("CAST(id % 1000 AS STRING) id", "'a' k", "CAST(id AS INT) v")
+    plans, replace_ = [], silver._replace
+
+    def seen(rows, *args, **how):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return replace_(rows, *args, **how)
+
+    monkeypatch.setattr(silver, "_replace", seen)
+    assert upsert_table(data, root, SPEC, order_by=["v"], keys_complete=True) == 1000
+    # Before, one by key and another, a rebalance, by partition.
+    assert plans[0].count("Exchange") == 1 and "Exchange hashpartitioning(silver_part" in plans[0]
+    assert read_silver(spark, root, SPEC).where("v = 2000 + CAST(id AS INT)").count() == 1000
