@@ -16,7 +16,7 @@ from silverlake.operators.transform import keys_complete, transform
 from silverlake.plans.specs import MOVIE_TABLES, TableSpec
 from silverlake.sources.bronze import read_objects
 from silverlake.sources.scratch import path_exists
-from silverlake.sources.silver import upsert_table
+from silverlake.sources.silver import observed, upsert_table
 
 ARRIVED = "arrived"
 OBJECT_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -85,7 +85,7 @@ def ingest_available(
                     keys_complete=keys_complete(rows, spec),
                     load=f"{query_id}-{number}",
                 )
-                entry = (query_id, number, spec.name, len(paths), counts.get["rows_in"], written)
+                entry = (query_id, number, spec.name, len(paths), observed(counts).get("rows_in", 0), written)
                 _append(spark, [entry], LOG_SCHEMA, f"{silver}/{STREAM_LOG}")
 
     progress = Progress(prefix)
