@@ -110,6 +110,16 @@ def test_a_first_load_moves_lists_and_not_their_elements(spark, root, monkeypatc
     assert plan.index("Generate inline") < plan.index("MapInArrow") < plan.index("Exchange") < plan.rindex("MapInArrow")
 
 
+def test_a_retry_loads_as_a_first_load_does(spark, root):
+    broken = OBJECT.format(root=f"{root}/bronze", hour="12")
+    spark.range(1).selectExpr("'x' value").write.text(broken)
+    tables = {"cast": find("cast")}
+    run_id = run_day(spark, f"{root}/bronze", f"{root}/silver", 20221104, tables=tables).first()["run_id"]
+    one = json.dumps([{"credit_id": "c", "id": 1, "name": "a"}])
+    spark.createDataFrame([(1, "t", one, "[]")], "movie_id long, title string, cast string, crew string").write.mode("overwrite").parquet(broken)
+    assert retry_failed(spark, f"{root}/bronze", f"{root}/silver", run_id, tables=tables).first()["rows_written"] == 1
+
+
 def test_what_cannot_travel_packed_is_loaded_plainly(spark, root):
     data = spark.createDataFrame([("1", "a", 1, [1])], "id string, k string, v int, more array<int>")
     assert dealt_by_key(data, SPEC, 1) is not None
