@@ -110,6 +110,21 @@ def test_a_first_load_moves_lists_and_not_their_elements(spark, root, monkeypatc
     assert plan.index("Generate inline") < plan.index("MapInArrow") < plan.index("Exchange") < plan.rindex("MapInArrow")
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffles_of_a_run_do_not_stay_on_disk(spark, root):
+    credits(spark, f"{root}/bronze")
+    before = shuffle_files(spark)
+    log = run_day(spark, f"{root}/bronze", f"{root}/silver", 20221104, tables={n: find(n) for n in ("cast", "crew")})
+    left = {name for name in shuffle_files(spark) - before if name.endswith(".data")}
+    assert [r["status"] for r in log.collect()] == ["written"] * 2
+    # The listing of objects may leave one; each table's own is gone.
+    assert len(left) <= 1 and spark.conf.get(RELEASE, "false") == "false"
+
+
 def test_a_retry_loads_as_a_first_load_does(spark, root):
     broken = OBJECT.format(root=f"{root}/bronze", hour="12")
     spark.range(1).selectExpr("'x' value").write.text(broken)
